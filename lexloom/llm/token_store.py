@@ -134,14 +134,38 @@ def open_shard(path: str) -> Shard:
 
 
 # ---- encoding ------------------------------------------------------------------------------------------------------
-class WordEncoder(dict):
-    """Ids of pre-tokens as bytes, kept in a bounded table; equal to encoding the whole text.
+class _Table(dict):
+    """A bounded table of computed values: when it is full, it becomes the older generation of an empty one."""
+
+    LIMIT = 200_000
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.LIMIT:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
 
-    The tokenizer lower-cases, drops white space and merges within pre-tokens only, so a text's ids are those of its pre-tokens.
-    Texts that hold a special token's string go to the tokenizer whole.
-    """
 
-    LIMIT = 300_000
+def _byte_letters() -> dict[int, int]:
+    """The public byte-level alphabet: printable Latin-1 stands for itself, other bytes follow from code point 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
+
+
+class WordEncoder:
+    """Ids of a text as bytes, put together from words met before; equal to encoding the whole text.
+
+    The tokenizer lower-cases, drops white space and merges within pre-tokens only, so a text's ids are those of its words.
+    Texts where that could fail (special tokens' strings, separators 0x1C-0x1F, unstable normal forms) are encoded whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -150,34 +174,36 @@ class WordEncoder(dict):
         spec = json.loads(self.tok.to_str())
         self.special = [t["content"] for t in spec["added_tokens"]]
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        split = [p for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split"]
-        self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and len(split) == 1 and spec["model"]["type"] == "BPE" and split[0]["behavior"] == "Removed" and split[0]["invert"] and "\\p{L}" in split[0]["pattern"]["Regex"]
+        stages = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.by_word = (
+            kinds == ["NFC", "Replace", "Lowercase"] and spec["model"]["type"] == "BPE" and [p["type"] for p in stages] == ["Split", "ByteLevel"]
+            and stages[0]["behavior"] == "Removed" and stages[0]["invert"] and "\\s" in stages[0]["pattern"]["Regex"]
+        )
         self.width = 2 if self.tok.get_vocab_size() < 65536 else 4
         self.dtype = f"<u{self.width}"
         if self.by_word:
             import regex
 
-            pattern = split[0]["pattern"]["Regex"].replace("\\s", "\\p{White_Space}")
-            self.wide = regex.compile(pattern).findall
-            self.ascii = re.compile(pattern.replace("\\p{White_Space}", "\\s\\x1c-\\x1f").replace("[\\p{L}]+", "[a-z]+").replace("[\\p{N}]", "[0-9]").replace("\\p{L}", "a-z").replace("\\p{N}", "0-9")).findall
+            self.split = regex.compile(stages[0]["pattern"]["Regex"].replace("\\s", "\\p{White_Space}")).findall
+            self.letters, self.model = _byte_letters(), self.tok.model
+            self.pieces = _Table(self._piece)
+            self.words = _Table(lambda w: self.pieces[w] if w.isascii() and w.isalpha() else b"".join(map(self.pieces.__getitem__, self.split(w))))
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        got = np.array(self.tok.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
-        self[piece] = got
-        return got
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(mapped)], self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word or any(s in text for s in self.special):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        if text.isascii() and not _CONTROL.search(text):
-            return b"".join(map(self.__getitem__, self.ascii(text.lower())))
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return b"".join(map(self.__getitem__, self.wide(text)))
+        if self.by_word and not _CONTROL.search(text) and not any(s in text for s in self.special):
+            if text.isascii():
+                return b"".join(map(self.words.__getitem__, text.lower().split()))
+            low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            if unicodedata.is_normalized("NFC", low):
+                return b"".join(map(self.words.__getitem__, low.split()))
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
 
-_CONTROL = re.compile("[\x1c-\x1f]")
+_CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f]")
 _encoders: dict[str, WordEncoder] = {}
 
 
