@@ -1,10 +1,13 @@
 """Queries of this subpackage and their SQL: opN_<name> for each operator N."""
 
-from . import mixing, token_store
+from . import mixing, quality, token_store
 
 QUERIES = {
+    "op1_line_quality": quality.op1,
     "op9_mix_sources": mixing.op9,
     "op10_token_output": token_store.op10,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_quality": quality.SQL,
+}
