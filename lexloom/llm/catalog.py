@@ -1,9 +1,10 @@
 """Queries of this subpackage and their SQL: opN_<name> for each operator N."""
 
-from . import mixing, quality, token_store
+from . import langid, mixing, quality, token_store
 
 QUERIES = {
     "op1_line_quality": quality.op1,
+    "op4_language_id": langid.op4,
     "op9_mix_sources": mixing.op9,
     "op10_token_output": token_store.op10,
 }
