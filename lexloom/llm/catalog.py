@@ -1,9 +1,10 @@
 """Queries of this subpackage and their SQL: opN_<name> for each operator N."""
 
-from . import langid, mixing, quality, token_store
+from . import jaccard, langid, mixing, quality, token_store
 
 QUERIES = {
     "op1_line_quality": quality.op1,
+    "op2_jaccard_join": jaccard.op2,
     "op4_language_id": langid.op4,
     "op9_mix_sources": mixing.op9,
     "op10_token_output": token_store.op10,
@@ -11,4 +12,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_line_quality": quality.SQL,
+    "op2_jaccard_join": jaccard.SQL,
 }
