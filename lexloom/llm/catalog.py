@@ -1,11 +1,13 @@
 """Queries of this subpackage and their SQL: opN_<name> for each operator N."""
 
-from . import jaccard, langid, mixing, quality, token_store
+from . import jaccard, langid, mixing, phrases, quality, suffix_dedup, token_store
 
 QUERIES = {
     "op1_line_quality": quality.op1,
     "op2_jaccard_join": jaccard.op2,
+    "op3_suffix_dedup": suffix_dedup.op3,
     "op4_language_id": langid.op4,
+    "op5_phrase_dedup": phrases.op5,
     "op9_mix_sources": mixing.op9,
     "op10_token_output": token_store.op10,
 }
@@ -13,4 +15,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_line_quality": quality.SQL,
     "op2_jaccard_join": jaccard.SQL,
+    "op5_phrase_dedup": phrases.SQL,
 }
