@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL: opN_<name> for each operator N."""
 
-from . import jaccard, langid, mixing, phrases, quality, suffix_dedup, token_store
+from . import decontaminate, jaccard, langid, licenses, mixing, phrases, pseudonyms, quality, suffix_dedup, token_store
 
 QUERIES = {
     "op1_line_quality": quality.op1,
@@ -8,6 +8,9 @@ QUERIES = {
     "op3_suffix_dedup": suffix_dedup.op3,
     "op4_language_id": langid.op4,
     "op5_phrase_dedup": phrases.op5,
+    "op6_spaced_seeds": decontaminate.op6,
+    "op7_license_scan": licenses.op7,
+    "op8_pseudonyms": pseudonyms.op8,
     "op9_mix_sources": mixing.op9,
     "op10_token_output": token_store.op10,
 }
@@ -16,4 +19,5 @@ ORACLES: dict[str, str] = {
     "op1_line_quality": quality.SQL,
     "op2_jaccard_join": jaccard.SQL,
     "op5_phrase_dedup": phrases.SQL,
+    "op6_spaced_seeds": decontaminate.SQL,
 }
