@@ -1,2 +1,395 @@
-QUERIES = {}
-ORACLES = {}
+"""The query catalogue: each operator applied to whole tables, with an equivalent DuckDB query.
+
+Every query is (spark, folder) -> DataFrame.  Scores are doubles, rounded, with the id as the last sort key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..operators import embed as E
+from ..operators import relational as R
+from ..operators import search as Q
+from ..operators.paragraphs import split_headings
+from ..sources import documents as D
+from ..sources.shared import key_runs_parallel
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+FOLDED = f"translate(lower({{}}), '{X.FOLD_FROM}', '{X.FOLD_TO}')"
+TOKENS = "list_filter(regexp_split_to_array(" + FOLDED.format("coalesce(text, '')") + r", '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# ---- scans, projections, filters -----------------------------------------------------------------------------------
+@query("SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")
+def scan_typed_project(spark, sf):
+    return t(spark, sf, "events").where("event_type = 'purchase'").select("event_id", "user_id", "value")
+
+
+@query("SELECT p_partkey, p_name, p_type FROM part WHERE p_type IN ('SMALL', 'MEDIUM', 'LARGE') AND p_size >= 10")
+def type_membership(spark, sf):
+    return t(spark, sf, "part").where(F.col("p_type").isin("SMALL", "MEDIUM", "LARGE") & (F.col("p_size") >= 10)).select("p_partkey", "p_name", "p_type")
+
+
+@query("""SELECT doc_id, coalesce(CASE WHEN length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) >= 40 THEN 'text' END,
+    CASE WHEN length(source) >= 5 THEN 'source' END, 'none') AS used FROM documents""")
+def text_fallback(spark, sf):
+    squeezed = X.strip(F.regexp_replace("text", r"\s+", " "))
+    used = F.coalesce(F.when(F.length(squeezed) >= 40, "text"), F.when(F.length("source") >= 5, "source"), F.lit("none"))
+    return t(spark, sf, "documents").select("doc_id", used.alias("used"))
+
+
+# ---- joins ---------------------------------------------------------------------------------------------------------
+@query("SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
+def enrich_inner(spark, sf):
+    return t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "c_mktsegment")
+
+
+@query("SELECT d.doc_id, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def lookup_left_default(spark, sf):
+    return R.lookup_left(t(spark, sf, "documents").select("doc_id"), t(spark, sf, "labels"), ["doc_id"], {"quality": -1, "toxic": -1}).select("doc_id", "quality", "toxic")
+
+
+@query("SELECT doc_id, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def skip_done_anti(spark, sf):
+    return R.skip_done(t(spark, sf, "documents").select("doc_id", "n_chars"), t(spark, sf, "labels"), ["doc_id"])
+
+
+@query("SELECT o_orderkey, coalesce(c_mktsegment, '') AS segment FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'P'")
+def law_status_left(spark, sf):
+    o = t(spark, sf, "orders").where("o_orderstatus = 'P'").withColumnRenamed("o_custkey", "c_custkey")
+    return o.join(t(spark, sf, "customer"), "c_custkey", "left").select("o_orderkey", F.coalesce("c_mktsegment", F.lit("")).alias("segment"))
+
+
+# ---- last wins, runs, ordered aggregation --------------------------------------------------------------------------
+@query("SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id")
+def dedup_last_wins(spark, sf):
+    return R.last_wins(t(spark, sf, "events").select("user_id", "event_type", "event_id"), ["user_id"], ["event_id"])
+
+
+@query("SELECT user_id, arg_max(event_type, event_id) AS event_type, min(event_id) AS first_pos FROM events GROUP BY user_id")
+def dedup_first_position(spark, sf):
+    d = R.last_wins_first_position(t(spark, sf, "events").select("user_id", "event_type", "event_id"), ["user_id"], ["event_id"])
+    return d.select("user_id", "event_type", F.col("first_pos.event_id").alias("first_pos"))
+
+
+@query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY o_custkey")
+def reverse_index(spark, sf):
+    return R.reverse_index(t(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", F.col("o_orderkey").alias("k")), "o_custkey", "o_orderkey", ["o_orderdate", "k"])
+
+
+RUNS_SQL = """SELECT event_id, event_type, sum(n) OVER (ORDER BY event_id)::BIGINT AS run_id FROM (
+    SELECT event_id, event_type, CASE WHEN event_type IS NOT DISTINCT FROM lag(event_type) OVER (ORDER BY event_id) AND row_number() OVER (ORDER BY event_id) > 1 THEN 0 ELSE 1 END AS n FROM events)"""
+
+
+@query(RUNS_SQL)
+def key_runs(spark, sf):
+    """Numbered without a global sort in one task."""
+    return key_runs_parallel(t(spark, sf, "events").select("event_id", "event_type"), ["event_type"], ["event_id"])
+
+
+def _fragments(spark, sf):
+    return t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(t(spark, sf, "part").select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+
+
+ORDER = "l_linenumber, l_partkey, l_suppkey"
+FRONT = "p_type = 'PROMO'"
+KINDS = ("PROMO", "SMALL", "MEDIUM")
+
+
+def _assembled(d: DataFrame) -> F.Column:
+    """Fragments of the leading type go to the front in reverse, all others follow in order."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k1", "k2", "p_name"))), lambda x: x["p_name"]), " ")
+
+
+def _keyed(d: DataFrame) -> DataFrame:
+    n = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    return d.withColumn("n", n).withColumns({"k1": F.when(F.expr(FRONT), 0).otherwise(1), "k2": F.when(F.expr(FRONT), -F.col("n")).otherwise(F.col("n"))})
+
+
+KEYED_SQL = f"""WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_name, p_type FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type IN {KINDS}),
+k AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {ORDER}) AS n FROM f),
+q AS (SELECT *, CASE WHEN {FRONT} THEN 0 ELSE 1 END AS k1, CASE WHEN {FRONT} THEN -n ELSE n END AS k2 FROM k) """
+
+
+@query(KEYED_SQL + "SELECT l_orderkey, string_agg(p_name, ' ' ORDER BY k1, k2) AS text, count(*) AS fragments FROM q GROUP BY l_orderkey")
+def paragraph_assemble(spark, sf):
+    d = _keyed(_fragments(spark, sf).where(F.col("p_type").isin(*KINDS)))
+    return d.groupBy("l_orderkey").agg(_assembled(d).alias("text"), F.count("*").alias("fragments"))
+
+
+@query(KEYED_SQL + """SELECT l_orderkey || '::' || arg_min(l_partkey, n) AS id, c_name AS law, extract(year FROM o_orderdate)::INT AS rok,
+    coalesce(nullif(coalesce(arg_min(p_name, n) FILTER (p_name LIKE '%ring%'), arg_max(p_name, n)), ''), '§') AS citace, string_agg(p_name, ' ' ORDER BY k1, k2) AS text
+    FROM q JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY l_orderkey, c_name, o_orderdate""")
+def paragraph_documents(spark, sf):
+    d = _keyed(_fragments(spark, sf).where(F.col("p_type").isin(*KINDS)))
+    cite = R.first_filled_else_last(F.col("p_name"), F.col("p_name").contains("ring"), F.col("n"))
+    g = d.groupBy("l_orderkey").agg(F.min_by("l_partkey", "n").alias("first"), cite.alias("citace"), _assembled(d).alias("text"))
+    o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate").join(t(spark, sf, "customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+    g = g.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return g.select(X.document_key(F.col("l_orderkey").cast("string"), F.col("first").cast("string")).alias("id"), F.col("c_name").alias("law"), F.year("o_orderdate").alias("rok"), F.coalesce(F.nullif("citace", F.lit("")), F.lit("§")).alias("citace"), "text")
+
+
+@query("SELECT conv_id, coalesce(arg_min(text, turn) FILTER (role = 'assistant'), arg_max(text, turn)) AS text FROM conversations GROUP BY conv_id")
+def first_nonempty_else_last(spark, sf):
+    return t(spark, sf, "conversations").groupBy("conv_id").agg(R.first_filled_else_last(F.col("text"), F.col("role") == "assistant", F.col("turn")).alias("text"))
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) ORDER BY turn::VARCHAR) AS text FROM conversations GROUP BY conv_id")
+def lexicographic_concat(spark, sf):
+    return t(spark, sf, "conversations").groupBy("conv_id").agg(R.concat_in_order("text", [F.col("turn").cast("string")]).alias("text"))
+
+
+@query("SELECT event_type, min(event_id) AS first_pos FROM events GROUP BY event_type")
+def ordered_distinct(spark, sf):
+    return R.ordered_distinct(t(spark, sf, "events"), "event_type", "event_id")
+
+
+# ---- lines, headings, paths ----------------------------------------------------------------------------------------
+@query("SELECT doc_id, i - 1 AS n, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents) WHERE trim(l[i]) <> ''")
+def split_lines(spark, sf):
+    d = t(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    return d.where(F.trim("line") != "").select("doc_id", F.col("n").cast("long").alias("n"), "line")
+
+
+@query("""WITH s AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS seg FROM conversations)
+    SELECT conv_id, seg::BIGINT AS segment, string_agg(text, chr(10) ORDER BY turn) AS text FROM s WHERE role <> 'user' AND seg > 0 GROUP BY conv_id, seg""")
+def heading_segments(spark, sf):
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    d = t(spark, sf, "conversations").withColumn("segment", F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(w))
+    return d.where("role <> 'user' and segment > 0").groupBy("conv_id", "segment").agg(R.concat_in_order("text", ["turn"]).alias("text"))
+
+
+@query()
+def heading_paragraphs(spark, sf):
+    """Every sentence-ending line of a document becomes a heading; the state machine itself is tested on real headings."""
+    d = t(spark, sf, "documents").select("doc_id", F.concat(F.lit("§ 1\n"), F.replace("text", F.lit(".\n"), F.lit("\n§ 2.\n"))).alias("text"))
+    return split_headings(d, "doc_id", "text")
+
+
+@query(r"SELECT page_id, coalesce(regexp_extract(url || '/', '/(\d+)/', 1), '') AS pos, regexp_extract(url, '^https?://([^/]+)', 1) AS host FROM pages")
+def path_extract(spark, sf):
+    return t(spark, sf, "pages").select("page_id", F.coalesce(F.regexp_extract(F.concat("url", F.lit("/")), r"/(\d+)/", 1), F.lit("")).alias("pos"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"))
+
+
+@query("""WITH c AS (SELECT o_orderkey, (o_orderkey % 300) || '/' || extract(year FROM o_orderdate) || ' Sb.' AS citace FROM orders)
+    SELECT o_orderkey, citace, regexp_extract(citace, '(\\d{4})\\s+Sb\\.', 1)::INT AS rok, regexp_extract(citace, '^(\\d+)', 1)::INT AS cislo FROM c
+    WHERE regexp_extract(citace, '(\\d{4})\\s+Sb\\.', 1)::INT >= 1995 ORDER BY rok, cislo, o_orderkey LIMIT 100""")
+def law_key_sort_limit(spark, sf):
+    c = X.citation_of(F.col("o_orderkey") % 300, F.year("o_orderdate"))
+    d = t(spark, sf, "orders").select("o_orderkey", c.alias("citace")).withColumns({"rok": X.law_year(F.col("citace")), "cislo": X.law_number(F.col("citace"))})
+    return d.where("rok >= 1995").orderBy("rok", "cislo", "o_orderkey").limit(100)
+
+
+@query("SELECT conv_id, turn, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn = 1")
+def latest_version(spark, sf):
+    return R.latest(t(spark, sf, "conversations"), ["conv_id"], [F.desc("turn")]).select("conv_id", "turn", "text")
+
+
+@query("SELECT conv_id, turn, text IS DISTINCT FROM lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS changed FROM conversations")
+def version_diff(spark, sf):
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    return t(spark, sf, "conversations").select("conv_id", "turn", (~F.col("text").eqNullSafe(F.lag("text").over(w))).alias("changed"))
+
+
+# ---- state, counts, upserts ----------------------------------------------------------------------------------------
+@query("SELECT o_orderstatus AS phase, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def state_counts(spark, sf):
+    return t(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("phase")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT count(*) FILTER (o_orderstatus = 'O') AS success, count(*) FILTER (o_orderstatus = 'F') AS error, count(*) FILTER (o_orderstatus = 'P') AS skipped,
+    count(*) AS total, count(DISTINCT o_custkey) AS laws FROM orders""")
+def state_summary(spark, sf):
+    n = lambda s, a: F.count_if(F.col("o_orderstatus") == s).alias(a)
+    return t(spark, sf, "orders").agg(n("O", "success"), n("F", "error"), n("P", "skipped"), F.count("*").alias("total"), F.count_distinct("o_custkey").alias("laws"))
+
+
+@query("SELECT conv_id, NOT bool_or(role = 'system' AND length(trim(text)) > 0) AS blank FROM conversations GROUP BY conv_id")
+def all_blank(spark, sf):
+    return t(spark, sf, "conversations").groupBy("conv_id").agg((~F.bool_or((F.col("role") == "system") & (F.length(F.trim("text")) > 0))).alias("blank"))
+
+
+@query("""SELECT c_custkey, arg_max(c_name, v) AS c_name, arg_max(c_acctbal, v) AS c_acctbal FROM (
+    SELECT c_custkey, c_name, c_acctbal, 0 AS v FROM customer UNION ALL SELECT c_custkey, c_name, c_acctbal + 1, 1 FROM customer WHERE c_custkey % 3 = 0) GROUP BY c_custkey""")
+def upsert_merge(spark, sf):
+    c = t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return R.upsert(c, c.where("c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1), ["c_custkey"])
+
+
+@query("""SELECT user_id, arg_max(value, event_id) FILTER (event_type = 'purchase') AS amount, arg_max(event_type, event_id) AS phase FROM events GROUP BY user_id""")
+def state_from_log(spark, sf):
+    log = t(spark, sf, "events").select("user_id", F.when(F.col("event_type") == "purchase", F.col("value")).alias("amount"), F.col("event_type").alias("phase"), "event_id")
+    return R.current_state(log, "user_id", ["event_id"]).select("user_id", "amount", "phase")
+
+
+@query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 5")
+def per_file_limit(spark, sf):
+    return R.limit_per(t(spark, sf, "documents").select("doc_id", "source"), ["source"], ["doc_id"], 5)
+
+
+@query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20 OFFSET 40")
+def page_offset(spark, sf):
+    return R.page(t(spark, sf, "documents").select("doc_id", "n_chars"), [F.desc("n_chars"), "doc_id"], 20, 2)
+
+
+@query("SELECT chunk, count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS chunk FROM documents) GROUP BY chunk")
+def chunk_sizes(spark, sf):
+    return R.chunks(t(spark, sf, "documents").select("doc_id"), ["doc_id"], 100).groupBy("chunk").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, lang AS kind FROM documents WHERE lang = 'de' UNION ALL SELECT page_id, 'page' FROM pages")
+def concat_inputs(spark, sf):
+    a = t(spark, sf, "documents").where("lang = 'de'").select("doc_id", F.col("lang").alias("kind"))
+    return a.unionByName(t(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.lit("page").alias("kind")))
+
+
+# ---- scalar functions ----------------------------------------------------------------------------------------------
+@query("SELECT doc_id, sha256(text) AS sha, length(text)::INT AS chars FROM documents")
+def content_sha(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("sha"), F.length("text").alias("chars"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k')::INT AS k, coalesce(json_extract_string(props, '$.none'), '') AS none FROM events")
+def json_field(spark, sf):
+    return t(spark, sf, "events").select("event_id", F.from_json("props", "k int, none string").alias("j")).select("event_id", F.col("j.k").alias("k"), F.coalesce("j.none", F.lit("")).alias("none"))
+
+
+@query("SELECT p_partkey, replace(replace(p_name || '/' || p_brand || ' Sb.', ' Sb.', ''), '/', '_') AS code, substr(regexp_replace(trim(regexp_replace(p_brand || '  ' || p_name, '[^\\w\\s-]', '', 'g')), '\\s+', '_', 'g'), 1, 12) AS name FROM part")
+def name_normalise(spark, sf):
+    code = X.code_to_file(F.concat("p_name", F.lit("/"), "p_brand", F.lit(" Sb.")))
+    return t(spark, sf, "part").select("p_partkey", code.alias("code"), X.safe_name(F.concat("p_brand", F.lit("  "), "p_name"), 12).alias("name"))
+
+
+@query("SELECT page_id, list_extract(string_split(url, ':'), -1) AS local, list_extract(string_split(url, '/'), -1) AS base FROM pages")
+def local_names(spark, sf):
+    return t(spark, sf, "pages").select("page_id", X.local_name(F.col("url")).alias("local"), X.base_name(F.col("url")).alias("base"))
+
+
+@query("SELECT page_id, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS chars FROM pages")
+def markup_stripped(spark, sf):
+    return t(spark, sf, "pages").select("page_id", F.length(X.strip_markup(F.col("html"))).cast("long").alias("chars"))
+
+
+@query(f"SELECT doc_id, len(w) AS n_tokens, len(list_distinct(w)) AS n_terms FROM (SELECT doc_id, {TOKENS} AS w FROM documents)")
+def token_counts(spark, sf):
+    d = t(spark, sf, "documents").select("doc_id", X.analyse(F.col("text")).alias("w"))
+    return d.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.size(F.array_distinct("w")).cast("long").alias("n_terms"))
+
+
+@query(f"SELECT doc_id, {FOLDED.format('text')} AS folded FROM documents WHERE lang <> 'en'")
+def fold_diacritics(spark, sf):
+    return t(spark, sf, "documents").where("lang <> 'en'").select("doc_id", X.fold(F.col("text")).alias("folded"))
+
+
+@query()
+def long_split(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", F.posexplode(X.split_long(F.col("text"), 2000)).alias("part", "text"))
+
+
+# ---- search --------------------------------------------------------------------------------------------------------
+def _vector(spark, sf, ident: int) -> F.Column:
+    """One query vector, read by id (a single row)."""
+    return Q.literal_vector(t(spark, sf, "embeddings").where(F.col("vec_id") == ident).first()["embedding"])
+
+
+COS = "round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6)"
+
+
+@query(f"SELECT e.vec_id, {COS} AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 7) q ORDER BY score DESC, e.vec_id LIMIT 10")
+def knn_topk(spark, sf):
+    return Q.knn(t(spark, sf, "embeddings"), _vector(spark, sf, 7), 10, "vec_id")
+
+
+@query(f"SELECT e.vec_id, {COS} AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 7) q WHERE e.label IN (1, 3, 5) ORDER BY score DESC, e.vec_id LIMIT 10")
+def knn_filtered(spark, sf):
+    return Q.knn(t(spark, sf, "embeddings"), _vector(spark, sf, 7), 10, "vec_id", where=F.col("label").isin(1, 3, 5))
+
+
+@query(f"SELECT doc_id FROM (SELECT doc_id, lang, {TOKENS} AS w FROM documents) WHERE list_has_any(w, ['the', 'der']) AND list_has_any(w, ['that', 'und']) AND lang IN ('en', 'de')")
+def match_must(spark, sf):
+    d = t(spark, sf, "documents").where(F.col("lang").isin("en", "de"))
+    return Q.match_must(d, [["the", "der"], ["that", "und"]], X.analyse(F.col("text"))).select("doc_id")
+
+
+def _bm25_sql(terms: list[str], limit: str) -> str:
+    tf = ", ".join(f"len(list_filter(w, lambda x: x = '{x}'))::DOUBLE AS tf{i}" for i, x in enumerate(terms))
+    df = ", ".join(f"count(*) FILTER (tf{i} > 0)::DOUBLE AS df{i}" for i in range(len(terms)))
+    part = " + ".join(f"ln(1 + (N - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} * ({Q.K1} + 1) / (tf{i} + {Q.K1} * (1 - {Q.B} + {Q.B} * len / a))" for i in range(len(terms)))
+    any_ = " OR ".join(f"tf{i} > 0" for i in range(len(terms)))
+    return f"""(WITH w AS (SELECT doc_id, {TOKENS} AS w FROM documents), f AS (SELECT doc_id, len(w)::DOUBLE AS len, {tf} FROM w),
+    s AS (SELECT count(*)::DOUBLE AS N, avg(len) AS a, {df} FROM f) SELECT doc_id, round({part}, 6) AS score FROM f, s WHERE {any_} ORDER BY score DESC, doc_id {limit})"""
+
+
+@query("SELECT * FROM " + _bm25_sql(["the", "license", "und"], "LIMIT 10"))
+def bm25_topk(spark, sf):
+    return Q.bm25(t(spark, sf, "documents"), ["the", "license", "und"], "doc_id")
+
+
+def _rank_sql(ident: int) -> str:
+    return f"SELECT vec_id, row_number() OVER (ORDER BY score DESC, vec_id) AS r FROM (SELECT e.vec_id, {COS} AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = {ident}) q ORDER BY score DESC, e.vec_id LIMIT 50)"
+
+
+@query(f"""SELECT coalesce(a.vec_id, b.vec_id) AS vec_id, round(coalesce(1.0 / (60 + a.r), 0)::DOUBLE + coalesce(1.0 / (60 + b.r), 0)::DOUBLE, 8) AS score
+    FROM ({_rank_sql(7)}) a FULL JOIN ({_rank_sql(11)}) b ON a.vec_id = b.vec_id ORDER BY score DESC, vec_id LIMIT 10""")
+def hybrid_rrf(spark, sf):
+    e = t(spark, sf, "embeddings")
+    return Q.fuse(Q.knn(e, _vector(spark, sf, 7), 50, "vec_id"), Q.knn(e, _vector(spark, sf, 11), 50, "vec_id"), "vec_id", 10)
+
+
+@query("""SELECT vec_id, list_sum(list_transform(embedding, lambda x: round(127 * x::DOUBLE / m)))::BIGINT AS total, round(127 * embedding[1]::DOUBLE / m)::INT AS q0 FROM (
+    SELECT vec_id, embedding, list_max(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS m FROM embeddings)""")
+def quantise_int8(spark, sf):
+    q = t(spark, sf, "embeddings").select("vec_id", Q.quantise(F.col("embedding")).alias("q"))
+    return q.select("vec_id", F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.get("q", 0).cast("int").alias("q0"))
+
+
+@query()
+def ann_lsh(spark, sf):
+    """Candidates by sign hashing for every 100th vector against all, ranked exactly."""
+    e = t(spark, sf, "embeddings")
+    return Q.ann(e, e.where("vec_id % 100 = 0"), 10, "vec_id")
+
+
+@query()
+def embed_hash(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", E.embed(F.col("text")).alias("vektor"))
+
+
+@query("SELECT label, count(*) AS n, count(*) FILTER (vec_id % 2 = 0) AS even FROM embeddings GROUP BY label")
+def facet_counts(spark, sf):
+    return t(spark, sf, "embeddings").groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % 2 == 0).alias("even"))
+
+
+@query("SELECT p_name, count(*) AS n FROM part WHERE starts_with(p_name, 're') GROUP BY p_name")
+def suggest_prefix(spark, sf):
+    return t(spark, sf, "part").where(F.col("p_name").startswith("re")).groupBy("p_name").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT conv_id, count(*) AS n, list_extract(list(text ORDER BY turn), -1) AS last FROM conversations GROUP BY conv_id""")
+def nested_round_trip(spark, sf):
+    g = t(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("p"))
+    back = g.select("conv_id", F.explode("p").alias("x")).select("conv_id", "x.*")
+    return back.groupBy("conv_id").agg(F.count("*").alias("n"), F.max_by("text", "turn").alias("last"))
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (trim(text) <> '') AS text, bool_and(trim(text) = '') AS scan FROM conversations GROUP BY conv_id")
+def pages_joined(spark, sf):
+    g = t(spark, sf, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("p"))
+    return g.select("conv_id", D.join_pages(F.col("p")).alias("text"), D.is_scan(F.col("p")).alias("scan"))
