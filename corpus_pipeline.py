@@ -1,6 +1,60 @@
-STAGES = []
+"""A corpus pipeline of five stages; each takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexloom.llm import decontaminate, jaccard, langid, mixing, token_store
+from lexloom.llm.common import store
+
+#: Documents are rejected if no language is found or the best one's pooled probability is below this.
+MIN_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter and a language; the network learns from labelled rows that are not held out."""
+    out = langid.identify(docs, langid.learned(spark, docs), pred="_lang", score="_score")
+    return out.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= MIN_SCORE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least id stays."""
+    groups = jaccard.link_components(docs)
+    drop = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(store(drop, "gone"), F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id", "text"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a leak of a benchmark item."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: rows as often as they are drawn, shuffled within their shards."""
+    return mixing.mixed_rows(docs).select(*docs.columns)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the token files hold of each row."""
+    return token_store.token_output(spark, docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("source mix", source_mix),
+    ("token output", token_output),
+]
+
+#: A trained network, a keyed draw and a tokenizer are not SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        docs = out if k == len(STAGES) - 1 else store(out, f"stage{k}")
+    return docs
