@@ -187,6 +187,15 @@ def _snippets(units: Units, bits: int):
     return run
 
 
+def _blocks(size: np.ndarray, limit: int = 1 << 20):
+    """Ranges of snippets of about ``limit`` units together, so that intermediate arrays stay small."""
+    ends, a = np.cumsum(size), 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, side="right")))
+        yield a, b
+        a = b
+
+
 class Snippets:
     """A bucket partition's snippets, ordered by hash, with equal contents stored once."""
 
@@ -196,12 +205,13 @@ class Snippets:
         self.ids, self.th, self.at, self.windows = ids, th, at.astype(np.int64), windows.astype(np.int64)
         size = self.windows + units.window - 1
         starts = np.cumsum(size) - size
-        # name of a content: its bytes' or words' hash, its length and its anchor
-        if len(h):
-            name = np.add.reduceat(mix64((values.astype(_U) if kind is np.uint8 else values) + BYTE_TABLE[(np.arange(len(values)) - np.repeat(starts, size)) & 255] * (ranges(np.ones(len(size), np.int64), size).astype(_U))), starts)
-            name = mix64(name ^ h) + size.astype(_U)
-        else:
-            name = np.zeros(0, _U)
+        # name of a content: a hash of its units and places, its length and its anchor
+        name = np.zeros(len(h), _U)
+        for x, y in _blocks(size):
+            own, local = size[x:y], starts[x:y] - starts[x]
+            v = values[starts[x] : starts[y - 1] + own[-1]].astype(_U)
+            v += BYTE_TABLE[0] * ranges(np.zeros(y - x, np.int64), own).astype(_U)
+            name[x:y] = mix64(np.add.reduceat(mix64(v), local) ^ h[x:y]) + own.astype(_U)
         order = np.lexsort((name, h))
         a, b = runs(name[order] ^ h[order])
         self.group = np.empty(len(h), np.int64)  # of an occurrence: its content
@@ -211,7 +221,8 @@ class Snippets:
         self.low = np.minimum.reduceat(ids[order], a) if len(a) else np.zeros(0, np.int64)
         self.anchor, self.g_windows = h[first], self.windows[first]
         g_size = size[first]
-        self.values = values[ranges(starts[first], g_size)]  # contents one after the other, equal anchors side by side
+        # contents one after the other, equal anchors side by side
+        self.values = np.concatenate([values[ranges(starts[first[x:y]], g_size[x:y])] for x, y in _blocks(g_size)] or [values[:0]])
         self.g_start = np.cumsum(g_size) - g_size
         self.g_size = g_size
 
@@ -221,7 +232,7 @@ def spans_out(bits: int, snippets: Snippets, flag: np.ndarray, flag_start: np.nd
 
     ``only``: alternatively the least id of each window; then an occurrence loses the windows whose least id is below its own.
     """
-    step = 200_000
+    step = 50_000
     for c in range(0, len(snippets.group), step):
         g = snippets.group[c : c + step]
         n = snippets.g_windows[g]
@@ -263,7 +274,7 @@ def find_spans(d: DataFrame, units: Units, decide: Callable, within: bool) -> tu
     ``decide(batches, bits)`` gets a partition of SNIPPETS and yields packed ranges.
     """
     n = partitions(d, 16)
-    bits = max(7, min(15, int(2 * n - 1).bit_length()))
+    bits = max(7, min(15, int(4 * n - 1).bit_length()))
     blobs = d.select("th", "text").mapInArrow(_hashes(units, bits), "bucket int, key binary, v0 binary, v1 binary")
     again = blobs.repartition(n, "bucket").mapInArrow(_recurring(bits, within), "bucket int, key binary, v0 binary")
     cand = store(again.repartition(n, "bucket").mapInArrow(_group_blobs((np.int64,), None), "th long, v0 binary"), "recurring")
@@ -271,7 +282,7 @@ def find_spans(d: DataFrame, units: Units, decide: Callable, within: bool) -> tu
     wanted = store(cand.select("th").join(copies, "th"), "wanted")
     rows = d.join(_small(wanted.select("th", F.col("first").alias("id"))), ["th", "id"], "left_semi").select("id", "th", "text")
     joined = rows.join(cand, "th").select("id", "th", "text", "v0")
-    cut = joined.mapInArrow(_snippets(units, bits), SNIPPETS).repartition(n, "bucket")
+    cut = joined.mapInArrow(_snippets(units, bits), SNIPPETS).repartition(2 * n, "bucket")
     spans = cut.mapInArrow(lambda batches: decide(batches, bits), "bucket int, key binary, v0 binary, v1 binary")
     merged = store(spans.repartition(n, "bucket").mapInArrow(_group_blobs(("<u4", "<u4"), merge_spans), "th long, v0 binary, v1 binary"), "spans")
     texts = d.join(_small(merged.select("th").join(copies, "th").select("th", F.col("first").alias("id"))), ["th", "id"], "left_semi").select("th", "text")
