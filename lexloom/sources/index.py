@@ -12,7 +12,7 @@ from ..operators.relational import current_state, upsert
 
 
 class Index:
-    """``root/_current`` names the live version; a version is written whole before the pointer moves, so readers never see half of one."""
+    """``root/CURRENT`` names the live version; a version is written whole before the pointer moves, so readers never see half of one."""
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str] | None = None, partition: str | None = None):
         self.spark, self.root, self.keys, self.partition = spark, root.rstrip("/"), keys or ["_id"], partition
@@ -21,10 +21,10 @@ class Index:
         self.fs = self.path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def exists(self) -> bool:
-        return self.fs.exists(self.path(f"{self.root}/_current"))
+        return self.fs.exists(self.path(f"{self.root}/CURRENT"))
 
     def _pointer(self) -> dict:
-        text = self.spark.read.text(f"{self.root}/_current", wholetext=True).first()[0]
+        text = self.spark.read.text(f"{self.root}/CURRENT", wholetext=True).first()[0]
         return json.loads(text)
 
     def read(self) -> DataFrame:
@@ -49,11 +49,11 @@ class Index:
         w.parquet(f"{self.root}/{version}")
         order = [c for c in df.columns if c != self.partition] + ([self.partition] if self.partition else [])
         schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in order)
-        tmp = self.path(f"{self.root}/_current.{uuid.uuid4().hex}")
+        tmp = self.path(f"{self.root}/CURRENT.tmp.{uuid.uuid4().hex}")
         out = self.fs.create(tmp)
         out.write(bytearray(json.dumps({"version": version, "schema": schema}).encode()))
         out.close()
-        live = self.path(f"{self.root}/_current")
+        live = self.path(f"{self.root}/CURRENT")
         context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(self.root).toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
         option = self.spark.sparkContext._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
         option[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
