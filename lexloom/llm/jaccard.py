@@ -12,7 +12,8 @@ incomplete.  Those few (members of large groups of near copies above all) are jo
 ascending frequency, prefixes of (1-J)|r| + 1 of them, and pivots instead of all pairs of a group; whatever pairs
 across components remain after that are all verified, so no link is lost and nothing is capped.
 
-Every candidate is verified on the exact sets.  Sets are held by 64-bit hashes of shingles and of sets.
+Candidates are first held against histograms of the sets over ``BINS`` bins of the universe, whose distance never exceeds that of the
+sets, and what is left is verified on the exact sets.  Sets are held by 64-bit hashes of shingles and of sets.
 
 Cases: text without words (or null) has an empty set, linked with nothing, and is its own component; fewer than k words make
 one shingle; repeated rows and copies share one set; null ids are allowed (a component of null ids only has a null id);
@@ -38,6 +39,9 @@ HEAVY = 16
 #: Rows of checked size that may be broadcast.
 SMALL = 300_000
 PIVOT_ROUNDS = 4
+#: So many pairs among incomplete sets are verified at once, without pivots.
+AT_ONCE = 2_000_000
+BINS = 128
 
 
 class Bands:
@@ -158,7 +162,10 @@ def entries(bands: Bands, values: np.ndarray, counts: np.ndarray, which: int):
 
 
 def _blobs(k: int, j: Fraction, bits: int):
-    """Documents to index entries, packed by bucket (the key's top bits): sets with their number of entries, then keys and metas."""
+    """Documents to index entries, packed by bucket (the key's top bits): sets with their number of entries, then keys and metas.
+
+    40 more bits of the key are sent: as buckets stay equally large at any size, that makes about one false pair a bucket.
+    """
 
     def run(batches):
         bands = Bands(j)
@@ -185,7 +192,7 @@ def _blobs(k: int, j: Fraction, bits: int):
                     order = (packed & ((_U(1) << bit) - _U(1))).astype(np.int64)
                 owner, key, meta, bucket = owner[order], key[order], meta[order], bucket[order]
                 key <<= _U(bits)
-                hi, lo = (key >> _U(32)).astype("<u4"), ((key >> _U(16)) & _U(0xFFFF)).astype("<u2")
+                hi, lo = (key >> _U(32)).astype("<u4"), ((key >> _U(24)) & _U(0xFF)).astype(np.uint8)
                 rows = []
                 for a, b in zip(*runs(bucket), strict=True):
                     x, y = runs(owner[a:b])
@@ -248,7 +255,7 @@ def _match(bits: int):
         for bucket in sorted(got):
             rows = got.pop(bucket)
             name = np.concatenate([np.repeat(np.frombuffer(r[0], np.int64), np.frombuffer(r[1], "<u4")) for r in rows])
-            key = np.concatenate([np.frombuffer(r[2], "<u4").astype(_U) << _U(32) | np.frombuffer(r[3], "<u2").astype(_U) << _U(16) for r in rows])
+            key = np.concatenate([np.frombuffer(r[2], "<u4").astype(_U) << _U(32) | np.frombuffer(r[3], np.uint8).astype(_U) << _U(24) for r in rows])
             meta = np.concatenate([np.frombuffer(r[4], np.uint8) for r in rows])
             pairs, who, which, loss = _pairs_of(name, key, meta)
             x, y = _unique_pairs(*(np.concatenate(z) for z in zip(*pairs, strict=True))) if pairs else (np.zeros(0, np.int64),) * 2
@@ -263,14 +270,20 @@ def _match(bits: int):
     return run
 
 
+def histograms(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Tokens of each set by bin, up to 127; the sum of differences is at most the sets' symmetric difference."""
+    at = np.repeat(np.arange(len(counts)), counts) * BINS + (mix64(values ^ MULT[57]) >> _U(57)).astype(np.int64)
+    return np.minimum(127, np.bincount(at, minlength=len(counts) * BINS)).astype(np.int8)
+
+
 def _info(k: int, j: Fraction):
     def run(batches):
         bands = Bands(j)
         for batch in batches:
             for r0, r1, buf, offs in text_slices(batch, "text", 8 << 20):
                 values, counts = slice_sets(buf, offs, k)
-                cols = [batch.column(0).slice(r0, r1 - r0), batch.column(1).slice(r0, r1 - r0), pa.array(counts), pa.array(set_prints(values, counts)), *(pa.array(slacks(bands, values, counts, w)) for w in (0, 1))]
-                yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "n", "name", "s0", "s1"])
+                cols = [batch.column(0).slice(r0, r1 - r0), batch.column(1).slice(r0, r1 - r0), pa.array(counts), pa.array(set_prints(values, counts)), *(pa.array(slacks(bands, values, counts, w)) for w in (0, 1)), pa.ListArray.from_arrays(pa.array(np.arange(0, len(counts) * BINS + 1, BINS, dtype=np.int32)), pa.array(histograms(values, counts)))]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "n", "name", "s0", "s1", "bins"])
 
     return run
 
@@ -292,16 +305,39 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df.hint("shuffle_hash")
 
 
+def _near(pairs: DataFrame, reps: DataFrame, j: Fraction) -> DataFrame:
+    """Pairs whose sizes and histograms allow the similarity."""
+    d = pairs.join(reps.select(F.col("name").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
+    d = d.join(reps.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
+    d = d.where(F.least("na", "nb") * j.denominator >= F.greatest("na", "nb") * j.numerator)
+    apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda a, x: a + x)
+    p, q = j.numerator, j.denominator
+    return d.where(apart * (q + p) <= (q - p) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
-    """Pairs (a, b) whose exact sets are similar enough."""
-    left = sets.select(F.col("name").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("name").alias("b"), F.col("tokens").alias("tb"))
-    d = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("ta", "tb")))
+    """Pairs (a, b) whose exact sets are similar enough.  Each set travels once as ``b`` and once as ``a`` at most."""
+    few = pairs.limit(SMALL + 1).count() <= SMALL
+    mark = F.broadcast if few else (lambda d: d)
+    right = sets.join(mark(pairs), sets["name"] == pairs["b"]).select("a", "b", F.col("tokens").alias("tb"))
+    left = sets.join(mark(pairs.select(F.col("a").alias("name")).distinct()), "name", "left_semi").select(F.col("name").alias("a"), F.col("tokens").alias("ta"))
+    d = right.join(left, "a").withColumn("i", F.size(F.array_intersect("ta", "tb")))
     union = F.size("ta") + F.size("tb") - F.col("i")
     return d.where(F.col("i") * j.denominator >= union * j.numerator).select("a", "b")
 
 
-def _rest(members: DataFrame, sets: DataFrame, edges: DataFrame, j: Fraction) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
+    """Links among ``pairs`` that give their components: first each set with its least partner, then pairs across components."""
+    star = store(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "stars")
+    edges = store(_verified(star, sets, j), "links")
+    label = components(edges)
+    of = lambda side: label.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
+    rest = pairs.join(star, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    rest = store(rest.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"), "across")
+    return store(edges.union(_verified(rest, sets, j)), "links")
+
+
+def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, edges: DataFrame, j: Fraction) -> DataFrame:
     """All links among ``members`` (sets incomplete by light keys) that join different components, added to ``edges``."""
     mine = sets.join(members, "name", "left_semi").select("name", F.size("tokens").alias("n"), "tokens")
     tok = store(mine.select("name", "n", F.explode("tokens").alias("token")), "tokens")
@@ -317,11 +353,13 @@ def _rest(members: DataFrame, sets: DataFrame, edges: DataFrame, j: Fraction) ->
     for step in range(PIVOT_ROUNDS + 1):
         label = components(edges) if edges.limit(1).count() else edges.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
         g = d.join(label, d["name"] == label["node"], "left").select("name", "token", F.coalesce("label", "name").alias("label"))
-        live = g.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max_by(F.struct("name", "label"), F.xxhash64("name", F.lit(step))).alias("p")).where("l0 < l1")
-        live = store(live.select("token", "p"), "live")
-        if live.limit(1).count() == 0:
+        live = g.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max_by(F.struct("name", "label"), F.xxhash64("name", F.lit(step))).alias("p"), F.count("*").alias("n")).where("l0 < l1")
+        live = store(live.select("token", "p", (F.col("n") * (F.col("n") - 1) / 2).alias("n")), "live")
+        total = live.agg(F.sum("n")).first()[0]
+        if not total:
             return edges
-        if step < PIVOT_ROUNDS:
+        last = step == PIVOT_ROUNDS or total <= AT_ONCE
+        if not last:
             c = g.join(live, "token").where("label <> p.label").select(F.least("name", "p.name").alias("a"), F.greatest("name", "p.name").alias("b"))
         else:  # the exact rest: pairs across components only
             g = g.join(live.select("token"), "token", "left_semi")
@@ -331,47 +369,57 @@ def _rest(members: DataFrame, sets: DataFrame, edges: DataFrame, j: Fraction) ->
         if tested is not None:
             c = c.join(tested, ["a", "b"], "left_anti")
         c = store(c, "pairs")
-        good = _verified(c, sets, j)
+        good = _verified(_near(c, reps, j), sets, j)
         edges = store(edges.union(good), "edges")
+        if last:
+            return edges
         tested = c if tested is None else tested.union(c)
     return edges
 
 
-def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each input row: id, n_shingles, component_id (least id reachable by links)."""
+def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: int = 5, id_col: str = "doc_id", text: str = "text", first: bool = False) -> DataFrame:
+    """A row for each input row: id, n_shingles, component_id (least id reachable by links).
+
+    ``first``: also text_hash and is_first, which is true for one text of each component (and for empty sets).
+    """
     j = Fraction(threshold)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).cast("string").alias("text"))
-    info = store(d.mapInArrow(_info(k, j), "id long, th long, n long, name long, s0 long, s1 long"), "info")
+    info = store(d.mapInArrow(_info(k, j), "id long, th long, n long, name long, s0 long, s1 long, bins array<tinyint>"), "info")
     n = partitions(docs, 8)
     bits = max(7, min(16, int(2 * n - 1).bit_length()))
     blobs = d.select("text").mapInArrow(_blobs(k, j, bits), "bucket int, name binary, n binary, hi binary, lo binary, meta binary")
     found = store(blobs.repartition(n, "bucket").mapInArrow(_match(bits), FOUND), "found")
-    pairs = store(found.where("kind = 0").select("a", "b").distinct(), "pairs")
     loss = found.where("kind > 0").groupBy("a").agg(*(F.sum(F.when(F.col("kind") == 1 + w, F.col("b")).otherwise(0)).alias(f"l{w}") for w in (0, 1)))
-    reps = info.where("n > 0").groupBy("name").agg(F.min(F.struct("id", "th")).alias("rep"), F.min("s0").alias("s0"), F.min("s1").alias("s1"))
+    reps = info.where("n > 0").groupBy("name").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "th")).alias("rep"), F.min("s0").alias("s0"), F.min("s1").alias("s1"), F.min("n").alias("n"), F.first("bins").alias("bins"))
+    reps = store(reps, "sets")
+    pairs = store(_near(found.where("kind = 0").select("a", "b").distinct(), reps, j), "pairs")
     short = reps.join(loss, reps["name"] == loss["a"], "left").where("s0 - coalesce(l0, 0) < 0 or s1 - coalesce(l1, 0) < 0").select("name")
     short = store(short, "incomplete")
     wanted = pairs.select(F.col("a").alias("name")).union(pairs.select(F.col("b").alias("name"))).union(short).distinct()
     wanted = store(reps.join(wanted, "name", "left_semi").select("name", F.col("rep.id").alias("rid"), F.col("rep.th").alias("rth")), "wanted")
     at = wanted.select(F.col("rth").alias("th"), F.coalesce("rid", F.lit(0)).alias("i0"), F.col("rid").isNull().alias("no"))
     texts = d.withColumns({"i0": F.coalesce("id", F.lit(0)), "no": F.col("id").isNull()}).join(_small(at), ["th", "i0", "no"], "left_semi").select("text")
-    sets = store(texts.mapInArrow(_sets(k), "name long, tokens array<long>").dropDuplicates(["name"]), "sets")
-    edges = store(_verified(pairs, sets, j), "links")
-    edges = _rest(short, sets, edges, j)
-    out = info.select("id", "n", "name")
+    sets = store(texts.mapInArrow(_sets(k), "name long, tokens array<long>"), "sets")
+    if sets.count() > wanted.count():  # repeated rows
+        sets = store(sets.dropDuplicates(["name"]), "sets")
+    edges = _links(pairs, sets, j)
+    edges = _rest(short, sets, reps, edges, j)
+    out = info.select("id", "th", "n", "name")
     if edges.limit(1).count():
         label = components(edges)
-        least = reps.select("name", F.col("rep.id").alias("least")).join(label, reps["name"] == label["node"])
+        least = reps.select("name", F.col("rep").alias("least")).join(label, reps["name"] == label["node"])
         top = least.groupBy("label").agg(F.min("least").alias("c"))
         comp = store(least.join(top, "label").select("name", "c"), "members")
-        rest = reps.select("name", F.col("rep.id").alias("own"))
-        comp = rest.join(comp, "name", "left").select("name", F.coalesce("c", "own").alias("component_id"))
+        comp = reps.select("name", "rep").join(comp, "name", "left").select("name", F.coalesce("c", "rep").alias("c"))
     else:
-        comp = reps.select("name", F.col("rep.id").alias("component_id"))
+        comp = reps.select("name", F.col("rep").alias("c"))
     comp = store(comp, "component")
     out = out.join(comp, "name", "left")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
+    full = F.col("n") > 0
+    cols = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(full, F.col("c.id")).otherwise(F.col("id")).alias("component_id")]
+    if first:
+        cols += [F.col("th").alias("text_hash"), F.when(full, F.col("id").eqNullSafe(F.col("c.id")) & (F.col("th") == F.col("c.th"))).otherwise(True).alias("is_first")]
+    return out.select(*cols)
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
