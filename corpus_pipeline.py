@@ -19,10 +19,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays."""
-    groups = jaccard.link_components(docs)
-    drop = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(store(drop, "gone"), F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id", "text"])
+    """Of each group of linked documents the one with the least id stays, and of repeated rows one."""
+    groups = jaccard.link_components(docs, first=True)
+    seen = groups.groupBy("doc_id", "text_hash").agg(F.min("is_first").alias("keep"), F.count("*").alias("n"))
+    seen = store(seen.where("not keep or n > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), "keep"), "gone")
+    of = lambda s: F.col("doc_id").eqNullSafe(s["_id"]) & F.xxhash64("text").eqNullSafe(s["_th"])
+    once = docs.join(seen, of(seen), "left_anti")
+    repeated = seen.where("keep")
+    if repeated.limit(1).count() == 0:  # no row stands there twice, as is usual
+        return once
+    return once.unionByName(docs.join(repeated, of(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
