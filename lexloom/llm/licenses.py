@@ -87,6 +87,7 @@ class Index:
             h.append(g[at])
             t.append(np.full(len(at), i))
             p.append(at)
+        self.band = np.array([min(BAND, max(1, len(w) // 4)) for w in self.words])  # short notices may follow each other closely
         h, t, p = np.concatenate(h), np.concatenate(t), np.concatenate(p)
         order = np.argsort(h, kind="stable")
         self.h, self.t, self.p = h[order], t[order], p[order]
@@ -140,7 +141,7 @@ def scan_slice(index: Index, buf: np.ndarray, offs: np.ndarray, coverage: float
     d, shift = doc[pos], pos - p
     order = np.lexsort((pos, shift, t, d))
     pos, t, p, d, shift = pos[order], t[order], p[order], d[order], shift[order]
-    cut = np.flatnonzero((d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (shift[1:] - shift[:-1] > BAND)) + 1
+    cut = np.flatnonzero((d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (shift[1:] - shift[:-1] > index.band[t[1:]])) + 1
     out, bounds = [], np.searchsorted(doc, np.arange(len(offs)))
     for a, b in zip(np.r_[0, cut], np.r_[cut, len(pos)], strict=True):
         k, x = int(t[a]), int(d[a])
@@ -148,10 +149,11 @@ def scan_slice(index: Index, buf: np.ndarray, offs: np.ndarray, coverage: float
             continue
         template = index.words[k]
         base = int(np.median(shift[a:b]))
-        lo_w, hi_w = max(int(bounds[x]), base - BAND), min(int(bounds[x + 1]), base + len(template) + 2 * BAND)
-        pad = lo_w - (base - BAND)
+        band = int(index.band[k])
+        lo_w, hi_w = max(int(bounds[x]), base - band), min(int(bounds[x + 1]), base + len(template) + 2 * band)
+        pad = lo_w - (base - band)
         window = np.concatenate([np.zeros(pad, _U), w[lo_w:hi_w]])
-        n, f, e = align(template, window)
+        n, f, e = align(template, window, band)
         whole = n == len(template) == e - f + 1  # a word more or less makes another short notice
         if f >= 0 and (whole if len(template) <= SHORT else n >= coverage * len(template)):
             out.append((x, index.names[k], n, n / len(template), int(starts[lo_w - pad + f] - offs[x]), int(ends[lo_w - pad + e] - offs[x])))

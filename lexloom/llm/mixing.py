@@ -6,7 +6,8 @@ splits the vector of quotas by multivariate-hypergeometric draws, so every shard
 shards then take disjoint runs of the source's permuted draws and shuffle their rows locally.
 
 Cases: null text has size 0; a null source is a source of its own, last in order; null ids are allowed; repeated rows
-are rows of their own, which share a block; an empty table gives no rows; sources of size 0 get target 0.
+are rows of their own, which share a block; an empty table gives no rows; sources of size 0 get target 0; other
+columns stay as they are, but for those named in RESULT.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ DEFAULT_WEIGHTS = (5.0, 2.0, 1.0)
 #: Weights are set by a person, so sources are few; more than this many is taken for an error in the table.
 MAX_SOURCES = 100_000
 BLOCKS = 1024
+#: Columns that a plan adds; input columns of these names are replaced there.
+RESULT = ("size", "source_size", "target", "copies", "taken")
 
 
 def targets(sizes: list[int], weights: list[float], total: float, cap: float) -> list[float]:
@@ -94,7 +97,7 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, share: float = 1.5
     """Plan a mix of ``share`` times all words.  ``weights``: by source value; otherwise 5, 2, 1 in code-point order."""
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    blocked = _blocked(docs, id_col, text, source, seed, blocks)
+    blocked = _blocked(docs.drop(*RESULT), id_col, text, source, seed, blocks)
     sums = store(blocked.groupBy("_mx_key", "_mx_block").agg(F.sum("_mx_size").alias("n")), "blocks")
     per = sums.groupBy("_mx_key").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
@@ -141,9 +144,9 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, share: float = 1.5
         blocks_, nth = np.repeat(g["_mx_block"].to_numpy(), g["copies"]), np.concatenate([np.arange(c) for c in g["copies"]] or [[]])
         order = np.random.Generator(np.random.PCG64([seed, 1, pos])).permutation(len(blocks_))
         shard = np.searchsorted(ends[:, pos], np.arange(len(order)), side="right")
-        return pd.DataFrame({"_mx_key": g["_mx_key"].iloc[0], "_mx_block": blocks_[order], "_mx_copy": nth[order].astype("int32"), "shard": shard.astype("int32")})
+        return pd.DataFrame({"_mx_key": g["_mx_key"].iloc[0], "_mx_block": blocks_[order], "_mx_copy": nth[order].astype("int32"), "_mx_shard": shard.astype("int32")})
 
-    draws = picked.groupBy("_mx_key").applyInPandas(deal, "_mx_key string, _mx_block int, _mx_copy int, shard int")
+    draws = picked.groupBy("_mx_key").applyInPandas(deal, "_mx_key string, _mx_block int, _mx_copy int, _mx_shard int")
     # At most `blocks` rows for each of the few sources; Spark checks the size before it broadcasts.
     rows = blocked.join(picked.drop("_mx_pos", "_mx_perm"), ["_mx_key", "_mx_block"], "left")
     return Mix(rows.withColumn("size", F.col("_mx_size")).withColumn("taken", F.col("_mx_size") * F.col("copies")), draws, shards, seed)
@@ -155,9 +158,10 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     mix = mix_sources(docs, **options)
     blocked = _blocked(docs, id_col, text, source, mix.seed, options.get("blocks", BLOCKS))
     out = blocked.join(mix.draws, ["_mx_key", "_mx_block"])
-    out = out.repartition(mix.shards, "shard")
-    out = out.sortWithinPartitions("shard", F.xxhash64(F.lit(mix.seed + 1), F.col(id_col), F.col("_mx_copy"), F.col(text)))
-    return out.select(*docs.columns, "shard") if "shard" not in docs.columns else out.select(*[docs[c] for c in docs.columns])
+    out = out.repartition(mix.shards, "_mx_shard")
+    out = out.sortWithinPartitions("_mx_shard", F.xxhash64(F.lit(mix.seed + 1), F.col(id_col), F.col("_mx_copy"), F.col(text)))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*own) if "shard" in docs.columns else out.select(*own, F.col("_mx_shard").alias("shard"))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
