@@ -19,7 +19,7 @@ from .common import store
 
 WINDOW, MISSES, SHORT = 13, 2, 8
 MASKS = ("11101011", "11001111")
-#: Seeds of test items that may be broadcast after a count; more of them are joined by shuffle.
+#: Rows of seeds, or of documents with hits, that may be broadcast after a count; more of them are joined by shuffle.
 SMALL = 500_000
 
 
@@ -28,13 +28,27 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
 
-def _hashes(array: str, at: Column, masks: dict[int, tuple[int, ...]]) -> Column:
-    """Hashes of all masks placed at ``at`` (from 0); null where a mask does not fit."""
-    out = []
-    for number, keep in masks.items():
-        fits = at + keep[-1] < F.size(array)
-        out.append(F.when(fits, F.xxhash64(F.lit(number), *[F.get(array, at + j) for j in keep])))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+def _hashes(array: str, masks: dict[int, tuple[int, ...]]) -> Column:
+    """Hashes of all masks at all places: as many for each mask as there are tokens, so place = index modulo size.
+
+    Where a mask runs over the end, fewer tokens are hashed; no placement within an item gives that.
+    """
+    place = lambda number, keep: F.transform(array, lambda x, i: F.xxhash64(F.lit(number), x, *[F.get(array, i + j) for j in keep[1:]]))
+    return F.flatten(F.array(*[place(number, keep) for number, keep in masks.items()]))
+
+
+def _placed(df: DataFrame, array: str, masks: dict[int, tuple[int, ...]], *cols: str) -> DataFrame:
+    """Rows (cols, place, h); the token arrays themselves are not carried through the explosion.
+
+    An outer explosion, since Spark would test an inner one's array in a filter and compute it there once more for each element.
+    """
+    d = df.withColumn("_h", _hashes(array, masks)).withColumn("_n", F.size(array)).select(*cols, "_n", "_h")
+    return d.select(*cols, "_n", F.posexplode_outer("_h").alias("_i", "h")).select(*cols, (F.col("_i") % F.col("_n")).alias("place"), F.floor(F.col("_i") / F.col("_n")).cast("int").alias("mask"), "h")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if a count shows that it is small, and for a shuffled hash join otherwise."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df.hint("shuffle_hash")
 
 
 def _masks(short: list[int]) -> dict[int, tuple[int, ...]]:
@@ -49,22 +63,22 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
     # At most WINDOW - SHORT lengths.
     short = sorted(r[0] for r in t.where(F.size("iw") < WINDOW).select(F.size("iw")).distinct().collect())
     masks = _masks(short)
-    seed = t.select("item", "iw", F.explode(F.sequence(F.lit(0), F.size("iw") - 1)).alias("p"))
-    seed = seed.withColumn("h", F.explode(_hashes("iw", F.col("p"), masks)))
-    # A repeated stretch of one item would hit several offsets; all of them are kept.
-    seed = store(seed.select("h", "item", "p", "iw").distinct(), "seeds")
-
-    d = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.transform(tokens(F.col(text)), lambda x: F.xxhash64(x)).alias("w"))
-    d = d.where(F.size("w") >= SHORT)
-    at = d.select("doc", "th", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
-    if seed.limit(SMALL + 1).count() <= SMALL:
-        at = at.select("doc", "w", "i", F.explode(_hashes("w", F.col("i"), masks)).alias("h"))
-        hits = at.join(F.broadcast(seed), "h").select("doc", "item", "w", "iw", (F.col("i") - F.col("p")).alias("shift"))
-    else:
-        at = at.select("doc", "th", "i", F.explode(_hashes("w", F.col("i"), masks)).alias("h"))
-        hits = at.join(seed.drop("iw"), "h").select("doc", "th", "item", (F.col("i") - F.col("p")).alias("shift")).distinct()
-        same = d["doc"].eqNullSafe(hits["doc"]) & (d["th"] == hits["th"])
-        hits = hits.join(t, hits["item"].eqNullSafe(t["item"])).drop(t["item"]).join(d, same).select(d["doc"], "item", "w", "iw", "shift")
+    last = F.array(*[F.lit(keep[-1]) for keep in masks.values()])
+    seed = _placed(t.withColumn("m", F.size("iw")), "iw", masks, "item", "m")
+    # A repeated stretch of one item hits several offsets; all of them are kept.
+    seed = store(seed.where(F.col("place") + F.get(last, F.col("mask")) < F.col("m")).select("h", "item", F.col("place").alias("p")).distinct(), "seeds")
+
+    d = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t"))
+    w = d.select("doc", "th", F.transform(tokens(F.col("t")), lambda x: F.xxhash64(x)).alias("w")).where(F.size("w") >= SHORT)
+    at = _placed(w, "w", masks, "doc", "th").select("doc", "th", "place", "h")
+    hits = at.join(_small(seed), "h").select("doc", "th", "item", (F.col("place") - F.col("p")).alias("shift")).distinct()
+    hits = store(hits, "hits")
+    # Only documents with a hit are read again.
+    keys = hits.select(F.col("doc").alias("kd"), F.col("th").alias("kt")).distinct()
+    same = (d["th"] == F.col("kt")) & d["doc"].eqNullSafe(F.col("kd"))
+    w = d.join(_small(keys), same, "left_semi").select("doc", "th", F.transform(tokens(F.col("t")), lambda x: F.xxhash64(x)).alias("w")).distinct()
+    hits = hits.join(w, (hits["th"] == w["th"]) & hits["doc"].eqNullSafe(w["doc"])).select(hits["doc"], "item", "shift", "w")
+    hits = hits.join(t, hits["item"].eqNullSafe(t["item"])).select("doc", hits["item"], "w", "iw", "shift")
     # equal[p]: 1 where item token p lies over an equal document token
     hits = hits.withColumn("equal", F.transform("iw", lambda x, p: F.when(F.get("w", F.col("shift") + p) == x, 1).otherwise(0)))
     hits = hits.withColumn("inside", F.transform("iw", lambda x, p: (F.col("shift") + p >= 0) & (F.col("shift") + p < F.size("w"))))
