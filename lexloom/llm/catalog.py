@@ -18,6 +18,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_line_quality": quality.SQL,
     "op2_jaccard_join": jaccard.SQL,
+    "op3_suffix_dedup": suffix_dedup.SQL,
     "op5_phrase_dedup": phrases.SQL,
     "op6_spaced_seeds": decontaminate.SQL,
 }

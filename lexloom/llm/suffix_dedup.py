@@ -218,3 +218,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = 16, id_col
 
 def op3(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS MATERIALIZED (SELECT doc_id, i AS p, substr(h, 2 * i + 1, 2) AS b, CASE WHEN i <= len(h) // 2 - 50 THEN substr(h, 2 * i + 1, 100) END AS g FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS i FROM d)),
+m AS (SELECT g, min(doc_id) AS first FROM p WHERE g IS NOT NULL GROUP BY g),
+r AS (SELECT doc_id, p FROM p JOIN m USING (g) WHERE doc_id > first),
+x AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM r),
+n AS (SELECT x.doc_id, count(*) AS gone, count(*) FILTER (y.p IS NULL) AS spans FROM x LEFT JOIN x y ON y.doc_id = x.doc_id AND y.p = x.p - 1 GROUP BY x.doc_id),
+k AS (SELECT p.doc_id, string_agg(b, '' ORDER BY p.p) AS kept FROM p LEFT JOIN x ON x.doc_id = p.doc_id AND x.p = p.p WHERE x.p IS NULL GROUP BY p.doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
