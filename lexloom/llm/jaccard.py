@@ -12,7 +12,7 @@ incomplete.  Those few (members of large groups of near copies above all) are jo
 ascending frequency, prefixes of (1-J)|r| + 1 of them, and pivots instead of all pairs of a group; whatever pairs
 across components remain after that are all verified, so no link is lost and nothing is capped.
 
-Candidates are first held against histograms of the sets over ``BINS`` bins of the universe, whose distance never exceeds that of the
+Candidates are first held against histograms of the sets over bins of the universe, whose distance never exceeds that of the
 sets, and what is left is verified on the exact sets.  Sets are held by 64-bit hashes of shingles and of sets.
 
 Cases: text without words (or null) has an empty set, linked with nothing, and is its own component; fewer than k words make
@@ -41,7 +41,7 @@ SMALL = 300_000
 PIVOT_ROUNDS = 4
 #: So many pairs among incomplete sets are verified at once, without pivots.
 AT_ONCE = 2_000_000
-BINS = 128
+BINS, LARGE_BINS, LARGE = 128, 2048, 1024
 
 
 class Bands:
@@ -270,10 +270,18 @@ def _match(bits: int):
     return run
 
 
-def histograms(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Tokens of each set by bin, up to 127; the sum of differences is at most the sets' symmetric difference."""
-    at = np.repeat(np.arange(len(counts)), counts) * BINS + (mix64(values ^ MULT[57]) >> _U(57)).astype(np.int64)
-    return np.minimum(127, np.bincount(at, minlength=len(counts) * BINS)).astype(np.int8)
+def histograms(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    """Tokens of each set by bin, up to 127; the sum of differences is at most the sets' symmetric difference.
+
+    Large sets get more bins, so that bins stay sparse; only histograms of equal length are compared.
+    """
+    size = np.where(counts >= LARGE, LARGE_BINS, BINS)
+    at = np.r_[0, np.cumsum(size)]
+    wide = np.repeat(size, counts) == LARGE_BINS
+    h = mix64(values ^ MULT[57])
+    bins = np.where(wide, h >> _U(53), h >> _U(57)).astype(np.int64)
+    n = np.bincount(np.repeat(at[:-1], counts) + bins, minlength=int(at[-1]))
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.minimum(127, n).astype(np.int8)))
 
 
 def _info(k: int, j: Fraction):
@@ -282,7 +290,7 @@ def _info(k: int, j: Fraction):
         for batch in batches:
             for r0, r1, buf, offs in text_slices(batch, "text", 8 << 20):
                 values, counts = slice_sets(buf, offs, k)
-                cols = [batch.column(0).slice(r0, r1 - r0), batch.column(1).slice(r0, r1 - r0), pa.array(counts), pa.array(set_prints(values, counts)), *(pa.array(slacks(bands, values, counts, w)) for w in (0, 1)), pa.ListArray.from_arrays(pa.array(np.arange(0, len(counts) * BINS + 1, BINS, dtype=np.int32)), pa.array(histograms(values, counts)))]
+                cols = [batch.column(0).slice(r0, r1 - r0), batch.column(1).slice(r0, r1 - r0), pa.array(counts), pa.array(set_prints(values, counts)), *(pa.array(slacks(bands, values, counts, w)) for w in (0, 1)), histograms(values, counts)]
                 yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "n", "name", "s0", "s1", "bins"])
 
     return run
@@ -312,6 +320,7 @@ def _near(pairs: DataFrame, reps: DataFrame, j: Fraction) -> DataFrame:
     d = d.where(F.least("na", "nb") * j.denominator >= F.greatest("na", "nb") * j.numerator)
     apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda a, x: a + x)
     p, q = j.numerator, j.denominator
+    apart = F.when(F.size("ba") == F.size("bb"), apart).otherwise(0)
     return d.where(apart * (q + p) <= (q - p) * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
