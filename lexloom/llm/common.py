@@ -18,7 +18,7 @@ _IS_SEP = np.zeros(256, bool)
 _IS_SEP[list(SEPARATORS)] = True
 
 #: Text bytes that one vectorised step handles; a longer document forms a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))

@@ -121,7 +121,7 @@ def _hashes(units: Units, bits: int):
     def run(batches):
         for batch in batches:
             th = np.asarray(batch.column(0))
-            for r0, r1, buf, offs in text_slices(batch, "text"):
+            for r0, r1, buf, offs in text_slices(batch, "text", 1 << 20 if units.kind == "bytes" else None):
                 uo, _, grams = units.read(buf, offs)
                 doc, _, _, h = units.anchors(uo, grams)
                 if not len(h):
@@ -164,7 +164,7 @@ def _snippets(units: Units, bits: int):
     def run(batches):
         for batch in batches:
             ids, th, lists = np.asarray(batch.column(0)), np.asarray(batch.column(1)), batch.column(3).to_pylist()
-            for r0, r1, buf, offs in text_slices(batch, "text"):
+            for r0, r1, buf, offs in text_slices(batch, "text", 1 << 20 if units.kind == "bytes" else None):
                 uo, values, grams = units.read(buf, offs)
                 doc, a, b, h = units.anchors(uo, grams)
                 wanted = np.concatenate([np.frombuffer(x, np.int64) for x in lists[r0:r1]] or [np.zeros(0, np.int64)]).view(_U)
