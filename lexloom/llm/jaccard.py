@@ -170,7 +170,7 @@ def _blobs(k: int, j: Fraction, bits: int):
     def run(batches):
         bands = Bands(j)
         for batch in batches:
-            for _, _, buf, offs in text_slices(batch, "text", 8 << 20):
+            for _, _, buf, offs in text_slices(batch, "text", 4 << 20):
                 values, counts = slice_sets(buf, offs, k)
                 name = set_prints(values, counts)
                 _, first = np.unique(name, return_index=True)  # copies within the slice count once
@@ -288,7 +288,7 @@ def _info(k: int, j: Fraction):
     def run(batches):
         bands = Bands(j)
         for batch in batches:
-            for r0, r1, buf, offs in text_slices(batch, "text", 8 << 20):
+            for r0, r1, buf, offs in text_slices(batch, "text", 4 << 20):
                 values, counts = slice_sets(buf, offs, k)
                 cols = [batch.column(0).slice(r0, r1 - r0), batch.column(1).slice(r0, r1 - r0), pa.array(counts), pa.array(set_prints(values, counts)), *(pa.array(slacks(bands, values, counts, w)) for w in (0, 1)), histograms(values, counts)]
                 yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "n", "name", "s0", "s1", "bins"])
@@ -362,8 +362,10 @@ def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, edges: DataFrame
     for step in range(PIVOT_ROUNDS + 1):
         label = components(edges) if edges.limit(1).count() else edges.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
         g = d.join(label, d["name"] == label["node"], "left").select("name", "token", F.coalesce("label", "name").alias("label"))
-        live = g.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max_by(F.struct("name", "label"), F.xxhash64("name", F.lit(step))).alias("p"), F.count("*").alias("n")).where("l0 < l1")
-        live = store(live.select("token", "p", (F.col("n") * (F.col("n") - 1) / 2).alias("n")), "live")
+        mark = F.max_by(F.struct("name", "label"), F.xxhash64("name", F.lit(step))).alias("p")
+        live = g.groupBy("token", "label").agg(F.count("*").alias("n"), mark).groupBy("token")
+        live = live.agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"), F.count("*").alias("labels"), F.max_by("p", F.xxhash64("p.name", F.lit(step))).alias("p"), F.max_by("label", F.struct("n", "label")).alias("top")).where("labels > 1")
+        live = store(live.select("token", "p", "top", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("n")), "live")  # pairs across components
         total = live.agg(F.sum("n")).first()[0]
         if not total:
             return edges
@@ -371,9 +373,10 @@ def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, edges: DataFrame
         if not last:
             c = g.join(live, "token").where("label <> p.label").select(F.least("name", "p.name").alias("a"), F.greatest("name", "p.name").alias("b"))
         else:  # the exact rest: pairs across components only
-            g = g.join(live.select("token"), "token", "left_semi")
-            o = g.select("token", F.col("name").alias("other"), F.col("label").alias("l2"))
-            c = g.join(o, "token").where("name < other and label <> l2").select(F.col("name").alias("a"), F.col("other").alias("b"))
+            # one of the two is outside the token's largest component
+            g = g.join(live.select("token", "top"), "token")
+            o = g.where("label <> top").select("token", F.col("name").alias("other"), F.col("label").alias("l2"))
+            c = g.join(o, "token").where("label <> l2").select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b"))
         c = c.distinct()
         if tested is not None:
             c = c.join(tested, ["a", "b"], "left_anti")
