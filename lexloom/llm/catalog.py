@@ -5,6 +5,7 @@ from . import decontaminate, jaccard, langid, licenses, mixing, phrases, pseudon
 QUERIES = {
     "op1_line_quality": quality.op1,
     "op2_jaccard_join": jaccard.op2,
+    "op2_jaccard_links": jaccard.op2_links,
     "op3_suffix_dedup": suffix_dedup.op3,
     "op4_language_id": langid.op4,
     "op5_phrase_dedup": phrases.op5,
@@ -18,6 +19,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_line_quality": quality.SQL,
     "op2_jaccard_join": jaccard.SQL,
+    "op2_jaccard_links": jaccard.LINKS_SQL,
     "op3_suffix_dedup": suffix_dedup.SQL,
     "op5_phrase_dedup": phrases.SQL,
     "op6_spaced_seeds": decontaminate.SQL,

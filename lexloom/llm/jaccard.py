@@ -346,8 +346,8 @@ def _links(pairs: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
     return store(edges.union(_verified(rest, sets, j)), "links")
 
 
-def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, edges: DataFrame, j: Fraction) -> DataFrame:
-    """All links among ``members`` (sets incomplete by light keys) that join different components, added to ``edges``."""
+def _prefixes(members: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
+    """(name, token) of ``members``: of two similar sets at least one token of the prefixes is common."""
     mine = sets.join(members, "name", "left_semi").select("name", F.size("tokens").alias("n"), "tokens")
     tok = store(mine.select("name", "n", F.explode("tokens").alias("token")), "tokens")
     often = tok.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
@@ -355,7 +355,12 @@ def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, edges: DataFrame
     need = F.floor((1 - F.lit(j.numerator) / j.denominator) * F.col("n") + 1e-9) + 1
     d = tok.join(often, "token").groupBy("name", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("x"))  # a set's own tokens
     d = d.withColumn("take", (need - (F.col("n") - F.size("x"))).cast("int")).where("take > 0")
-    d = store(d.select("name", F.explode(F.slice("x", F.lit(1), F.col("take"))).alias("x")).select("name", F.col("x.token").alias("token")), "prefix")
+    return store(d.select("name", F.explode(F.slice("x", F.lit(1), F.col("take"))).alias("x")).select("name", F.col("x.token").alias("token")), "prefix")
+
+
+def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, edges: DataFrame, j: Fraction) -> DataFrame:
+    """All links among ``members`` (sets incomplete by light keys) that join different components, added to ``edges``."""
+    d = _prefixes(members, sets, j)
     if d.limit(1).count() == 0:
         return edges
     tested = None
@@ -389,12 +394,8 @@ def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, edges: DataFrame
     return edges
 
 
-def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: int = 5, id_col: str = "doc_id", text: str = "text", first: bool = False) -> DataFrame:
-    """A row for each input row: id, n_shingles, component_id (least id reachable by links).
-
-    ``first``: also text_hash and is_first, which is true for one text of each component (and for empty sets).
-    """
-    j = Fraction(threshold)
+def _prepared(docs: DataFrame, j: Fraction, k: int, id_col: str, text: str) -> tuple[DataFrame, ...]:
+    """Rows with their sets' names, distinct sets, candidate pairs, sets incomplete by light keys, and tokens of the sets that matter."""
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).cast("string").alias("text"))
     info = store(d.mapInArrow(_info(k, j), "id long, th long, n long, name long, s0 long, s1 long, bins array<tinyint>"), "info")
     n = partitions(docs, 8)
@@ -414,6 +415,16 @@ def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: in
     sets = store(texts.mapInArrow(_sets(k), "name long, tokens array<long>"), "sets")
     if sets.count() > wanted.count():  # repeated rows
         sets = store(sets.dropDuplicates(["name"]), "sets")
+    return info, reps, pairs, short, sets
+
+
+def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: int = 5, id_col: str = "doc_id", text: str = "text", first: bool = False) -> DataFrame:
+    """A row for each input row: id, n_shingles, component_id (least id reachable by links).
+
+    ``first``: also text_hash and is_first, which is true for one text of each component (and for empty sets).
+    """
+    j = Fraction(threshold)
+    info, reps, pairs, short, sets = _prepared(docs, j, k, id_col, text)
     edges = _links(pairs, sets, j)
     edges = _rest(short, sets, reps, edges, j)
     out = info.select("id", "th", "n", "name")
@@ -434,10 +445,48 @@ def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: in
     return out.select(*cols)
 
 
+def _all_links(docs: DataFrame, j: Fraction, k: int, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with their sets' names, and every pair (a, b) of distinct similar sets, also within one component."""
+    info, reps, pairs, short, sets = _prepared(docs, j, k, id_col, text)
+    d = _prefixes(short, sets, j)
+    o = d.select(F.col("name").alias("other"), "token")
+    rest = _near(d.join(o, "token").where("name < other").select(F.col("name").alias("a"), F.col("other").alias("b")).distinct(), reps, j)
+    return info, store(_verified(store(pairs.union(rest).distinct(), "pairs"), sets, j), "links")
+
+
+def links(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every verified link between distinct sets: the least ids of both (a, b) and the number of rows with each set (n_a, n_b).
+
+    Their number grows with the square of a group of near copies.  Rows of one set are linked among themselves, without a row here.
+    """
+    info, found = _all_links(docs, Fraction(threshold), k, id_col, text)
+    reps = store(info.where("n > 0").groupBy("name").agg(F.min("id").alias("id"), F.count("*").alias("rows")), "classes")
+    side = lambda c: reps.select(F.col("name").alias(c), F.col("id").alias(f"i{c}"), F.col("rows").alias(f"n_{c}"))
+    d = found.join(side("a"), "a").join(side("b"), "b")
+    turn = F.col("ia") > F.col("ib")
+    pick = lambda x, y, name: F.when(turn, F.col(y)).otherwise(F.col(x)).alias(name)
+    return d.select(pick("ia", "ib", "a"), pick("ib", "ia", "b"), pick("n_a", "n_b", "n_a"), pick("n_b", "n_a", "n_b"))
+
+
+def count_links(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row for each input row: id and n_links, the exact number of other rows that are similar enough (equal sets included)."""
+    info, found = _all_links(docs, Fraction(threshold), k, id_col, text)
+    rows = store(info.where("n > 0").groupBy("name").agg(F.count("*").alias("rows")), "classes")
+    both = found.union(found.select("b", "a"))
+    far = both.join(rows, both["b"] == rows["name"]).groupBy("a").agg(F.sum("rows").alias("far"))
+    per = store(rows.join(far, rows["name"] == far["a"], "left").select("name", (F.col("rows") - 1 + F.coalesce("far", F.lit(0))).alias("n_links")), "per set")
+    out = info.join(per, "name", "left")
+    return out.select(F.col("id").alias(id_col), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).cast("long").alias("n_links"))
+
+
 def op2(spark, sf_dir: str) -> DataFrame:
     return link_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op2_links(spark, sf_dir: str) -> DataFrame:
+    return count_links(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 SQL = r"""
 WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0),
@@ -450,3 +499,7 @@ r AS (SELECT x AS a, x AS z FROM b UNION SELECT r.a, b.y FROM r JOIN b ON b.x =
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.m, d.doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(z) AS m FROM r GROUP BY a) c ON c.a = d.doc_id
 """
+
+LINKS_SQL = SQL[: SQL.index(",\nr AS")] + """
+SELECT d.doc_id, count(b.y)::BIGINT AS n_links FROM d LEFT JOIN b ON b.x = d.doc_id GROUP BY d.doc_id
+"""
