@@ -11,8 +11,6 @@ columns are not read.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import SEP_CLASS, ranges, runs, store, window_hashes, word_count
 from .repeats import Snippets, Units, find_spans, named, spans_out
-from .suffix_dedup import EMPTY_SHA
+from .suffix_dedup import CUT_BYTES, EMPTY_SHA, SPANS, SPANS_SQL
 
 _U = np.uint64
 WINDOW = 35
@@ -84,39 +82,55 @@ def _decide(units: Units):
 
 
 def _cut(batches):
+    """(th, text, starts, lengths) to (th, spans, kept words), in small batches."""
     import re
 
     words = re.compile(rb"[^\x20\x09-\x0D]+").findall
     for b in batches:
         th, text, v0, v1 = (b.column(i) for i in range(4))
-        rows = []
-        for t, x, y in zip(text.to_pylist(), v0.to_pylist(), v1.to_pylist(), strict=True):
-            w, starts, sizes = words(t.encode()), np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+        done, held, gone, left = 0, 0, [], []
+        for r, (t, x, y) in enumerate(zip(text, v0, v1, strict=True)):
+            raw = t.as_buffer().to_pybytes()
+            w, starts, sizes = words(raw), np.frombuffer(x.as_py(), "<u4").tolist(), np.frombuffer(y.as_py(), "<u4").tolist()
             kept, at = [], 0
-            for p, n in zip(starts.tolist(), sizes.tolist(), strict=True):
+            for p, n in zip(starts, sizes, strict=True):
                 kept += w[at:p]
                 at = p + n
             kept += w[at:]
-            rows.append((int(sizes.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()))
-        cols = list(zip(*rows, strict=True)) if rows else [[], []]
-        yield pa.RecordBatch.from_arrays([th, pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string())], names=["th", "removed", "sha"])
+            left.append(b" ".join(kept))
+            gone.append([{"start": p, "length": n} for p, n in zip(starts, sizes, strict=True)])
+            held += len(raw)
+            if held > CUT_BYTES or r == len(th) - 1:
+                yield pa.RecordBatch.from_arrays([th.slice(done, r + 1 - done), pa.array(gone, SPANS), pa.array(left, pa.binary()).cast(pa.string())], names=["th", "spans", "kept"])
+                done, held, gone, left = r + 1, 0, [], []
 
 
-def remove_phrases(docs: DataFrame, window: int = WINDOW, gram: int = 8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each input row: id, n_words, n_removed, kept_sha256 (kept words joined by one space)."""
+def clean_phrases(docs: DataFrame, window: int = WINDOW, gram: int = 8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row for each input row: id, n_words, n_removed, kept_sha256, kept (the words left, joined by one space) and spans (words removed: start, length)."""
     d = named(docs, id_col, text)
     units = Units("words", window, gram)
     merged, copies, texts = find_spans(d, units, _decide(units), within=True)
-    cut = store(texts.join(merged, "th").select("th", "text", "v0", "v1").mapInArrow(_cut, "th long, removed long, sha string"), "cut")
+    cut = store(texts.join(merged, "th").select("th", "text", "v0", "v1").mapInArrow(_cut, f"th long, spans {SPANS_SQL}, kept string"), "cut")
     more = store(copies.where("rows > 1").select("th", "rows"), "copies")
+    # Counts and digests are taken before the join, so that texts only travel if they are asked for.
+    cut = cut.select("th", F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["length"]).alias("removed"), F.sha2("kept", 256).alias("sha"), "spans", "kept")
     plain = F.btrim(F.regexp_replace("text", SEP_CLASS + "+", " "), F.lit(" "))
-    rows = d.select("own", "th", word_count(F.col("text")).alias("n"), F.sha2(plain, 256).alias("whole"))
+    rows = d.select("own", "th", word_count(F.col("text")).alias("n"), F.sha2(plain, 256).alias("whole"), plain.alias("all"))
     rows = rows.join(cut, "th", "left").join(more, "th", "left")
     copy = (F.col("rows") > 1) & (F.col("n") >= window)
+    pick = lambda a, b, c: F.when(copy, a).otherwise(F.coalesce(b, c))
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("length")))
     return rows.select(
         F.col("own").alias(id_col), F.col("n").alias("n_words"),
-        F.when(copy, F.col("n")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(copy, F.lit(EMPTY_SHA)).otherwise(F.coalesce("sha", "whole")).alias("kept_sha256"))
+        pick(F.col("n"), F.col("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        pick(F.lit(EMPTY_SHA), F.col("sha"), F.col("whole")).alias("kept_sha256"),
+        pick(F.lit(""), F.col("kept"), F.col("all")).alias("kept"),
+        pick(everything, F.col("spans"), F.array().cast(SPANS_SQL)).alias("spans"))
+
+
+def remove_phrases(docs: DataFrame, window: int = WINDOW, gram: int = 8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of ``clean_phrases``: id, n_words, n_removed, kept_sha256."""
+    return clean_phrases(docs, window, gram, id_col, text).drop("kept", "spans")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

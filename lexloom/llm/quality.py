@@ -58,15 +58,19 @@ def base_stats(docs: DataFrame, text: str = "text") -> DataFrame:
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
-def line_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source",
-               min_docs: int = MIN_DOCS, share: float = SHARE, min_words: int = MIN_WORDS, min_left: int = MIN_LEFT) -> DataFrame:
-    """A row for each input row: id, base statistics, words on removed lines, number of removed lines, kept."""
+def _ruled(docs: DataFrame, id_col: str, text: str, host: str, min_docs: int, share: float, min_words: int, min_left: int, texts: bool) -> tuple[DataFrame, DataFrame]:
+    """Documents by _rid with their texts (to be read again if ``texts``), and the rules' outcome by _rid with the removed lines' numbers."""
     d = docs.select(F.col(id_col), F.col(text).alias("text"), F.col(host).cast("string").alias("_host"))
+    d = d.withColumn("_rid", F.monotonically_increasing_id())  # fixed by a write below
+    if texts:
+        d = store(d, "texts")
+    source = d
     d = base_stats(d)
     # A row for each distinct normalised line of a document, with its words and how often it stands there.
-    d = d.withColumn("_rid", F.monotonically_increasing_id())  # fixed by the write below
-    d = d.select(id_col, "_host", "_rid", *STATS, F.posexplode_outer("_lines").alias("_no", "_line"))
-    d = d.select(id_col, "_host", "_rid", *STATS, "_no", F.xxhash64(normal_line(F.col("_line"))).alias("_hash"), F.size(_words(F.col("_line"))).alias("_n"))
+    numbered = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(x.alias("line"), i.alias("at")))
+    d = d.withColumn("_lines", F.filter(numbered, lambda x: F.btrim(x["line"], F.lit(SEPARATORS.decode())) != ""))
+    d = d.select(id_col, "_host", "_rid", *STATS, F.posexplode_outer("_lines").alias("_no", "_x"))
+    d = d.select(id_col, "_host", "_rid", *STATS, "_no", F.col("_x.at").alias("_at"), F.xxhash64(normal_line(F.col("_x.line"))).alias("_hash"), F.size(_words(F.col("_x.line"))).alias("_n"))
     lines = store(d, "lines")
 
     have = lines.where(F.col("_no").isNotNull())
@@ -76,16 +80,32 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host
     busy = store(seen.where(F.col("rows") > min_docs).select("_host", "_hash"), "busy")
     hosts = lines.where(F.coalesce(F.col("_no"), F.lit(0)) == 0).groupBy("_host").agg(F.count("*").alias("_docs"))
     same = lambda a, b, *cols: [a[c].eqNullSafe(b[c]) for c in cols]
-    hits = store(have.join(busy, same(have, busy, "_host", "_hash"), "left_semi").select("_host", "_hash", "_rid", "_n"), "hits")
+    hits = store(have.join(busy, same(have, busy, "_host", "_hash"), "left_semi").select("_host", "_hash", "_rid", "_at", "_n"), "hits")
     counts = hits.groupBy("_host", "_hash").agg(per_doc.alias("_in"))
     counts = counts.join(hosts, same(counts, hosts, "_host")).where(F.col("_in") > F.greatest(F.lit(float(min_docs)), share * F.col("_docs"))).select(counts["_host"], counts["_hash"])
     bad = store(counts, "bad")
-    gone = hits.join(bad, same(hits, bad, "_host", "_hash"), "left_semi").groupBy("_rid").agg(F.sum("_n").alias("_gone"), F.count("*").alias("_gone_lines"))
+    gone = hits.join(bad, same(hits, bad, "_host", "_hash"), "left_semi").groupBy("_rid").agg(F.sum("_n").alias("_gone"), F.array_sort(F.collect_list("_at")).alias("_out"))  # a document's own lines
     rows = lines.where(F.coalesce(F.col("_no"), F.lit(0)) == 0).select(id_col, "_rid", *STATS)
     out = rows.join(gone, "_rid", "left").withColumn("removed_words", F.coalesce("_gone", F.lit(0)).cast("long"))
     left = F.col("n_words") - F.col("removed_words")
     kept = ~F.col("base_failed") & (left >= min_words) & (100 * left >= min_left * F.col("n_words"))
-    return out.select(id_col, *STATS, kept.alias("kept"), "removed_words", F.coalesce("_gone_lines", F.lit(0)).cast("long").alias("removed_lines"))
+    return source, out.select(id_col, "_rid", *STATS, kept.alias("kept"), "removed_words", F.coalesce("_out", F.array().cast("array<int>")).alias("_out"))
+
+
+def line_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source",
+               min_docs: int = MIN_DOCS, share: float = SHARE, min_words: int = MIN_WORDS, min_left: int = MIN_LEFT) -> DataFrame:
+    """A row for each input row: id, base statistics, words on removed lines, number of removed lines, kept."""
+    _, out = _ruled(docs, id_col, text, host, min_docs, share, min_words, min_left, texts=False)
+    return out.select(id_col, *STATS, "kept", "removed_words", F.size("_out").cast("long").alias("removed_lines"))
+
+
+def clean_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source",
+                min_docs: int = MIN_DOCS, share: float = SHARE, min_words: int = MIN_WORDS, min_left: int = MIN_LEFT) -> DataFrame:
+    """A row for each input row: id, text without the lines above the limits, numbers of the removed lines (from 0), kept."""
+    source, out = _ruled(docs, id_col, text, host, min_docs, share, min_words, min_left, texts=True)
+    d = source.select("_rid", "text").join(out.select(id_col, "_rid", "_out", "kept"), "_rid")
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_out", i)), "\n")
+    return d.select(id_col, F.when(F.size("_out") > 0, left).otherwise(F.col("text")).alias("text"), F.col("_out").alias("removed"), "kept")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

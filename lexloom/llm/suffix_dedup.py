@@ -179,41 +179,57 @@ def _decide(units: Units):
 
 
 def _cut(batches):
-    """(th, text, starts, lengths) to (th, removed, spans, kept text's SHA-256)."""
+    """(th, text, starts, lengths) to (th, spans, kept bytes), in small batches."""
     for b in batches:
         th, text, v0, v1 = (b.column(i) for i in range(4))
-        rows = []
-        for t, x, y in zip(text.to_pylist(), v0.to_pylist(), v1.to_pylist(), strict=True):
-            raw, starts, sizes = t.encode(), np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-            h, at = hashlib.sha256(), 0
-            for p, n in zip(starts.tolist(), sizes.tolist(), strict=True):
-                h.update(raw[at:p])
+        done, held, gone, kept = 0, 0, [], []
+        for r, (t, x, y) in enumerate(zip(text, v0, v1, strict=True)):
+            raw = t.as_buffer().to_pybytes()
+            starts, sizes = np.frombuffer(x.as_py(), "<u4").tolist(), np.frombuffer(y.as_py(), "<u4").tolist()
+            out, at = [], 0
+            for p, n in zip(starts, sizes, strict=True):
+                out.append(raw[at:p])
                 at = p + n
-            h.update(raw[at:])
-            rows.append((int(sizes.sum()), len(starts), h.hexdigest()))
-        cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
-        yield pa.RecordBatch.from_arrays([th, pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["th", "removed", "spans", "sha"])
+            kept.append(b"".join([*out, raw[at:]]))
+            gone.append([{"start": p, "length": n} for p, n in zip(starts, sizes, strict=True)])
+            held += len(raw)
+            if held > CUT_BYTES or r == len(th) - 1:
+                yield pa.RecordBatch.from_arrays([th.slice(done, r + 1 - done), pa.array(gone, SPANS), pa.array(kept, pa.binary())], names=["th", "spans", "kept"])
+                done, held, gone, kept = r + 1, 0, [], []
 
 
+CUT_BYTES = 4 << 20
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+SPANS_SQL = "array<struct<start: bigint, length: bigint>>"
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = 16, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each input row: id, n_bytes, n_removed, n_spans, kept_sha256."""
+def clean_repeats(docs: DataFrame, window: int = WINDOW, gram: int = 16, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row for each input row: id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left) and spans (bytes removed: start, length)."""
     d = named(docs, id_col, text)
     units = Units("bytes", window, gram)
     merged, copies, texts = find_spans(d, units, _decide(units), within=False)
-    cut = store(texts.join(merged, "th").select("th", "text", "v0", "v1").mapInArrow(_cut, "th long, removed long, spans long, sha string"), "cut")
+    cut = store(texts.join(merged, "th").select("th", "text", "v0", "v1").mapInArrow(_cut, f"th long, spans {SPANS_SQL}, kept binary"), "cut")
     more = store(copies.where("rows > 1").select("th", "first"), "copies")
-    rows = d.select("own", "id", "th", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("whole"))
+    # Counts and digests are taken before the join, so that texts only travel if they are asked for.
+    cut = cut.select("th", F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["length"]).alias("removed"), F.size("spans").alias("n_spans"), F.sha2("kept", 256).alias("sha"), "spans", "kept")
+    rows = d.select("own", "id", "th", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("whole"), F.col("text").cast("binary").alias("all"))
     rows = rows.join(cut, "th", "left").join(more, "th", "left")
     copy = (F.col("id") > F.col("first")) & (F.col("n") >= window)  # a smaller id has the same text
     pick = lambda a, b, c: F.when(copy, a).otherwise(F.coalesce(b, c))
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("length")))
     return rows.select(
         F.col("own").alias(id_col), F.col("n").alias("n_bytes"),
         pick(F.col("n"), F.col("removed"), F.lit(0)).cast("long").alias("n_removed"),
-        pick(F.lit(1), F.col("spans"), F.lit(0)).cast("long").alias("n_spans"),
-        pick(F.lit(EMPTY_SHA), F.col("sha"), F.col("whole")).alias("kept_sha256"))
+        pick(F.lit(1), F.col("n_spans"), F.lit(0)).cast("long").alias("n_spans"),
+        pick(F.lit(EMPTY_SHA), F.col("sha"), F.col("whole")).alias("kept_sha256"),
+        pick(F.lit(b""), F.col("kept"), F.col("all")).alias("kept"),
+        pick(everything, F.col("spans"), F.array().cast(SPANS_SQL)).alias("spans"))
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = 16, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of ``clean_repeats``: id, n_bytes, n_removed, n_spans, kept_sha256."""
+    return clean_repeats(docs, window, gram, id_col, text).drop("kept", "spans")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
