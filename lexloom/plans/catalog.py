@@ -298,6 +298,12 @@ def fold_diacritics(spark, sf):
     return t(spark, sf, "documents").where("lang <> 'en'").select("doc_id", X.fold(F.col("text")).alias("folded"))
 
 
+@query(f"SELECT doc_id, {FOLDED.format('text')} AS folded FROM documents")
+def fold_diacritics_all(spark, sf):
+    """All documents, English ones and those without a language too."""
+    return t(spark, sf, "documents").select("doc_id", X.fold(F.col("text")).alias("folded"))
+
+
 @query()
 def long_split(spark, sf):
     return t(spark, sf, "documents").select("doc_id", F.posexplode(X.split_long(F.col("text"), 2000)).alias("part", "text"))
