@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,57 @@ def knn(df: DataFrame, query: Column, k: int, ident: str, vector: str = "embeddi
     return scored.orderBy(F.desc("score"), ident).limit(k).select(ident, "score")
 
 
+def _blocks(rows: int):
+    """(ident, vector) to blocks of unit vectors: ids and a matrix, as bytes."""
+
+    def run(batches):
+        for b in batches:
+            for c in range(0, len(b), rows):
+                ids, vectors = b.column(0).slice(c, rows).to_numpy(zero_copy_only=False), b.column(1).slice(c, rows)
+                m = np.array([v for v in vectors.to_pylist()], np.float64)
+                size = np.sqrt((m * m).sum(axis=1))
+                ok = size > 0
+                if ok.any():
+                    m = m[ok] / size[ok, None]
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[ok].astype(np.int64).tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary()), pa.array([m.shape[1]], pa.int32())], names=["ids", "m", "dims"])
+
+    return run
+
+
+def knn_many(df: DataFrame, queries: DataFrame, k: int, ident: str, vector: str = "embedding", where: Column | None = None, digits: int = 6, rows: int = 1000) -> DataFrame:
+    """Exact cosine top-k of each row of ``queries`` (q, ident, score, rank): best of each pair of blocks, then of each query.
+
+    Filters apply before ranking; ties go to the least id; rows without an id, a vector or a direction are not ranked.
+    """
+    if where is not None:
+        df = df.where(where)
+    form = "ids binary, m binary, dims int"
+    cut = lambda d: d.where(F.col(ident).isNotNull() & F.col(vector).isNotNull()).select(F.col(ident).cast("long").alias(ident), vector).mapInArrow(_blocks(rows), form)
+    pairs = cut(df).crossJoin(cut(queries).select(F.col("ids").alias("qids"), F.col("m").alias("qm")))
+
+    def best(batches):
+        for b in batches:
+            for ids, m, dims, qids, qm in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                e, q = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64)
+                score = np.frombuffer(qm).reshape(-1, dims) @ np.frombuffer(m).reshape(-1, dims).T
+                score = np.sign(score) * np.floor(np.abs(score) * 10**digits + 0.5) / 10**digits
+                top = np.lexsort((np.broadcast_to(e, score.shape), -score), axis=1)[:, :k]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q, top.shape[1])), pa.array(e[top].ravel()), pa.array(np.take_along_axis(score, top, 1).ravel())], names=["q", ident, "score"])
+
+    c = pairs.select("ids", "m", "dims", "qids", "qm").mapInArrow(best, f"q long, `{ident}` long, score double")
+    w = Window.partitionBy("q").orderBy(F.desc("score"), ident)
+    return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q", ident, "score", "rank")
+
+
+def fuse_many(left: DataFrame, right: DataFrame, ident: str, k: int, digits: int = 8) -> DataFrame:
+    """Reciprocal-rank fusion of two rankings (q, ident, rank) of each query."""
+    both = left.select("q", ident, F.col("rank").alias("r1")).join(right.select("q", ident, F.col("rank").alias("r2")), ["q", ident], "full")
+    part = lambda c: F.coalesce(1.0 / (RRF + F.col(c)), F.lit(0.0))
+    s = both.select("q", ident, F.round(part("r1") + part("r2"), digits).alias("score"))
+    w = Window.partitionBy("q").orderBy(F.desc("score"), ident)
+    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q", ident, "score", "rank")
+
+
 def match_any(tokens: Column, terms: list[str]) -> Column:
     return F.arrays_overlap(tokens, F.array(*[F.lit(t) for t in terms]))
 

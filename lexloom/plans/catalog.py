@@ -359,6 +359,35 @@ def hybrid_rrf(spark, sf):
     return Q.fuse(Q.knn(e, _vector(spark, sf, 7), 50, "vec_id"), Q.knn(e, _vector(spark, sf, 11), 50, "vec_id"), "vec_id", 10)
 
 
+def _many_sql(k: int, rest: int = 0, where: str = "true") -> str:
+    return f"""SELECT q, vec_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rank
+    FROM (SELECT q.vec_id - {rest} AS q, e.vec_id, {COS} AS score FROM embeddings e, embeddings q WHERE q.vec_id % 100 = {rest} AND {where})
+    QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) <= {k}"""
+
+
+@query(_many_sql(10))
+def knn_topk_all(spark, sf):
+    """Every 100th vector against all; ``knn_topk`` is one query."""
+    e = t(spark, sf, "embeddings")
+    return Q.knn_many(e, e.where("vec_id % 100 = 0"), 10, "vec_id")
+
+
+@query(_many_sql(10, where="e.label IN (1, 3, 5)"))
+def knn_filtered_all(spark, sf):
+    e = t(spark, sf, "embeddings")
+    return Q.knn_many(e, e.where("vec_id % 100 = 0"), 10, "vec_id", where=F.col("label").isin(1, 3, 5))
+
+
+@query(f"""WITH f AS (SELECT coalesce(a.q, b.q) AS q, coalesce(a.vec_id, b.vec_id) AS vec_id, round(coalesce(1.0 / (60 + a.rank), 0)::DOUBLE + coalesce(1.0 / (60 + b.rank), 0)::DOUBLE, 8) AS score
+    FROM ({_many_sql(50)}) a FULL JOIN ({_many_sql(50, 4)}) b ON a.q = b.q AND a.vec_id = b.vec_id)
+    SELECT q, vec_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rank FROM f QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) <= 10""")
+def hybrid_rrf_all(spark, sf):
+    """Every 100th vector's ranking fused with that of the vector four ids on, as 7 and 11 in ``hybrid_rrf``."""
+    e = t(spark, sf, "embeddings")
+    part = lambda rest: Q.knn_many(e, e.where(F.col("vec_id") % 100 == rest), 50, "vec_id").withColumn("q", F.col("q") - rest)
+    return Q.fuse_many(part(0), part(4), "vec_id", 10)
+
+
 @query("""SELECT vec_id, list_sum(list_transform(embedding, lambda x: round(127 * x::DOUBLE / m)))::BIGINT AS total, round(127 * embedding[1]::DOUBLE / m)::INT AS q0 FROM (
     SELECT vec_id, embedding, list_max(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS m FROM embeddings)""")
 def quantise_int8(spark, sf):
