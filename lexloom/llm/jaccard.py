@@ -8,12 +8,16 @@ segments also the subsets with one token deleted.  A set that grants segment i t
 Allocation by cost: empty subsets match everything, so they are skipped; keys shared by more than ``HEAVY`` sets are costly, so
 they are skipped as long as the one-deletion neighbourhoods of the designated segments make up for it.  A set whose
 allowances then still reach H + 1 is complete by its light keys alone; a pair is lost only if both of its sets are
-incomplete.  Those few (members of large groups of near copies above all) are joined among themselves: tokens in
-ascending frequency, prefixes of (1-J)|r| + 1 of them, and pivots instead of all pairs of a group; whatever pairs
-across components remain after that are all verified, so no link is lost and nothing is capped.
+incomplete.  Those few (members of large groups of near copies above all) are joined among themselves by prefixes of tokens in
+ascending frequency.
 
-Candidates are first held against histograms of the sets over bins of the universe, whose distance never exceeds that of the
-sets, and what is left is verified on the exact sets.  Sets are held by 64-bit hashes of shingles and of sets.
+Pairs of a key are never listed as such.  Each set is held against the first set of a key of its own; what that links forms
+components, and only pairs across components of a key are then tested.  The incomplete sets go the same way: each meets the
+set of a token that has the fewest tokens of its own, a few times over, and then whatever remains across components is tested,
+so no component is torn and nothing is capped.
+
+Candidates are first held against bitmaps of the parity of the sets' tokens, whose distance never exceeds that of the sets, and
+what is left is verified on the exact sets.  Sets are held by 64-bit hashes of shingles and of sets.
 
 Cases: text without words (or null) has an empty set, linked with nothing, and is its own component; fewer than k words make
 one shingle; repeated rows and copies share one set; null ids are allowed (a component of null ids only has a null id);
@@ -38,10 +42,15 @@ _U = np.uint64
 HEAVY = 16
 #: Rows of checked size that may be broadcast.
 SMALL = 300_000
-PIVOT_ROUNDS = 4
-#: So many pairs among incomplete sets are verified at once, without pivots.
-AT_ONCE = 2_000_000
-BINS, LARGE_BINS, LARGE = 128, 2048, 1024
+#: Rounds in which each incomplete set meets one set of each of its tokens.
+ROUNDS = 3
+#: Partners of one set that are verified against one copy of its tokens.
+HUB = 1024
+#: Words of every set's bitmap, and their columns.
+WORDS = 8
+Q = [f"q{i}" for i in range(WORDS)]
+#: Text bytes of one step.
+SLICE = 1 << 20
 
 
 class Bands:
@@ -170,7 +179,7 @@ def _blobs(k: int, j: Fraction, bits: int):
     def run(batches):
         bands = Bands(j)
         for batch in batches:
-            for _, _, buf, offs in text_slices(batch, "text", 4 << 20):
+            for _, _, buf, offs in text_slices(batch, "text", SLICE):
                 values, counts = slice_sets(buf, offs, k)
                 name = set_prints(values, counts)
                 _, first = np.unique(name, return_index=True)  # copies within the slice count once
@@ -182,9 +191,10 @@ def _blobs(k: int, j: Fraction, bits: int):
                     continue
                 parts = [entries(bands, values, counts, w) for w in (0, 1)]
                 owner, key, meta = (np.concatenate(x) for x in zip(*parts, strict=True))
-                bucket = (key >> _U(64 - bits)).astype(np.uint16)
+                bucket = (key >> _U(64 - bits)).astype(np.int64)
                 bit = _U(max(1, int(len(key)).bit_length()))
-                packed = (bucket.astype(_U) << _U(48)) | (owner.astype(_U) << bit) | np.arange(len(key), dtype=_U) if len(counts) << int(bit) < 1 << 48 else None
+                room = 64 - bits
+                packed = (bucket.astype(_U) << _U(room)) | (owner.astype(_U) << bit) | np.arange(len(key), dtype=_U) if len(counts) << int(bit) < 1 << room else None
                 if packed is None:
                     order = np.lexsort((owner, bucket))
                 else:
@@ -203,8 +213,11 @@ def _blobs(k: int, j: Fraction, bits: int):
     return run
 
 
-def _pairs_of(name: np.ndarray, key: np.ndarray, meta: np.ndarray):
-    """Of one bucket: pairs (a < b) from light keys, and (name, which, allowance) on costly keys."""
+def _groups_of(name: np.ndarray, key: np.ndarray, meta: np.ndarray):
+    """Of one bucket: groups of distinct sets on light keys as (offsets, names), and (name, which, allowance) on costly keys.
+
+    A group's first set has the whole segment, not one with a token deleted; keys without such a set match nobody.
+    """
     order = grouped_order(key)
     key = key[order]
     a, b = runs(key)
@@ -212,86 +225,89 @@ def _pairs_of(name: np.ndarray, key: np.ndarray, meta: np.ndarray):
     pick = order[ranges(a[big], (b - a)[big])]
     group = np.repeat(np.arange(int(big.sum())), (b - a)[big])
     name, meta = name[pick], meta[pick]
-    order = np.lexsort((meta, name, group))
+    order = np.lexsort((name, meta & 1, group))
     group, name, meta = group[order], name[order], meta[order]
-    new = np.r_[True, (group[1:] != group[:-1]) | (name[1:] != name[:-1]) | (meta[1:] != meta[:-1])] if len(group) else np.zeros(0, bool)
-    group, name, meta = group[new], name[new], meta[new]
     a, b = runs(group)
-    size = b - a
+    whole = (meta[a] & 1) == 0 if len(a) else np.zeros(0, bool)
+    order = np.lexsort((meta, name, group))
+    new = np.r_[True, (group[order][1:] != group[order][:-1]) | (name[order][1:] != name[order][:-1])] if len(group) else np.zeros(0, bool)
+    keep = np.zeros(len(group), bool)
+    keep[order[new]] = True  # a set counts once, with its whole segment if it has both
+    size = np.add.reduceat(keep, a, dtype=np.int64) if len(a) else np.zeros(0, np.int64)
     costly = size > HEAVY
-    pairs = []
-    for n in np.unique(size[(size > 1) & ~costly]):
-        at = a[size == n]
-        for i in range(n - 1):
-            for k in range(i + 1, n):
-                x, y = at + i, at + k
-                ok = (name[x] != name[y]) & ((meta[x] & meta[y] & 1) == 0)
-                pairs.append((np.minimum(name[x][ok], name[y][ok]), np.maximum(name[x][ok], name[y][ok])))
-    heavy = ranges(a[costly], size[costly])
-    return pairs, name[heavy], (meta[heavy] >> 1) & 1, meta[heavy] >> 2
-
-
-def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(a):
-        return a, b
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
-    return a[new], b[new]
-
-
-FOUND = "kind int, a long, b long"
-
-
-def _match(bits: int):
-    """A partition of buckets to candidate pairs (kind 0) and losses of allowance (kind 1 + which: set, loss)."""
-
-    def run(batches):
-        got: dict[int, list] = {}
-        for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns]
-            for bucket, *rest in zip(*cols, strict=True):
-                got.setdefault(bucket, []).append(rest)
-        for bucket in sorted(got):
-            rows = got.pop(bucket)
-            name = np.concatenate([np.repeat(np.frombuffer(r[0], np.int64), np.frombuffer(r[1], "<u4")) for r in rows])
-            key = np.concatenate([np.frombuffer(r[2], "<u4").astype(_U) << _U(32) | np.frombuffer(r[3], np.uint8).astype(_U) << _U(24) for r in rows])
-            meta = np.concatenate([np.frombuffer(r[4], np.uint8) for r in rows])
-            pairs, who, which, loss = _pairs_of(name, key, meta)
-            x, y = _unique_pairs(*(np.concatenate(z) for z in zip(*pairs, strict=True))) if pairs else (np.zeros(0, np.int64),) * 2
-            out = [(np.zeros(len(x), np.int32), x, y)]
-            for w in (0, 1):
-                u, inv = np.unique(who[which == w], return_inverse=True)
-                out.append((np.full(len(u), 1 + w, np.int32), u, np.bincount(inv, loss[which == w], len(u)).astype(np.int64)))
-            kind, x, y = (np.concatenate(z) for z in zip(*out, strict=True))
-            for c in range(0, len(kind), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(z[c : c + 100_000]) for z in (kind, x, y)], names=["kind", "a", "b"])
-
-    return run
-
-
-def histograms(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
-    """Tokens of each set by bin, up to 127; the sum of differences is at most the sets' symmetric difference.
-
-    Large sets get more bins, so that bins stay sparse; only histograms of equal length are compared.
+    hot = np.repeat(costly, b - a) & keep
+    light = (size > 1) & ~costly & whole
+    on = np.repeat(light, b - a) & keep
+    size, names = size[light], name[on]
+    at = np.cumsum(size) - size
+    if len(size):  # one of equal groups is enough
+        first = np.zeros(len(names), bool)
+        first[at] = True
+        mark = mix64(names.view(_U) ^ MULT[56]) + np.where(first, mix64(names.view(_U) ^ MULT[55]), _U(0))
+        _, one = np.unique(np.add.reduceat(mark, at), return_index=True)
+        names, size = names[ranges(at[one], size[one])], size[one]
+    return np.r_[0, np.cumsum(size)], names, name[hot], (meta[hot] >> 1) & 1, meta[hot] >> 2
+
+
+FOUND = "kind int, a long, b long, g array<long>"
+
+
+def _match(batches):
+    """A partition of buckets to groups of sets (kind 0) and losses of allowance (kind 1 + which: set, loss)."""
+    got: dict[int, list] = {}
+    for batch in batches:
+        cols = [c.to_pylist() for c in batch.columns]
+        for bucket, *rest in zip(*cols, strict=True):
+            got.setdefault(bucket, []).append(rest)
+    for bucket in sorted(got):
+        rows = got.pop(bucket)
+        name = np.concatenate([np.repeat(np.frombuffer(r[0], np.int64), np.frombuffer(r[1], "<u4")) for r in rows])
+        key = np.concatenate([np.frombuffer(r[2], "<u4").astype(_U) << _U(32) | np.frombuffer(r[3], np.uint8).astype(_U) << _U(24) for r in rows])
+        meta = np.concatenate([np.frombuffer(r[4], np.uint8) for r in rows])
+        del rows
+        at, names, who, which, loss = _groups_of(name, key, meta)
+        for c in range(0, len(at) - 1, 20_000):
+            part = at[c : c + 20_001]
+            g = pa.ListArray.from_arrays(pa.array((part - part[0]).astype(np.int32)), pa.array(names[part[0] : part[-1]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(g), np.int32)), pa.nulls(len(g), pa.int64()), pa.nulls(len(g), pa.int64()), g], names=["kind", "a", "b", "g"])
+        for w in (0, 1):
+            u, inv = np.unique(who[which == w], return_inverse=True)
+            if len(u):
+                lost = np.bincount(inv, loss[which == w], len(u)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), 1 + w, np.int32)), pa.array(u), pa.array(lost), pa.nulls(len(u), pa.list_(pa.int64()))], names=["kind", "a", "b", "g"])
+
+
+def parities(values: np.ndarray, counts: np.ndarray) -> tuple[list[pa.Array], pa.ListArray]:
+    """Bitmaps of the parity of each set's tokens by hash: their difference has at most as many bits as the sets' symmetric difference.
+
+    ``WORDS`` words for every set; larger sets also have a bitmap of their own of 2 to 4 bits a token, of which only equally long ones are compared.
     """
-    size = np.where(counts >= LARGE, LARGE_BINS, BINS)
-    at = np.r_[0, np.cumsum(size)]
-    wide = np.repeat(size, counts) == LARGE_BINS
+    n = len(counts)
     h = mix64(values ^ MULT[57])
-    bins = np.where(wide, h >> _U(53), h >> _U(57)).astype(np.int64)
-    n = np.bincount(np.repeat(at[:-1], counts) + bins, minlength=int(at[-1]))
-    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.minimum(127, n).astype(np.int8)))
+    owner = np.repeat(np.arange(n), counts)
+    size = 64 * WORDS
+    odd = (np.bincount(owner * size + (h & _U(size - 1)).astype(np.int64), minlength=n * size) & 1).astype(np.uint8)
+    q = np.packbits(odd, bitorder="little").view("<i8").reshape(n, WORDS)
+    own, at, end = [], [0], np.cumsum(counts)
+    for k in range(n):
+        if counts[k] * 2 > size:
+            long = 1 << (int(counts[k]) * 4).bit_length() - 1
+            odd = (np.bincount((h[end[k] - counts[k] : end[k]] & _U(long - 1)).astype(np.int64), minlength=long) & 1).astype(np.uint8)
+            own.append(np.packbits(odd, bitorder="little").view("<i8"))
+        at.append(at[-1] + (len(own[-1]) if counts[k] * 2 > size else 0))
+    flat = np.concatenate(own) if own else np.zeros(0, np.int64)
+    return [pa.array(np.ascontiguousarray(q[:, i])) for i in range(WORDS)], pa.ListArray.from_arrays(pa.array(np.array(at, np.int32)), pa.array(flat))
 
 
 def _info(k: int, j: Fraction):
     def run(batches):
         bands = Bands(j)
         for batch in batches:
-            for r0, r1, buf, offs in text_slices(batch, "text", 4 << 20):
+            for r0, r1, buf, offs in text_slices(batch, "text", SLICE):
                 values, counts = slice_sets(buf, offs, k)
-                cols = [batch.column(0).slice(r0, r1 - r0), batch.column(1).slice(r0, r1 - r0), pa.array(counts), pa.array(set_prints(values, counts)), *(pa.array(slacks(bands, values, counts, w)) for w in (0, 1)), histograms(values, counts)]
-                yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "n", "name", "s0", "s1", "bins"])
+                q, own = parities(values, counts)
+                cols = [batch.column(0).slice(r0, r1 - r0), batch.column(1).slice(r0, r1 - r0), pa.array(counts), pa.array(set_prints(values, counts)), *(pa.array(slacks(bands, values, counts, w)) for w in (0, 1)), *q, own]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "n", "name", "s0", "s1", *Q, "own"])
 
     return run
 
@@ -299,7 +315,7 @@ def _info(k: int, j: Fraction):
 def _sets(k: int):
     def run(batches):
         for batch in batches:
-            for _, _, buf, offs in text_slices(batch, "text"):
+            for _, _, buf, offs in text_slices(batch, "text", SLICE):
                 values, counts = slice_sets(buf, offs, k)
                 at = np.r_[0, np.cumsum(counts)].astype(np.int32)
                 sets = pa.ListArray.from_arrays(pa.array(at), pa.array(values.view(np.int64)))
@@ -313,109 +329,193 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df.hint("shuffle_hash")
 
 
+def _apart(x: str, y: str):
+    """Bits in which the bitmaps of columns with the prefixes ``x`` and ``y`` differ."""
+    out = F.bit_count(F.col(f"{x}{Q[0]}").bitwiseXOR(F.col(f"{y}{Q[0]}")))
+    for q in Q[1:]:
+        out = out + F.bit_count(F.col(f"{x}{q}").bitwiseXOR(F.col(f"{y}{q}")))
+    return out
+
+
+def _may(x: str, y: str, j: Fraction):
+    """Sizes and bitmaps allow the similarity."""
+    p, q = j.numerator, j.denominator
+    both = F.col(f"{x}n") + F.col(f"{y}n")
+    return (F.least(f"{x}n", f"{y}n") * q >= F.greatest(f"{x}n", f"{y}n") * p) & (_apart(x, y) * (q + p) <= both * (q - p))
+
+
+def _folded(x: str, y: str):
+    """The bitmap ``x``, folded to the length of ``y`` if it is twice as long."""
+    half = (F.size(x) / 2).cast("int")
+    fold = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+    return F.when(F.size(x) == 2 * F.size(y), fold).otherwise(F.col(x))
+
+
 def _near(pairs: DataFrame, reps: DataFrame, j: Fraction) -> DataFrame:
-    """Pairs whose sizes and histograms allow the similarity."""
-    d = pairs.join(reps.select(F.col("name").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
-    d = d.join(reps.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
-    d = d.where(F.least("na", "nb") * j.denominator >= F.greatest("na", "nb") * j.numerator)
-    apart = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda a, x: a + x)
+    """Pairs whose sizes and bitmaps allow the similarity: first by the words that every set has, then by those of large sets."""
     p, q = j.numerator, j.denominator
-    apart = F.when(F.size("ba") == F.size("bb"), apart).otherwise(0)
-    return d.where(apart * (q + p) <= (q - p) * (F.col("na") + F.col("nb"))).select("a", "b")
+    few = pairs.limit(SMALL + 1).count() <= SMALL
+    both = lambda d: d.select(F.col("a").alias("name")).union(d.select(F.col("b").alias("name"))).distinct()
+
+    def side(d: DataFrame, c: str, *cols: str) -> DataFrame:
+        mine = reps.join(F.broadcast(both(d)), "name", "left_semi") if few else reps
+        return mine.select(F.col("name").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in cols))
+
+    d = pairs.join(side(pairs, "a", "n", *Q), "a").join(side(pairs, "b", "n", *Q), "b").where(_may("a_", "b_", j))
+    d = store(d.select(*pairs.columns, (F.col("a_n") + F.col("b_n")).alias("both"), (F.least("a_n", "b_n") * 2 > 64 * WORDS).alias("large")), "sieved")
+    large = d.where("large")
+    few = few or large.limit(SMALL + 1).count() <= SMALL
+    e = large.join(side(large, "a", "own"), "a").join(side(large, "b", "own"), "b")
+    apart = F.aggregate(F.zip_with(_folded("a_own", "b_own"), _folded("b_own", "a_own"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    e = e.where(apart * (q + p) <= F.col("both") * (q - p))
+    return d.where("not large").select(*pairs.columns).union(e.select(*pairs.columns))
+
+
+class _Tokens:
+    """Shingle hashes of the sets that were asked for: every text is read again at most once, and only if its set is needed."""
+
+    def __init__(self, texts: DataFrame, reps: DataFrame, k: int):
+        self.texts, self.reps, self.k, self.sets = texts, reps, k, None
+
+    def need(self, names: DataFrame) -> DataFrame:
+        names = names.distinct()
+        if self.sets is not None:
+            names = names.join(self.sets.select("name"), "name", "left_anti")
+        at = store(self.reps.join(names, "name", "left_semi").select(F.col("rep.th").alias("th"), F.coalesce("rep.id", F.lit(0)).alias("i0"), F.col("rep.id").isNull().alias("no")), "wanted")
+        d = self.texts.withColumns({"i0": F.coalesce("id", F.lit(0)), "no": F.col("id").isNull()}).join(_small(at), ["th", "i0", "no"], "left_semi")
+        more = store(d.select("text").mapInArrow(_sets(self.k), "name long, tokens array<long>"), "sets")
+        if more.count() > at.count():  # repeated rows
+            more = store(more.dropDuplicates(["name"]), "sets")
+        self.sets = more if self.sets is None else self.sets.union(more)
+        return self.sets
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
-    """Pairs (a, b) whose exact sets are similar enough.  Each set travels once as ``b`` and once as ``a`` at most."""
-    few = pairs.limit(SMALL + 1).count() <= SMALL
-    mark = F.broadcast if few else (lambda d: d)
-    right = sets.join(mark(pairs), sets["name"] == pairs["b"]).select("a", "b", F.col("tokens").alias("tb"))
-    left = sets.join(mark(pairs.select(F.col("a").alias("name")).distinct()), "name", "left_semi").select(F.col("name").alias("a"), F.col("tokens").alias("ta"))
-    d = right.join(left, "a").withColumn("i", F.size(F.array_intersect("ta", "tb")))
+    """Pairs (a, b) whose exact sets are similar enough; of a set with many partners each ``HUB`` of them meet a copy of its own."""
+    hubs = store(pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(HUB)).cast("int").alias("copies")), "hubs")
+    many = hubs.where("copies > 1")
+    p = pairs.join(_small(many), "a", "left").withColumn("part", F.pmod(F.xxhash64("b"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
+    mark = F.broadcast if pairs.limit(SMALL + 1).count() <= SMALL else (lambda d: d)
+    right = sets.withColumnRenamed("name", "b").join(mark(p), "b").withColumnRenamed("tokens", "tb")
+    left = sets.join(mark(hubs.withColumnRenamed("a", "name")), "name").select(F.col("name").alias("a"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("part"), F.col("tokens").alias("ta"))
+    d = right.join(left, ["a", "part"]).withColumn("i", F.size(F.array_intersect("ta", "tb")))
     union = F.size("ta") + F.size("tb") - F.col("i")
-    return d.where(F.col("i") * j.denominator >= union * j.numerator).select("a", "b")
+    return d.where(F.col("i") * j.denominator >= union * j.numerator).select(*pairs.columns)
+
+
+def _merged(label: DataFrame, edges: DataFrame) -> DataFrame:
+    """``label`` (name, label) with the components that ``edges`` (la, lb) between labels make one."""
+    edges = store(edges.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "edges")
+    if edges.limit(1).count() == 0:
+        return label
+    top = components(edges).select(F.col("node").alias("was"), F.col("label").alias("now"))
+    return store(label.join(top, label["label"] == top["was"], "left").select("name", F.coalesce("now", "label").alias("label")), "labels")
+
 
+def _stars(groups: DataFrame) -> DataFrame:
+    """Each set of a group with a group's first set: a pair a set."""
+    one = groups.select(F.col("g")[0].alias("a"), F.explode(F.slice("g", 2, HEAVY)).alias("b"))
+    return one.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
 
-def _links(pairs: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
-    """Links among ``pairs`` that give their components: first each set with its least partner, then pairs across components."""
-    star = store(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "stars")
-    edges = store(_verified(star, sets, j), "links")
-    label = components(edges)
-    of = lambda side: label.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
-    rest = pairs.join(star, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
-    rest = store(rest.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"), "across")
-    return store(edges.union(_verified(rest, sets, j)), "links")
 
+def _across(groups: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs of sets of a group that have different labels: (a, b, la, lb)."""
+    m = groups.select(F.xxhash64("g").alias("gid"), F.explode("g").alias("name")).join(label, "name")
+    m = m.groupBy("gid").agg(F.collect_set(F.struct("name", "label")).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("m")
+    m = m.select("m", F.explode("m").alias("x"))
+    m = m.select("x", F.explode(F.filter("m", lambda y: (y["name"] > F.col("x.name")) & (y["label"] != F.col("x.label")))).alias("y"))
+    return m.select(F.col("x.name").alias("a"), F.col("y.name").alias("b"), F.least("x.label", "y.label").alias("la"), F.greatest("x.label", "y.label").alias("lb")).distinct()
 
-def _prefixes(members: DataFrame, sets: DataFrame, j: Fraction) -> DataFrame:
-    """(name, token) of ``members``: of two similar sets at least one token of the prefixes is common."""
+
+def _prefixes(members: DataFrame, sets: DataFrame, reps: DataFrame, j: Fraction) -> DataFrame:
+    """(name, token, i, n, bitmaps) of ``members``: of two similar sets at least one token of the prefixes is common.
+
+    ``i`` tokens of the set come before: those of one set only, then in ascending frequency.  Up to their first common token two sets
+    have nothing in common, so it leaves room for the common tokens that are needed (``_room``).
+    """
     mine = sets.join(members, "name", "left_semi").select("name", F.size("tokens").alias("n"), "tokens")
     tok = store(mine.select("name", "n", F.explode("tokens").alias("token")), "tokens")
     often = tok.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    # Tokens in ascending frequency; those of one set only come first and fill the prefix without finding anyone.
     need = F.floor((1 - F.lit(j.numerator) / j.denominator) * F.col("n") + 1e-9) + 1
     d = tok.join(often, "token").groupBy("name", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("x"))  # a set's own tokens
-    d = d.withColumn("take", (need - (F.col("n") - F.size("x"))).cast("int")).where("take > 0")
-    return store(d.select("name", F.explode(F.slice("x", F.lit(1), F.col("take"))).alias("x")).select("name", F.col("x.token").alias("token")), "prefix")
-
-
-def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, edges: DataFrame, j: Fraction) -> DataFrame:
-    """All links among ``members`` (sets incomplete by light keys) that join different components, added to ``edges``."""
-    d = _prefixes(members, sets, j)
-    if d.limit(1).count() == 0:
-        return edges
-    tested = None
-    for step in range(PIVOT_ROUNDS + 1):
-        label = components(edges) if edges.limit(1).count() else edges.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
-        g = d.join(label, d["name"] == label["node"], "left").select("name", "token", F.coalesce("label", "name").alias("label"))
-        mark = F.max_by(F.struct("name", "label"), F.xxhash64("name", F.lit(step))).alias("p")
-        live = g.groupBy("token", "label").agg(F.count("*").alias("n"), mark).groupBy("token")
-        live = live.agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"), F.count("*").alias("labels"), F.max_by("p", F.xxhash64("p.name", F.lit(step))).alias("p"), F.max_by("label", F.struct("n", "label")).alias("top")).where("labels > 1")
-        live = store(live.select("token", "p", "top", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("n")), "live")  # pairs across components
-        total = live.agg(F.sum("n")).first()[0]
-        if not total:
-            return edges
-        last = step == PIVOT_ROUNDS or total <= AT_ONCE
-        if not last:
-            c = g.join(live, "token").where("label <> p.label").select(F.least("name", "p.name").alias("a"), F.greatest("name", "p.name").alias("b"))
-        else:  # the exact rest: pairs across components only
-            # one of the two is outside the token's largest component
-            g = g.join(live.select("token", "top"), "token")
-            o = g.where("label <> top").select("token", F.col("name").alias("other"), F.col("label").alias("l2"))
-            c = g.join(o, "token").where("label <> l2").select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b"))
-        c = c.distinct()
-        if tested is not None:
-            c = c.join(tested, ["a", "b"], "left_anti")
-        c = store(c, "pairs")
-        good = _verified(_near(c, reps, j), sets, j)
-        edges = store(edges.union(good), "edges")
-        if last:
-            return edges
-        tested = c if tested is None else tested.union(c)
-    return edges
-
-
-def _prepared(docs: DataFrame, j: Fraction, k: int, id_col: str, text: str) -> tuple[DataFrame, ...]:
-    """Rows with their sets' names, distinct sets, candidate pairs, sets incomplete by light keys, and tokens of the sets that matter."""
+    d = d.withColumn("alone", F.col("n") - F.size("x")).withColumn("take", (need - F.col("alone")).cast("int")).where("take > 0")
+    d = d.select("name", "n", "alone", F.posexplode(F.slice("x", F.lit(1), F.col("take"))).alias("at", "x"))
+    d = d.select("name", F.col("x.token").alias("token"), (F.col("alone") + F.col("at")).alias("i"), "n", (F.col("alone") / F.col("n")).alias("odd"))
+    return store(d.join(reps.select("name", *Q), "name"), "prefix")
+
+
+def _room(x: str, y: str, j: Fraction):
+    """The tokens from the common one on are as many as the similarity needs, on both sides."""
+    p, q = j.numerator, j.denominator
+    need = (F.col(f"{x}n") + F.col(f"{y}n")) * p
+    return ((F.col(f"{x}n") - F.col(f"{x}i")) * (p + q) >= need) & ((F.col(f"{y}n") - F.col(f"{y}i")) * (p + q) >= need)
+
+
+def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, label: DataFrame, j: Fraction) -> DataFrame:
+    """``label`` with all links among ``members``, the sets that are incomplete by light keys.
+
+    First each set meets one set of each of its tokens, the one with the fewest tokens of its own; then what is left across components.
+    """
+    d = _prefixes(members, sets, reps, j)
+    wide = [F.col(c) for c in ("name", "label", "n", "i", *Q)]
+    for step in range(ROUNDS + 1):
+        g = store(d.join(label, "name"), "live")
+        turn = F.struct(F.pmod(F.xxhash64("name") + step, F.lit(ROUNDS)), F.col("odd"), F.col("name"))
+        live = g.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct(*wide), turn).alias("p"))
+        live = store(live.where("lo <> hi").select("token", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("name", "label", "n", "i", *Q))), "tokens")
+        if live.limit(1).count() == 0:
+            return label
+        x = g.select("token", *(F.col(c).alias(f"x_{c}") for c in ("name", "label", "n", "i", *Q)))
+        fits = lambda l, r: (F.col(f"{l}label") != F.col(f"{r}label")) & _room(l, r, j) & _may(l, r, j)
+        pick = [F.col("p_name").alias("a"), F.col("x_name").alias("b"), F.col("p_label").alias("la"), F.col("x_label").alias("lb")]
+        if step < ROUNDS:
+            c = x.join(live, (x["token"] == live["token"]) & fits("p_", "x_")).select(*pick)
+        else:  # one of the two is outside the token's largest component
+            top = g.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("top"))
+            x = x.join(live.select("token"), "token").join(top, "token")
+            o = x.where("x_label <> top").select(*(F.col(n).alias(n.replace("x_", "p_")) for n in x.columns if n != "top"))
+            c = x.drop("top").withColumnRenamed("token", "same")
+            c = c.join(o, (c["same"] == o["token"]) & fits("p_", "x_")).select(*pick)
+        c = store(c.distinct(), "pairs")
+        label = _merged(label, _verified(store(_near(c, reps, j), "near"), sets, j))
+    return label
+
+
+def _prepared(docs: DataFrame, j: Fraction, k: int, id_col: str, text: str):
+    """Rows with their sets' names, distinct sets, groups of candidates, sets incomplete by light keys, and tokens on demand."""
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).cast("string").alias("text"))
-    info = store(d.mapInArrow(_info(k, j), "id long, th long, n long, name long, s0 long, s1 long, bins array<tinyint>"), "info")
+    info = store(d.mapInArrow(_info(k, j), f"id long, th long, n long, name long, s0 long, s1 long, {', '.join(f'{q} long' for q in Q)}, own array<long>"), "info")
     n = partitions(docs, 8)
-    bits = max(7, min(16, int(2 * n - 1).bit_length()))
+    bits = min(31, max(7, int(2 * n - 1).bit_length()))
     blobs = d.select("text").mapInArrow(_blobs(k, j, bits), "bucket int, name binary, n binary, hi binary, lo binary, meta binary")
-    found = store(blobs.repartition(n, "bucket").mapInArrow(_match(bits), FOUND), "found")
+    found = store(blobs.repartition(n, "bucket").mapInArrow(_match, FOUND), "found")
     loss = found.where("kind > 0").groupBy("a").agg(*(F.sum(F.when(F.col("kind") == 1 + w, F.col("b")).otherwise(0)).alias(f"l{w}") for w in (0, 1)))
-    reps = info.where("n > 0").groupBy("name").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "th")).alias("rep"), F.min("s0").alias("s0"), F.min("s1").alias("s1"), F.min("n").alias("n"), F.first("bins").alias("bins"))
+    reps = info.where("n > 0").groupBy("name").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "th")).alias("rep"), *(F.min(c).alias(c) for c in ("s0", "s1", "n", *Q)), F.first("own").alias("own"))
     reps = store(reps, "sets")
-    pairs = store(_near(found.where("kind = 0").select("a", "b").distinct(), reps, j), "pairs")
+    groups = store(found.where("kind = 0").select("g").distinct(), "groups")
     short = reps.join(loss, reps["name"] == loss["a"], "left").where("s0 - coalesce(l0, 0) < 0 or s1 - coalesce(l1, 0) < 0").select("name")
-    short = store(short, "incomplete")
-    wanted = pairs.select(F.col("a").alias("name")).union(pairs.select(F.col("b").alias("name"))).union(short).distinct()
-    wanted = store(reps.join(wanted, "name", "left_semi").select("name", F.col("rep.id").alias("rid"), F.col("rep.th").alias("rth")), "wanted")
-    at = wanted.select(F.col("rth").alias("th"), F.coalesce("rid", F.lit(0)).alias("i0"), F.col("rid").isNull().alias("no"))
-    texts = d.withColumns({"i0": F.coalesce("id", F.lit(0)), "no": F.col("id").isNull()}).join(_small(at), ["th", "i0", "no"], "left_semi").select("text")
-    sets = store(texts.mapInArrow(_sets(k), "name long, tokens array<long>"), "sets")
-    if sets.count() > wanted.count():  # repeated rows
-        sets = store(sets.dropDuplicates(["name"]), "sets")
-    return info, reps, pairs, short, sets
+    return info, reps, groups, store(short, "incomplete"), _Tokens(d, reps, k)
+
+
+def _labels(reps: DataFrame, groups: DataFrame, short: DataFrame, tokens: _Tokens, j: Fraction) -> DataFrame:
+    """(name, label) of all sets with candidates: a label for each component."""
+    stars = store(_near(store(_stars(groups), "stars"), reps, j), "near")
+    both = lambda p: p.select(F.col("a").alias("name")).union(p.select(F.col("b").alias("name")))
+    label = store(groups.select(F.explode("g").alias("name")).union(short).distinct().select("name", F.col("name").alias("label")), "labels")
+    sets = tokens.need(both(stars).union(short))
+    label = _merged(label, _verified(stars, sets, j).select(F.col("a").alias("la"), F.col("b").alias("lb")))
+    pairs = store(_near(store(_across(groups, label), "across"), reps, j), "near")
+    sets = tokens.need(both(pairs))
+    of = lambda c: label.select(F.col("name").alias(c), F.col("label").alias(f"new_{c}"))
+    pair = F.struct(F.xxhash64("a", "b"), "a", "b")
+    for last in (False, False, True):  # of each two components one pair first
+        now = pairs if last else pairs.groupBy("la", "lb").agg(F.min(pair).alias("x")).select("x.a", "x.b", "la", "lb")
+        now = store(now, "tested")
+        label = _merged(label, _verified(now, sets, j))
+        if not last:
+            pairs = pairs.join(now.select("a", "b"), ["a", "b"], "left_anti").join(of("la"), "la").join(of("lb"), "lb").where("new_la <> new_lb")
+            pairs = store(pairs.select("a", "b", F.least("new_la", "new_lb").alias("la"), F.greatest("new_la", "new_lb").alias("lb")), "left")
+    return _rest(short, sets, reps, label, j)
 
 
 def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: int = 5, id_col: str = "doc_id", text: str = "text", first: bool = False) -> DataFrame:
@@ -424,19 +524,13 @@ def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: in
     ``first``: also text_hash and is_first, which is true for one text of each component (and for empty sets).
     """
     j = Fraction(threshold)
-    info, reps, pairs, short, sets = _prepared(docs, j, k, id_col, text)
-    edges = _links(pairs, sets, j)
-    edges = _rest(short, sets, reps, edges, j)
+    info, reps, groups, short, tokens = _prepared(docs, j, k, id_col, text)
     out = info.select("id", "th", "n", "name")
-    if edges.limit(1).count():
-        label = components(edges)
-        least = reps.select("name", F.col("rep").alias("least")).join(label, reps["name"] == label["node"])
-        top = least.groupBy("label").agg(F.min("least").alias("c"))
-        comp = store(least.join(top, "label").select("name", "c"), "members")
-        comp = reps.select("name", "rep").join(comp, "name", "left").select("name", F.coalesce("c", "rep").alias("c"))
-    else:
-        comp = reps.select("name", F.col("rep").alias("c"))
-    comp = store(comp, "component")
+    label = _labels(reps, groups, short, tokens, j)
+    least = reps.select("name", F.col("rep").alias("least")).join(label, "name")
+    top = least.groupBy("label").agg(F.min("least").alias("c"))
+    comp = store(least.join(top, "label").select("name", "c"), "members")
+    comp = store(reps.select("name", "rep").join(comp, "name", "left").select("name", F.coalesce("c", "rep").alias("c")), "component")
     out = out.join(comp, "name", "left")
     full = F.col("n") > 0
     cols = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(full, F.col("c.id")).otherwise(F.col("id")).alias("component_id")]
@@ -447,11 +541,17 @@ def link_components(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: in
 
 def _all_links(docs: DataFrame, j: Fraction, k: int, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Rows with their sets' names, and every pair (a, b) of distinct similar sets, also within one component."""
-    info, reps, pairs, short, sets = _prepared(docs, j, k, id_col, text)
-    d = _prefixes(short, sets, j)
-    o = d.select(F.col("name").alias("other"), "token")
-    rest = _near(d.join(o, "token").where("name < other").select(F.col("name").alias("a"), F.col("other").alias("b")).distinct(), reps, j)
-    return info, store(_verified(store(pairs.union(rest).distinct(), "pairs"), sets, j), "links")
+    info, reps, groups, short, tokens = _prepared(docs, j, k, id_col, text)
+    m = groups.select("g", F.explode("g").alias("a"))
+    pairs = m.select("a", F.explode(F.filter("g", lambda y: y > F.col("a"))).alias("b")).distinct()
+    near = store(_near(pairs, reps, j), "near")
+    sets = tokens.need(near.select(F.col("a").alias("name")).union(near.select(F.col("b").alias("name"))).union(short))
+    d = _prefixes(short, sets, reps, j)
+    side = lambda c: d.select("token", *(F.col(x).alias(f"{c}_{x}") for x in ("name", "n", "i", *Q)))
+    x, y = side("x"), side("y").withColumnRenamed("token", "same")
+    rest = x.join(y, (x["token"] == y["same"]) & (F.col("x_name") < F.col("y_name")) & _room("x_", "y_", j) & _may("x_", "y_", j))
+    rest = _near(rest.select(F.col("x_name").alias("a"), F.col("y_name").alias("b")).distinct(), reps, j)
+    return info, store(_verified(store(near.union(rest).distinct(), "pairs"), sets, j), "links")
 
 
 def links(docs: DataFrame, threshold: Fraction = Fraction(3, 4), k: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:

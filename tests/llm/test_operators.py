@@ -1,5 +1,6 @@
 """Operators against plain Python on a table of edge cases, and on an empty table with clashing columns."""
 
+import random
 from collections import Counter
 
 import brute
@@ -31,11 +32,24 @@ def test_jaccard(docs, rows, none):
     assert jaccard.link_components(none).count() == 0
 
 
+def test_jaccard_large_group(spark):
+    """A group of near copies of which many are just too far from the others, beside sets that share a passage only."""
+    r = random.Random(11)
+    base = [f"w{r.randrange(400)}" for _ in range(90)]
+    rows = []
+    for k in range(500):
+        w = [f"x{r.randrange(10**6)}" if r.random() < r.choice([0.003, 0.01, 0.02, 0.03, 0.05]) else x for x in base]
+        rows.append((k, " ".join(w)))
+    rows += [(1000 + k, " ".join([*base[:25], *(f"y{r.randrange(10**6)}" for _ in range(60))])) for k in range(100)]
+    got = jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
+    assert bag(got, "doc_id", "n_shingles", "component_id") == Counter(brute.components(rows))
+
+
 def test_jaccard_costly_keys_and_pivots(docs, rows, monkeypatch):
     """With a low limit on cost almost every set is incomplete and goes through pivots and the exact rest."""
     monkeypatch.setattr(jaccard, "HEAVY", 2)
-    monkeypatch.setattr(jaccard, "AT_ONCE", 5)
-    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 2)
+    monkeypatch.setattr(jaccard, "ROUNDS", 2)
+    monkeypatch.setattr(jaccard, "HUB", 3)
     assert bag(jaccard.link_components(docs), "doc_id", "n_shingles", "component_id") == Counter(brute.components(pairs(rows)))
 
 
