@@ -302,7 +302,7 @@ def test_tokens(spark, docs, rows, none, tmp_path):
     known = {i: t for i, t in pairs(rows) if [x[0] for x in rows].count(i) == 1 and i is not None}
     shards = [token_store.open_shard(m.path) for m in manifest]
     for i, t in known.items():
-        got = [g.tolist() for s in shards if (g := s.get(i)) is not None and s.ids[s.find(i)] == i]
+        got = [g.tolist() for s in shards if (g := s.get(i)) is not None]
         assert got == [tok.encode(t or "", add_special_tokens=False).ids + [2]]
 
 
@@ -310,5 +310,50 @@ def test_mph():
     keys = np.unique(np.random.default_rng(1).integers(0, 2**63, 5000, dtype=np.uint64))
     levels, slots = token_store.build_mph(keys)
     assert sorted(slots.tolist()) == list(range(len(keys)))
-    assert np.array_equal(token_store.mph_slots(levels, keys), slots)
     assert token_store.build_mph(keys[:0])[0] == []
+
+
+def test_lookup_cost():
+    """A lookup reads as much in a small shard as in a large one, and refuses other keys."""
+    for n in (2000, 300_000):
+        ids = np.arange(n, dtype=np.int64) * 7 - 1000
+        data = token_store.shard_bytes(ids, np.ones(n, bool), [i.tobytes()[:4] for i in ids], 4)
+        cost = []
+        shard = token_store.Shard(lambda at, size: cost.append(size) or data[at : at + size])
+        assert sum(cost) < 300
+        for i in (0, 1, n // 2, n - 1):
+            cost.clear()
+            assert shard.get(int(ids[i])).tolist() == [int(ids[i]) & 0xFFFFFFFF]
+            assert len(cost) < 30 and sum(cost) < 2500
+        assert all(shard.get(int(i) + 3) is None for i in ids[:500])
+        assert np.array_equal(shard.find_all(ids[::-1]), np.arange(n)[::-1])
+
+
+def test_token_index(spark, tmp_path):
+    """Keys lead to the shard that holds them; null and repeated ids and rows spread over shards."""
+    rows = [(k % 900 if k % 3 else None, f"text {k} of a row" if k % 5 else "same") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    manifest = token_store.write_tokens(docs, token_store.default_tokenizer(), f"file://{tmp_path}/x", shards=12).collect()
+    assert len(manifest) == 12 and max(m.n_docs for m in manifest) < 600
+    index, enc = token_store.TokenIndex(manifest), token_store.encoder(token_store.default_tokenizer())
+    for k in range(900):
+        mine = [enc.tok.encode(t, add_special_tokens=False).ids + [2] for i, t in rows if i == k]
+        got = index.get(k)
+        assert (got is None and not mine) or got.tolist() in mine
+    assert index.get(-1) is None and index.get(10**6) is None
+    assert token_store.read_tokens(spark, manifest).count() == 3000
+
+
+def test_encoder_equals_library():
+    """Every code point, alone and inside a word, and random texts of mixed scripts."""
+    enc = token_store.WordEncoder(token_store.default_tokenizer())
+    r = random.Random(5)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    want = lambda t: np.array(enc.tok.encode(t, add_special_tokens=False).ids, enc.dtype).tobytes()
+    for a in range(0, len(points), 64):
+        t = " ".join(f"{chr(c)} Ab{chr(c)}c{chr(c)}'s" for c in points[a : a + 64])
+        assert enc.encode(t) == want(t), hex(points[a])
+    low = [c for c in points if c < 0x3100]
+    for _ in range(3000):
+        t = "".join(chr(r.choice(low)) if r.random() < 0.4 else r.choice("aE ıİßΣς.\n'9é\u0301\u0327Å") for _ in range(r.randrange(60)))
+        assert enc.encode(t) == want(t), t
