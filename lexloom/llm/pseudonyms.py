@@ -93,7 +93,8 @@ class Pseudonymizer:
 
     def card(self, m: re.Match, back: bool) -> str | None:
         d = re.sub(r"\D", "", m[0])
-        return _refill(m[0], self._digits("card", d, luhn, back)) if luhn(d) and d.strip("0") else None
+        ok = lambda x: luhn(x) and bool(x.strip("0"))
+        return _refill(m[0], self._digits("card", d, ok, back)) if ok(d) else None
 
     def phone(self, m: re.Match, back: bool) -> str | None:
         s = m[0]
@@ -151,14 +152,14 @@ class Pseudonymizer:
             return None
         if not _FIRST <= day <= _LAST:
             return None
-        long = len(m[1]) == len(m[3]) == 2 or style == "ymd"
-        pad = (lambda v: f"{v:02d}") if long else str
-        fits = None if long else lambda x: True
-        new = dt.date.fromordinal(_FIRST + self._feistel(f"date{style}{m[2]}{long}", _LAST - _FIRST + 1).walk(day - _FIRST, fits, back))
+        # one permutation for all notations; digits of day and month stay as many, so every notation can be told again
+        digits = lambda x: (x.month < 10, x.day < 10)
+        fits = lambda x: digits(dt.date.fromordinal(_FIRST + x)) == (mo < 10, d < 10)
+        new = dt.date.fromordinal(_FIRST + self._feistel("date", _LAST - _FIRST + 1).walk(day - _FIRST, fits, back))
         if style == "ymd":
             return f"{new.year:04d}{m[2]}{new.month:02d}{m[2]}{new.day:02d}"
         a, b = (new.month, new.day) if m[2] == "/" else (new.day, new.month)
-        return f"{pad(a)}{m[2]}{pad(b)}{m[2]}{new.year:04d}"
+        return f"{a:0{len(m[1])}d}{m[2]}{b:0{len(m[3])}d}{m[2]}{new.year:04d}"
 
     def replace(self, text: str, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and (kind, start, end) of the replaced values in the text given."""
