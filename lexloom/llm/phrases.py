@@ -25,6 +25,10 @@ WINDOW = 35
 PATTERNS = 20_000
 
 
+#: Letters that a string can hold, less the one for words of no passage.
+LETTERS = 0x10FFFF - 0x1000 - 256
+
+
 def _letters(ids: np.ndarray) -> str:
     """Word numbers as letters of a string, past the surrogates."""
     return (np.where(ids < 0xD000, ids + 256, ids + 256 + 0x1000).astype("<u4")).tobytes().decode("utf-32-le", "surrogatepass")
@@ -44,22 +48,23 @@ def recurring_windows(s: Snippets, window: int) -> tuple[np.ndarray, np.ndarray]
     confirmed = np.sort(order[a[total > 1]])  # a place of each recurring passage, in the contents' order
     out = np.zeros(len(starts), bool)
     content = np.repeat(np.arange(len(n)), n)
-    step = 0
-    while step < len(confirmed):
-        end = min(step + PATTERNS, len(confirmed))
+    each = max(1, min(PATTERNS, LETTERS // window))  # so few passages that their words are no more than there are letters
+    for step in range(0, len(confirmed), each):
+        part = confirmed[step : step + each]
         # equal windows elect the same anchor, so a shard's passages only occur in contents with its anchors
-        while end < len(confirmed) and s.anchor[content[confirmed[end]]] == s.anchor[content[confirmed[end - 1]]]:
-            end += 1
-        part = confirmed[step:end]
-        lo, hi = np.searchsorted(s.anchor, [s.anchor[content[part[0]]], s.anchor[content[part[-1]]]])
+        lo = int(np.searchsorted(s.anchor, s.anchor[content[part[0]]]))
         hi = int(np.searchsorted(s.anchor, s.anchor[content[part[-1]]], side="right"))
         base, top = int(s.g_start[lo]), int(s.g_start[hi - 1] + s.g_size[hi - 1])
-        _, ids = np.unique(s.values[base:top], return_inverse=True)
-        if len(ids) and ids.max() >= 0x100000:
-            raise OverflowError("more different words than letters in one shard")
-        text = _letters(ids)
+        inside = np.zeros(top - base + 1, np.int64)
+        at = starts[part] - base
+        np.add.at(inside, at, 1)
+        np.add.at(inside, at + window, -1)
+        words = np.unique(s.values[base:top][np.cumsum(inside)[:-1] > 0])
+        ids = np.searchsorted(words, s.values[base:top])
+        ids[ids == len(words)] = 0
+        text = _letters(np.where(words[ids] == s.values[base:top], ids + 1, 0))  # 0: a word of none of the passages
         machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for p in (starts[part] - base).tolist():
+        for p in at.tolist():
             machine.add_word(text[p : p + window])
         machine.make_automaton()
         for g in range(lo, hi):
@@ -67,7 +72,6 @@ def recurring_windows(s: Snippets, window: int) -> tuple[np.ndarray, np.ndarray]
             f = int(first[g]) - window + 1
             for e, _ in machine.iter(text[x : x + int(s.g_size[g])]):
                 out[f + e] = True
-        step = end
     return out, first
 
 

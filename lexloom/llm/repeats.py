@@ -83,7 +83,7 @@ def pack(bits: int, key: np.ndarray, *values: np.ndarray):
     """Arrow batches of a row for each bucket (the key's top bits, mixed) with the keys and values as blobs."""
     if not len(key):
         return
-    bucket = (mix64(key.view(_U) + _U(1)) >> _U(64 - bits)).astype(np.uint16)
+    bucket = (mix64(key.view(_U) + _U(1)) >> _U(64 - bits)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket, cols = bucket[order], [key[order], *(v[order] for v in values)]
     rows = [(int(bucket[a]), *(c[a:b].tobytes() for c in cols)) for a, b in zip(*runs(bucket), strict=True)]
@@ -274,7 +274,7 @@ def find_spans(d: DataFrame, units: Units, decide: Callable, within: bool) -> tu
     ``decide(batches, bits)`` gets a partition of SNIPPETS and yields packed ranges.
     """
     n = partitions(d, 16)
-    bits = max(7, min(15, int(4 * n - 1).bit_length()))
+    bits = min(31, max(7, int(4 * n - 1).bit_length()))
     blobs = d.select("th", "text").mapInArrow(_hashes(units, bits), "bucket int, key binary, v0 binary, v1 binary")
     again = blobs.repartition(n, "bucket").mapInArrow(_recurring(bits, within), "bucket int, key binary, v0 binary")
     cand = store(again.repartition(n, "bucket").mapInArrow(_group_blobs((np.int64,), None), "th long, v0 binary"), "recurring")
