@@ -46,6 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/lexloom-{uuid.uuid4().hex}"
 
 
+def fresh(columns: list[str], prefix: str) -> str:
+    """``prefix``, lengthened until no column's name starts with it."""
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def store(df: DataFrame, what: str = "step") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

@@ -5,7 +5,7 @@ It gives every byte position a distribution over the learned languages; a docume
 positions of its whole text.  As a run's labels depend on its bytes alone, equal runs are computed once and counted.
 
 The network is fitted on a bounded sample of labelled rows: ``docs_per_lang`` documents of each language, chosen by hash, and
-``runs_per_lang`` runs of those.  The sample's size does not grow with the table; everything else covers all rows.
+``runs_per_lang`` runs of those, cut as for predictions.  The sample's size does not grow with the table; everything else covers all rows.
 
 Cases: null text, or text without a letter, gives ``und`` and score 0; rows with null id or label are not learned from;
 repeated rows are predicted alike; without any label all rows are ``und``; other columns stay as they are.
@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SEP_CLASS, grouped_order, hash_spans, runs, store, text_slices, word_spans
+from .common import fresh, grouped_order, hash_spans, runs, store, text_slices, word_spans
 
 RUN = 24
 HIDDEN = 16
 UNKNOWN = "und"
+#: Rows of checked size that may be broadcast.
+SMALL = 500_000
 #: Runs whose results a worker keeps.
 TABLE = 400_000
 
@@ -158,14 +160,18 @@ class RunTable:
 
 
 def byte_runs(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words cut into runs of at most RUN bytes."""
+    """Words cut into runs of at most RUN bytes, at the borders of characters."""
     starts, ends, doc = word_spans(buf, offs)
-    pieces = (ends - starts + RUN - 1) // RUN
+    step = RUN - 3
+    pieces = np.where(ends - starts > RUN, (ends - starts + step - 1) // step, 1)
     if len(pieces) and pieces.max() > 1:
         which = np.repeat(np.arange(len(starts)), pieces)
         nth = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        starts, doc, last = starts[which] + RUN * nth, doc[which], ends[which]
-        ends = np.minimum(starts + RUN, last)
+        begin, last = starts[which] + step * nth, nth == pieces[which] - 1
+        for _ in range(3):  # back to the first byte of a character, but not beyond a word's start
+            begin = np.where(((buf[begin] & 0xC0) == 0x80) & (nth > 0), begin - 1, begin)
+        ends = np.where(last, ends[which], np.r_[begin[1:], 0])
+        starts, doc = begin, doc[which]
     return starts, ends, doc
 
 
@@ -188,15 +194,29 @@ def document_probabilities(table: RunTable, buf: np.ndarray, offs: np.ndarray) -
     return sums / np.maximum(1, np.bincount(doc, ends - starts, n))[:, None]
 
 
+def _sample_pieces(batches):
+    """(language, id, text) to the runs of each text, with their numbers."""
+    for b in batches:
+        for r0, r1, buf, offs in text_slices(b, "t"):
+            starts, ends, doc = byte_runs(buf, offs)
+            nth = np.arange(len(doc)) - np.searchsorted(doc, doc)
+            for c in range(0, len(doc), 50_000):
+                own = pa.array(doc[c : c + 50_000])
+                w = [buf[x:y].tobytes() for x, y in zip(starts[c : c + 50_000], ends[c : c + 50_000], strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(r0, r1 - r0).take(own), b.column(1).slice(r0, r1 - r0).take(own), pa.array(nth[c : c + 50_000]), pa.array(w, pa.binary())], names=["l", "i", "p", "w"])
+
+
 def sample_runs(docs: DataFrame, docs_per_lang: int, runs_per_lang: int, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[bytes, str]]:
     """The bounded training sample, in a fixed order."""
     d = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text).alias("t"), F.col(lang).alias("l"))
     top = lambda df, n, *key: df.withColumn("rn", F.row_number().over(Window.partitionBy("l").orderBy(*key))).where(F.col("rn") <= n).drop("rn")
-    ids = top(d.select("i", "l"), docs_per_lang, F.xxhash64(F.lit(7), "i"), "i")
-    d = store(d.join(F.broadcast(ids.distinct()), ["i", "l"]), "sample")  # docs_per_lang rows a language
-    w = d.select("l", "i", F.posexplode(F.split("t", SEP_CLASS + "+")).alias("p", "w")).where(F.col("w") != "")
+    ids = store(top(d.select("i", "l"), docs_per_lang, F.xxhash64(F.lit(7), "i"), "i").distinct(), "chosen")  # docs_per_lang rows a language
+    ids = F.broadcast(ids) if ids.limit(SMALL + 1).count() <= SMALL else ids
+    d = store(d.join(ids, ["i", "l"]).select("l", "i", "t"), "sample")
+    kinds = ", ".join(f"{c} {d.schema[c].dataType.simpleString()}" for c in ("l", "i"))
+    w = d.mapInArrow(_sample_pieces, f"{kinds}, p long, w binary")
     w = top(w, runs_per_lang, F.xxhash64(F.lit(9), "i", "p"), "i", "p", "w").select("l", "w")
-    return sorted((r["w"].encode()[:RUN], r["l"]) for r in w.collect())
+    return sorted((bytes(r["w"]), r["l"]) for r in w.collect())
 
 
 def train(docs: DataFrame, docs_per_lang: int = 400, runs_per_lang: int = 12_000, epochs: int = 5, **names) -> ByteGRU:
@@ -213,7 +233,9 @@ _tables: dict[int, RunTable] = {}
 def identify(docs: DataFrame, model: ByteGRU, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its pooled probability (a column named as one of these is replaced)."""
     docs = docs.drop(pred, score)
-    given = docs.withColumn("_letter", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    given = docs.withColumn(fresh([*docs.columns, pred, score], "_letter"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    given = given.toDF(*(f"c{i}" for i in range(len(given.columns))))  # names may hold dots
+    names, at = docs.columns, f"c{docs.columns.index(text)}"
     schema = docs.withColumn(pred, F.lit("").cast("string")).withColumn(score, F.lit(0.0)).schema
 
     def label(batches):
@@ -223,13 +245,13 @@ def identify(docs: DataFrame, model: ByteGRU, text: str = "text", pred: str = "l
         table = _tables[model.id]
         for b in batches:
             letter = np.asarray(b.column(b.num_columns - 1))
-            p = [document_probabilities(table, buf, offs) for _, _, buf, offs in text_slices(b, text)]
+            p = [document_probabilities(table, buf, offs) for _, _, buf, offs in text_slices(b, at)]
             p = np.concatenate(p) if p else np.zeros((0, len(model.langs)))
             known = letter & bool(model.langs)
             best = p.argmax(axis=1) if model.langs else np.zeros(len(letter), np.int64)
-            names = [model.langs[i] if k else UNKNOWN for i, k in zip(best, known, strict=True)]
+            found = [model.langs[i] if k else UNKNOWN for i, k in zip(best, known, strict=True)]
             value = np.where(known, np.round(p.max(axis=1, initial=0.0), 5), 0.0)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(names, pa.string()), pa.array(value, pa.float64())], names=[*b.schema.names[:-1], pred, score])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.string()), pa.array(value, pa.float64())], names=[*names, pred, score])
 
     return given.mapInArrow(label, schema)
 
