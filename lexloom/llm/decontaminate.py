@@ -95,8 +95,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that leak an item."""
-    bad = store(find_leaks(docs, items, id_col, text).select(F.col(id_col).alias("_bad")).distinct(), "leaks")
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+    bad = store(find_leaks(docs, items, id_col, text).select(F.col(id_col).alias("leaking")).distinct(), "leaks")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["leaking"]), "left_anti")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

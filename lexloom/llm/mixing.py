@@ -3,11 +3,12 @@
 Each source's documents fall into a fixed number of blocks by a keyed hash.  A source's target becomes an exact quota
 of block draws (full passes, then a first-fit choice in permuted block order).  A binary tree over the output shards
 splits the vector of quotas by multivariate-hypergeometric draws, so every shard gets an exact share of each source;
-shards then take disjoint runs of the source's permuted draws and shuffle their rows locally.
+shards then take disjoint runs of the source's permuted draws and shuffle their rows locally.  A row's ``copies`` are the draws
+of its block that were dealt to shards.  Shards and blocks grow with the input.
 
 Cases: null text has size 0; a null source is a source of its own, last in order; null ids are allowed; repeated rows
 are rows of their own, which share a block; an empty table gives no rows; sources of size 0 get target 0; other
-columns stay as they are, but for those named in RESULT.
+columns stay as they are, whatever their names, but for those named in RESULT.
 """
 
 from __future__ import annotations
@@ -17,12 +18,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, word_count
+from .common import fresh, partitions, store, word_count
 
 DEFAULT_WEIGHTS = (5.0, 2.0, 1.0)
 #: Weights are set by a person, so sources are few; more than this many is taken for an error in the table.
 MAX_SOURCES = 100_000
-BLOCKS = 1024
+#: Blocks of a source: at least so many, and so many for each shard.
+BLOCKS, BLOCKS_A_SHARD = 1024, 4
+#: Megabytes of input for a shard.
+SHARD_MB = 128
 #: Columns that a plan adds; input columns of these names are replaced there.
 RESULT = ("size", "source_size", "target", "copies", "taken")
 
@@ -76,29 +80,33 @@ def split_quotas(counts: np.ndarray, shards: int, seed: int) -> np.ndarray:
 class Mix:
     """A plan: ``rows`` has every input row with size, source_size, target, copies (0..cap) and taken."""
 
-    def __init__(self, rows: DataFrame, draws: DataFrame, shards: int, seed: int):
-        self.rows, self.draws, self.shards, self.seed = rows, draws, shards, seed
+    def __init__(self, rows: DataFrame, draws: DataFrame, shards: int, seed: int, blocks: int):
+        self.rows, self.draws, self.shards, self.seed, self.blocks = rows, draws, shards, seed, blocks
 
 
 def _key(source: str) -> Column:
     return F.coalesce(F.concat(F.lit("v"), F.col(source).cast("string")), F.lit("n"))
 
 
-def _blocked(docs: DataFrame, id_col: str, text: str, source: str, seed: int, blocks: int) -> DataFrame:
+def _blocked(docs: DataFrame, id_col: str, text: str, source: str, seed: int, blocks: int, own: str) -> DataFrame:
     return docs.withColumns({
-        "_mx_size": word_count(F.col(text)),
-        "_mx_key": _key(source),
-        "_mx_block": F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)), F.lit(blocks)).cast("int"),
+        f"{own}_size": word_count(F.col(text)),
+        f"{own}_key": _key(source),
+        f"{own}_block": F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)), F.lit(blocks)).cast("int"),
     })
 
 
 def mix_sources(docs: DataFrame, weights: dict | None = None, share: float = 1.5, cap: float = 2.0, shards: int | None = None,
-                seed: int = 17, blocks: int = BLOCKS, id_col: str = "doc_id", text: str = "text", source: str = "source") -> Mix:
+                seed: int = 17, blocks: int | None = None, id_col: str = "doc_id", text: str = "text", source: str = "source") -> Mix:
     """Plan a mix of ``share`` times all words.  ``weights``: by source value; otherwise 5, 2, 1 in code-point order."""
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    blocked = _blocked(docs.drop(*RESULT), id_col, text, source, seed, blocks)
-    sums = store(blocked.groupBy("_mx_key", "_mx_block").agg(F.sum("_mx_size").alias("n")), "blocks")
+    shards = shards or partitions(docs, SHARD_MB)
+    blocks = blocks or max(BLOCKS, BLOCKS_A_SHARD * shards)
+    kept = docs.drop(*RESULT)
+    own = fresh(kept.columns, "_mx")
+    blocked = _blocked(kept, id_col, text, source, seed, blocks, own)
+    sums = blocked.groupBy(F.col(f"{own}_key").alias("_mx_key"), F.col(f"{own}_block").alias("_mx_block")).agg(F.sum(f"{own}_size").alias("n"))
+    sums = store(sums, "blocks")
     per = sums.groupBy("_mx_key").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -146,22 +154,27 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, share: float = 1.5
         shard = np.searchsorted(ends[:, pos], np.arange(len(order)), side="right")
         return pd.DataFrame({"_mx_key": g["_mx_key"].iloc[0], "_mx_block": blocks_[order], "_mx_copy": nth[order].astype("int32"), "_mx_shard": shard.astype("int32")})
 
-    draws = picked.groupBy("_mx_key").applyInPandas(deal, "_mx_key string, _mx_block int, _mx_copy int, _mx_shard int")
+    draws = store(picked.groupBy("_mx_key").applyInPandas(deal, "_mx_key string, _mx_block int, _mx_copy int, _mx_shard int"), "draws")
+    dealt = draws.groupBy("_mx_key", "_mx_block").agg(F.count("*").alias("copies"))
     # At most `blocks` rows for each of the few sources; Spark checks the size before it broadcasts.
-    rows = blocked.join(picked.drop("_mx_pos", "_mx_perm"), ["_mx_key", "_mx_block"], "left")
-    return Mix(rows.withColumn("size", F.col("_mx_size")).withColumn("taken", F.col("_mx_size") * F.col("copies")), draws, shards, seed)
+    dealt = sums.select("_mx_key", "_mx_block").join(dealt, ["_mx_key", "_mx_block"], "left").join(F.broadcast(plan), "_mx_key")
+    dealt = dealt.select(F.col("_mx_key").alias(f"{own}_key"), F.col("_mx_block").alias(f"{own}_block"), "source_size", "target", F.coalesce("copies", F.lit(0)).alias("copies"))
+    rows = blocked.join(dealt, [f"{own}_key", f"{own}_block"], "left")
+    rows = rows.withColumn("size", F.col(f"{own}_size")).withColumn("taken", F.col(f"{own}_size") * F.col("copies"))
+    return Mix(rows.select(*(F.col(f"`{c}`") for c in kept.columns), *RESULT), draws, shards, seed, blocks)
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row as often as it is drawn, with shard, dealt to shards and shuffled within each."""
     id_col, text, source = (options.get(k, d) for k, d in (("id_col", "doc_id"), ("text", "text"), ("source", "source")))
     mix = mix_sources(docs, **options)
-    blocked = _blocked(docs, id_col, text, source, mix.seed, options.get("blocks", BLOCKS))
-    out = blocked.join(mix.draws, ["_mx_key", "_mx_block"])
-    out = out.repartition(mix.shards, "_mx_shard")
-    out = out.sortWithinPartitions("_mx_shard", F.xxhash64(F.lit(mix.seed + 1), F.col(id_col), F.col("_mx_copy"), F.col(text)))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return out.select(*own) if "shard" in docs.columns else out.select(*own, F.col("_mx_shard").alias("shard"))
+    own = fresh(docs.columns, "_mx")
+    draws = mix.draws.select(*(F.col(c).alias(own + c.removeprefix("_mx")) for c in mix.draws.columns))
+    out = _blocked(docs, id_col, text, source, mix.seed, mix.blocks, own).join(draws, [f"{own}_key", f"{own}_block"])
+    out = out.repartitionByRange(mix.shards, f"{own}_shard")
+    out = out.sortWithinPartitions(f"{own}_shard", F.xxhash64(F.lit(mix.seed + 1), F.col(id_col), F.col(f"{own}_copy"), F.col(text)))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*kept) if "shard" in docs.columns else out.select(*kept, F.col(f"{own}_shard").alias("shard"))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
