@@ -142,6 +142,17 @@ def test_phrase_shards(docs, rows, monkeypatch):
     assert got == Counter(brute.phrases(pairs(rows)))
 
 
+def test_hot_anchor_many_words(spark, monkeypatch):
+    """Passages of one anchor in several automata, each with fewer letters than the shard has words."""
+    monkeypatch.setattr(phrases, "LETTERS", 40)
+    r = random.Random(3)
+    hot = " ".join(f"h{i}" for i in range(30))
+    tails = [" ".join(f"t{k}x{i}" for i in range(30)) for k in range(12)]
+    rows = [(k, " ".join([f"u{r.randrange(10**6)}", tails[k % 12], hot, tails[(k * 5) % 12]])) for k in range(60)]
+    got = bag(phrases.remove_phrases(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == Counter(brute.phrases(rows))
+
+
 def _items(rows):
     long = [t for _, t in pairs(rows) if t and len(t.split()) > 50]
     w = [x.split() for x in long]
@@ -186,6 +197,23 @@ def test_language(spark, docs, rows, none):
     assert {r.lang_pred for r in langid.identify(docs, langid.train(none)).collect()} == {"und"}
 
 
+def test_byte_runs():
+    """Whole words are cut at the borders of characters, and nothing is left out; columns named like the operator's own stay."""
+    texts = ["é" * 100 + " ab " + "語" * 50 + "x" * 25, "a" * 24 + " " + "b" * 25, "", "\U0001f600" * 30]
+    raw = [t.encode() for t in texts]
+    buf, offs = np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(x) for x in raw])]
+    starts, ends, doc = langid.byte_runs(buf, offs)
+    assert (ends - starts).max() <= langid.RUN and (ends > starts).all()
+    got = [[buf[a:b].tobytes().decode() for a, b, d in zip(starts, ends, doc, strict=True) if d == k] for k in range(len(texts))]
+    assert ["".join(x) for x in got] == [t.replace(" ", "") for t in texts]
+
+
+def test_language_clash(spark):
+    d = spark.createDataFrame([(1, "some words", "en", 5, "k"), (2, None, "fr", None, None)], "doc_id long, text string, lang string, _letter int, _lang string")
+    out = langid.identify(d, langid.train(d, epochs=1), pred="p", score="s")
+    assert out.columns == [*d.columns, "p", "s"] and bag(out, "_letter", "_lang") == bag(d, "_letter", "_lang")
+
+
 def test_gradients():
     """Backpropagation through time against differences."""
     m = langid.ByteGRU(["a", "b", "c"], hidden=3, seed=1)
@@ -235,6 +263,34 @@ def test_pseudonyms(spark, docs, none):
     assert pseudonyms.pseudonymize(docs).count() == 0
 
 
+def test_dates_are_permuted():
+    """Every day, in every notation: a permutation, inverted, and the same day whatever the notation."""
+    import datetime as dt
+
+    p = pseudonyms.Pseudonymizer(b"key")
+    day, last, seen = dt.date(1900, 1, 1), dt.date(2099, 12, 31), set()
+    while day <= last:
+        y, m, d = day.year, day.month, day.day
+        forms = [f"{y}-{m:02d}-{d:02d}"]
+        if day.day % 5 == 0 or day.month in (9, 10):
+            forms += [f"{y}/{m:02d}/{d:02d}", f"{d:02d}.{m:02d}.{y}", f"{d}.{m}.{y}", f"{m}/{d}/{y}", f"{m:02d}/{d:02d}/{y}", f"{d:02d}.{m}.{y}", f"{d}-{m:02d}-{y}"]
+        got = set()
+        for f in dict.fromkeys(forms):
+            new = p.replace(f)[0]
+            assert p.replace(new, back=True)[0] == f and len(new) == len(f)
+            n = [int(x) for x in new.replace("/", "-").replace(".", "-").split("-")]
+            got.add(tuple(n) if n[0] > 31 else (n[2], n[0], n[1]) if "/" in f else (n[2], n[1], n[0]))
+        assert len(got) == 1
+        seen |= got
+        day += dt.timedelta(1)
+    assert len(seen) == (last - dt.date(1900, 1, 1)).days + 1
+
+
+def test_no_empty_cards():
+    p = pseudonyms.Pseudonymizer(b"k")
+    assert "0" * 13 not in p.replace("4222222222222")[0] and p.replace(p.replace("4222222222222")[0], back=True)[0] == "4222222222222"
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 100, 1000])
 def test_feistel_is_a_permutation(size):
     f = pseudonyms.Feistel(b"k", "t", size)

@@ -6,6 +6,8 @@ import brute
 import corpus_pipeline as P
 import pytest
 
+from pyspark.sql import functions as F
+
 from lexloom.llm import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -41,8 +43,11 @@ def test_near_duplicates_keep_one(spark, base, rows):
 
 
 def test_stages_keep_columns(spark, base):
+    clash = base.select("*", *(F.lit(k).alias(c) for k, c in enumerate(("_lang", "_score", "_letter", "_mx_key", "_mx_size", "_id", "_th", "_nd_id", "keep", "th", "name", "token", "a.b"))))
     for _, stage in P.STAGES[:-1]:
-        assert stage(spark, base, SF).columns == base.columns
+        out = stage(spark, clash, SF)
+        assert out.columns == clash.columns
+        assert {tuple(r) for r in out.select(*(f"`{c}`" for c in clash.columns[5:])).distinct().collect()} == {tuple(range(13))}
 
 
 def test_stages_on_nothing(spark, base):
