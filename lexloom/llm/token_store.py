@@ -18,8 +18,10 @@ import bisect
 import io
 import json
 import re
+import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -203,7 +205,7 @@ def open_shard(path: str) -> Shard:
 class _Table(dict):
     """A bounded table of computed values: when it is full, it becomes the older generation of an empty one."""
 
-    LIMIT = 200_000
+    LIMIT = 300_000
 
     def __init__(self, make):
         self.make, self.old = make, {}
@@ -247,7 +249,7 @@ class WordEncoder:
             and stages[0]["behavior"] == "Removed" and stages[0]["invert"] and "\\s" in stages[0]["pattern"]["Regex"]
         )
         self.width = 2 if self.tok.get_vocab_size() < 65536 else 4
-        self.dtype = f"<u{self.width}"
+        self.dtype, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
         if self.by_word:
             import regex
 
@@ -257,20 +259,23 @@ class WordEncoder:
 
     def _piece(self, piece: str) -> bytes:
         mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], self.dtype).tobytes()
+        ids = array(self.code, [t.id for t in self.model.tokenize(mapped)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _word(self, word: str) -> bytes:
         if not _PLAIN.fullmatch(word):
             return self._whole(word)
         low = word.lower()
-        return self.pieces[low] if low.isascii() and low.isalpha() else b"".join(map(self.pieces.__getitem__, self.split(low)))
+        return self._piece(low) if low.isascii() and low.isalpha() else b"".join(map(self.pieces.__getitem__, self.split(low)))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.by_word and not _CONTROL.search(text) and not any(s in text for s in self.special):
-            return b"".join(map(self.words.__getitem__, (text.lower() if text.isascii() else text).split()))
+            return b"".join(map(self.words.__getitem__, (text.lower() if text.isascii() or _PLAIN.fullmatch(text) else text).split()))
         return self._whole(text)
 
 
