@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
@@ -71,6 +73,22 @@ def partitions(df: DataFrame, per_mb: float, grow: float = 1.0) -> int:
     return max(least, int(size * grow / (per_mb * 1e6)) + 1)
 
 
+def give_back(run):
+    """``run`` over batches, after which a worker that waits for its next task holds no memory that it does not use."""
+
+    @functools.wraps(run)
+    def ends(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return ends
+
+
 def with_shared_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get("p")
     if have is None or len(have) < n:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MULT, grouped_order, hash_spans, mix64, partitions, ranges, runs, store, text_slices, window_hashes, word_spans
+from .common import MULT, give_back, grouped_order, hash_spans, mix64, partitions, ranges, runs, store, text_slices, window_hashes, word_spans
 from .components import components
 
 _U = np.uint64
@@ -383,7 +383,7 @@ class _Tokens:
             names = names.join(self.sets.select("name"), "name", "left_anti")
         at = store(self.reps.join(names, "name", "left_semi").select(F.col("rep.th").alias("th"), F.coalesce("rep.id", F.lit(0)).alias("i0"), F.col("rep.id").isNull().alias("no")), "wanted")
         d = self.texts.withColumns({"i0": F.coalesce("id", F.lit(0)), "no": F.col("id").isNull()}).join(_small(at), ["th", "i0", "no"], "left_semi")
-        more = store(d.select("text").mapInArrow(_sets(self.k), "name long, tokens array<long>"), "sets")
+        more = store(d.select("text").mapInArrow(give_back(_sets(self.k)), "name long, tokens array<long>"), "sets")
         if more.count() > at.count():  # repeated rows
             more = store(more.dropDuplicates(["name"]), "sets")
         self.sets = more if self.sets is None else self.sets.union(more)
@@ -484,11 +484,11 @@ def _rest(members: DataFrame, sets: DataFrame, reps: DataFrame, label: DataFrame
 def _prepared(docs: DataFrame, j: Fraction, k: int, id_col: str, text: str):
     """Rows with their sets' names, distinct sets, groups of candidates, sets incomplete by light keys, and tokens on demand."""
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).cast("string").alias("text"))
-    info = store(d.mapInArrow(_info(k, j), f"id long, th long, n long, name long, s0 long, s1 long, {', '.join(f'{q} long' for q in Q)}, own array<long>"), "info")
+    info = store(d.mapInArrow(give_back(_info(k, j)), f"id long, th long, n long, name long, s0 long, s1 long, {', '.join(f'{q} long' for q in Q)}, own array<long>"), "info")
     n = partitions(docs, 8)
     bits = min(31, max(7, int(2 * n - 1).bit_length()))
-    blobs = d.select("text").mapInArrow(_blobs(k, j, bits), "bucket int, name binary, n binary, hi binary, lo binary, meta binary")
-    found = store(blobs.repartition(n, "bucket").mapInArrow(_match, FOUND), "found")
+    blobs = d.select("text").mapInArrow(give_back(_blobs(k, j, bits)), "bucket int, name binary, n binary, hi binary, lo binary, meta binary")
+    found = store(blobs.repartition(n, "bucket").mapInArrow(give_back(_match), FOUND), "found")
     loss = found.where("kind > 0").groupBy("a").agg(*(F.sum(F.when(F.col("kind") == 1 + w, F.col("b")).otherwise(0)).alias(f"l{w}") for w in (0, 1)))
     reps = info.where("n > 0").groupBy("name").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "th")).alias("rep"), *(F.min(c).alias(c) for c in ("s0", "s1", "n", *Q)), F.first("own").alias("own"))
     reps = store(reps, "sets")

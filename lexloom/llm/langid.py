@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, grouped_order, hash_spans, runs, store, text_slices, word_spans
+from .common import fresh, give_back, grouped_order, hash_spans, runs, store, text_slices, word_spans
 
 RUN = 24
 HIDDEN = 16
 UNKNOWN = "und"
 #: Rows of checked size that may be broadcast.
 SMALL = 500_000
+#: Text bytes of one step.
+SLICE = 1 << 20
 #: Runs whose results a worker keeps.
 TABLE = 400_000
 
@@ -129,8 +131,8 @@ class ByteGRU:
         order = np.argsort(length, kind="stable")
         for a, b in zip(*runs(length[order]), strict=True):
             n = int(length[order[a]])
-            for c in range(a, b, 8192):
-                ix = order[c : min(b, c + 8192)]
+            for c in range(a, b, 2048):
+                ix = order[c : min(b, c + 2048)]
                 out[ix] = self.probabilities(buf[starts[ix, None] + np.arange(n)]).sum(axis=0)
         return out
 
@@ -245,7 +247,7 @@ def identify(docs: DataFrame, model: ByteGRU, text: str = "text", pred: str = "l
         table = _tables[model.id]
         for b in batches:
             letter = np.asarray(b.column(b.num_columns - 1))
-            p = [document_probabilities(table, buf, offs) for _, _, buf, offs in text_slices(b, at)]
+            p = [document_probabilities(table, buf, offs) for _, _, buf, offs in text_slices(b, at, SLICE)]
             p = np.concatenate(p) if p else np.zeros((0, len(model.langs)))
             known = letter & bool(model.langs)
             best = p.argmax(axis=1) if model.langs else np.zeros(len(letter), np.int64)
@@ -253,7 +255,7 @@ def identify(docs: DataFrame, model: ByteGRU, text: str = "text", pred: str = "l
             value = np.where(known, np.round(p.max(axis=1, initial=0.0), 5), 0.0)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.string()), pa.array(value, pa.float64())], names=[*names, pred, score])
 
-    return given.mapInArrow(label, schema)
+    return given.mapInArrow(give_back(label), schema)
 
 
 def held_out(id_col: str = "doc_id"):

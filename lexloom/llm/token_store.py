@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, partitions, shared_dir
+from .common import give_back, mix64, partitions, shared_dir
 
 MAGIC = b"LXTOK002"
 #: A block of a hash level: the number of bits set before it, and 512 bits.
@@ -328,7 +328,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = END_ID
         fs.move(tmp, name)
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [f"{out}/tokens-{shard:06d}.bin"], "n_docs": [len(payloads)], "n_tokens": [sum(map(len, payloads)) // enc.width], **{c: pa.array([int(ids[i]) if known[i] else None], pa.int64()) for c, i in (("least", int(known.argmax())), ("greatest", -1))}})
 
-    return ordered.mapInArrow(write, MANIFEST)
+    return ordered.mapInArrow(give_back(write), MANIFEST)
 
 
 def read_tokens(spark: SparkSession, manifest: list) -> DataFrame:
@@ -356,7 +356,7 @@ def read_tokens(spark: SparkSession, manifest: list) -> DataFrame:
                     crc.append(zlib.crc32(ids.tobytes()))
                 yield pa.RecordBatch.from_pydict({"shard": pa.array(np.full(n, shard), pa.int32()), "doc_id": pa.array(ids_, pa.int64(), mask=~known), "start": pa.array(off[:-1] + base), "n_tokens": pa.array(np.diff(off)), "ids_crc32": pa.array(np.array(crc, np.int64))})
 
-    return df.mapInArrow(read, "shard int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    return df.mapInArrow(give_back(read), "shard int, doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_output(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
