@@ -246,14 +246,15 @@ def identify(docs: DataFrame, model: ByteGRU, text: str = "text", pred: str = "l
             _tables[model.id] = RunTable(model)
         table = _tables[model.id]
         for b in batches:
-            letter = np.asarray(b.column(b.num_columns - 1))
-            p = [document_probabilities(table, buf, offs) for _, _, buf, offs in text_slices(b, at, SLICE)]
-            p = np.concatenate(p) if p else np.zeros((0, len(model.langs)))
-            known = letter & bool(model.langs)
-            best = p.argmax(axis=1) if model.langs else np.zeros(len(letter), np.int64)
-            found = [model.langs[i] if k else UNKNOWN for i, k in zip(best, known, strict=True)]
-            value = np.where(known, np.round(p.max(axis=1, initial=0.0), 5), 0.0)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.string()), pa.array(value, pa.float64())], names=[*names, pred, score])
+            for r0, r1, buf, offs in text_slices(b, at, SLICE):  # small batches in turn keep both sides' buffers small
+                part = b.slice(r0, r1 - r0)
+                letter = np.asarray(part.column(b.num_columns - 1))
+                p = document_probabilities(table, buf, offs)
+                known = letter & bool(model.langs)
+                best = p.argmax(axis=1) if model.langs else np.zeros(len(letter), np.int64)
+                found = [model.langs[i] if k else UNKNOWN for i, k in zip(best, known, strict=True)]
+                value = np.where(known, np.round(p.max(axis=1, initial=0.0), 5), 0.0)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, pa.string()), pa.array(value, pa.float64())], names=[*names, pred, score])
 
     return given.mapInArrow(give_back(label), schema)
 
