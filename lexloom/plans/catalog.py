@@ -176,7 +176,13 @@ def heading_segments(spark, sf):
     return d.where("role <> 'user' and segment > 0").groupBy("conv_id", "segment").agg(R.concat_in_order("text", ["turn"]).alias("text"))
 
 
-@query()
+@query(r"""WITH d AS (SELECT doc_id, string_split_regex('§ 1' || chr(10) || replace(text, '.' || chr(10), chr(10) || '§ 2.' || chr(10)), '\r\n|\n|\r') AS l FROM documents WHERE text IS NOT NULL),
+    i AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS n, unnest(l) AS line FROM d),
+    h AS (SELECT doc_id, n, regexp_replace(line, '^[\s\x1c-\x1f\x0b\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\s\x1c-\x1f\x0b\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g') AS line FROM i),
+    k AS (SELECT *, nullif(regexp_extract(line, '^§\s*(\d+)\s*[,.;]?\s*$', 1), '') AS number FROM h),
+    o AS (SELECT *, count(number) OVER w AS ordinal, last_value(number IGNORE NULLS) OVER w AS own FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING))
+    SELECT doc_id, ordinal::BIGINT AS ordinal, min(own) AS number, '§ ' || min(own) AS citace, string_agg(line, chr(10) ORDER BY n) AS text
+    FROM o WHERE ordinal > 0 AND number IS NULL AND line <> '' GROUP BY doc_id, ordinal""")
 def heading_paragraphs(spark, sf):
     """Every sentence-ending line of a document becomes a heading; the state machine itself is tested on real headings."""
     d = t(spark, sf, "documents").select("doc_id", F.concat(F.lit("§ 1\n"), F.replace("text", F.lit(".\n"), F.lit("\n§ 2.\n"))).alias("text"))
@@ -304,7 +310,11 @@ def fold_diacritics_all(spark, sf):
     return t(spark, sf, "documents").select("doc_id", X.fold(F.col("text")).alias("folded"))
 
 
-@query()
+@query("""WITH l AS (SELECT doc_id, flatten(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN length(x) <= 2000 THEN [x]
+        ELSE list_transform(range(0, (length(x) + 1999) // 2000), lambda i: substring(x, i * 2000 + 1, 2000)) END)) AS l FROM documents WHERE text IS NOT NULL),
+    p AS (SELECT doc_id, list_reduce(list_transform(l, lambda x: [x]), lambda a, x: CASE WHEN length(a[len(a)]) + 1 + length(x[1]) <= 2000
+        THEN list_concat(a[1:len(a) - 1], [a[len(a)] || chr(10) || x[1]]) ELSE list_concat(a, x) END) AS p FROM l)
+    SELECT doc_id, unnest(range(0, len(p)))::INTEGER AS part, unnest(p) AS text FROM p""")
 def long_split(spark, sf):
     return t(spark, sf, "documents").select("doc_id", F.posexplode(X.split_long(F.col("text"), 2000)).alias("part", "text"))
 
