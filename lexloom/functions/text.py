@@ -90,14 +90,17 @@ def local_name(key: Column) -> Column:
     return F.element_at(F.split(key, ":"), -1)
 
 
-def encode_path(path: Column) -> Column:
-    """Percent-encode all but ``/`` and ``:``."""
-    e = F.replace(F.url_encode(path), F.lit("+"), F.lit("%20"))
-    return F.replace(F.replace(e, F.lit("%2F"), F.lit("/")), F.lit("%3A"), F.lit(":"))
+def encode_all(text: Column) -> Column:
+    """Percent-encode all but letters, digits and ``_.-~``."""
+    e = F.url_encode(text)
+    for given, wanted in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        e = F.replace(e, F.lit(given), F.lit(wanted))
+    return e
 
 
-def encode_all(text: Column) -> Column:
-    return F.replace(F.url_encode(text), F.lit("+"), F.lit("%20"))
+def encode_path(path: Column) -> Column:
+    """As ``encode_all``, but ``/`` and ``:`` stay too."""
+    return F.replace(F.replace(encode_all(path), F.lit("%2F"), F.lit("/")), F.lit("%3A"), F.lit(":"))
 
 
 def base_name(path: Column) -> Column:
@@ -114,6 +117,20 @@ def analyse(text: Column) -> Column:
     return F.filter(F.split(fold(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
 
+def shorten(text: Column, limit: int = 60) -> Column:
+    """The first ``limit`` code points, for reports."""
+    return F.substring(text, 1, limit)
+
+
+def kilobytes(size: Column) -> Column:
+    return size / 1024
+
+
+def share(part: Column, whole: Column) -> Column:
+    """``part / whole``; null where there is no whole."""
+    return F.try_divide(part.cast("double"), whole.cast("double"))
+
+
 def strip_markup(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]+>", "")
 

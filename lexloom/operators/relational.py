@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import numbered_parallel
+
 
 def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
@@ -80,7 +82,22 @@ def page(df: DataFrame, order: list, size: int, number: int) -> DataFrame:
 
 
 def chunks(df: DataFrame, order: list[str], size: int, chunk: str = "chunk") -> DataFrame:
-    return df.withColumn(chunk, F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size).cast("long"))
+    """Chunks of ``size`` consecutive rows, numbered from 0 over range partitions."""
+    return numbered_parallel(df, order, "_row").withColumn(chunk, F.floor((F.col("_row") - 1) / size).cast("long")).drop("_row")
+
+
+def progress(df: DataFrame, order: list[str]) -> DataFrame:
+    """Each row's place ``i`` of ``n``."""
+    return numbered_parallel(df, order, "i", "n")
+
+
+def ancestors(df: DataFrame, path: str, ident: str) -> DataFrame:
+    """(ident, ancestor, distance): the nodes whose path is a proper prefix of a node's, by one equi join on prefixes."""
+    steps = F.split(F.rtrim(F.col(path), F.lit("/")), "/")
+    up = df.select(ident, steps.alias("_s")).select(ident, F.explode(F.sequence(F.lit(1), F.greatest(F.size("_s") - 1, F.lit(1)))).alias("distance"), "_s").where(F.size("_s") > F.col("distance"))
+    up = up.select(ident, F.col("distance").cast("long").alias("distance"), F.array_join(F.slice("_s", F.lit(1), F.size("_s") - F.col("distance")), "/").alias("_p"))
+    at = df.select(F.col(ident).alias("ancestor"), F.rtrim(F.col(path), F.lit("/")).alias("_p"))
+    return up.join(at, "_p").select(ident, "ancestor", "distance")
 
 
 def ordered_distinct(df: DataFrame, value: str, order: str) -> DataFrame:

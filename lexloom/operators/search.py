@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .relational import page
 
 K1, B, RRF = 1.2, 0.75, 60
 
@@ -77,7 +78,7 @@ def knn_many(df: DataFrame, queries: DataFrame, k: int, ident: str, vector: str
 
     c = pairs.select("ids", "m", "dims", "qids", "qm").mapInArrow(best, f"q long, `{ident}` long, score double")
     w = Window.partitionBy("q").orderBy(F.desc("score"), ident)
-    return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q", ident, "score", "rank")
+    return c.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select("q", ident, "score", "rank")
 
 
 def fuse_many(left: DataFrame, right: DataFrame, ident: str, k: int, digits: int = 8) -> DataFrame:
@@ -86,7 +87,7 @@ def fuse_many(left: DataFrame, right: DataFrame, ident: str, k: int, digits: int
     part = lambda c: F.coalesce(1.0 / (RRF + F.col(c)), F.lit(0.0))
     s = both.select("q", ident, F.round(part("r1") + part("r2"), digits).alias("score"))
     w = Window.partitionBy("q").orderBy(F.desc("score"), ident)
-    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q", ident, "score", "rank")
+    return s.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select("q", ident, "score", "rank")
 
 
 def match_any(tokens: Column, terms: list[str]) -> Column:
@@ -118,6 +119,17 @@ def bm25(df: DataFrame, terms: list[str], ident: str, text: str = "text", k: int
     return s.limit(k) if k else s
 
 
+def search_page(df: DataFrame, terms: list[str], ident: str, text: str = "text", size: int = 10, number: int = 0) -> DataFrame:
+    """Page ``number`` (from 0) of a keyword search."""
+    return page(bm25(df, terms, ident, text, None), [F.desc("score"), ident], size, number)
+
+
+def rerank(df: DataFrame, terms: list[str], query: Column, k: int, ident: str, text: str = "text", vector: str = "vektor", candidates: int = 100) -> DataFrame:
+    """The best ``candidates`` by words, ranked anew by their vectors."""
+    best = bm25(df, terms, ident, text, candidates).select(ident)
+    return knn(df.join(best, ident, "left_semi"), query, k, ident, vector)
+
+
 def fuse(left: DataFrame, right: DataFrame, ident: str, k: int, digits: int = 8) -> DataFrame:
     """Reciprocal-rank fusion of two short rankings (ident, score)."""
     rank = lambda df, name: df.withColumn(name, F.row_number().over(Window.orderBy(F.desc("score"), ident))).select(ident, name)
@@ -154,4 +166,4 @@ def ann(df: DataFrame, queries: DataFrame, k: int, ident: str, vector: str = "em
     c = q.join(keys(df.select(ident, vector)), ["t", "s"]).dropDuplicates(["q", ident])
     c = c.withColumn("score", F.round(cosine(F.col(vector), F.col("qv")), 6))
     w = Window.partitionBy("q").orderBy(F.desc("score"), ident)
-    return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q", ident, "score", "rank")
+    return c.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select("q", ident, "score", "rank")

@@ -12,8 +12,10 @@ from ..functions import text as X
 from ..operators import embed as E
 from ..operators import relational as R
 from ..operators import search as Q
-from ..operators.paragraphs import split_headings
+from ..operators.paragraphs import assemble, clean_laws, place_fragments, split_headings
 from ..sources import documents as D
+from ..sources import linked as L
+from ..sources import reports as P
 from ..sources.shared import key_runs_parallel
 
 QUERIES: dict = {}
@@ -260,9 +262,9 @@ def chunk_sizes(spark, sf):
     return R.chunks(t(spark, sf, "documents").select("doc_id"), ["doc_id"], 100).groupBy("chunk").agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc_id, lang AS kind FROM documents WHERE lang = 'de' UNION ALL SELECT page_id, 'page' FROM pages")
+@query("SELECT doc_id, lang AS kind FROM documents UNION ALL SELECT page_id, 'page' FROM pages")
 def concat_inputs(spark, sf):
-    a = t(spark, sf, "documents").where("lang = 'de'").select("doc_id", F.col("lang").alias("kind"))
+    a = t(spark, sf, "documents").select("doc_id", F.col("lang").alias("kind"))
     return a.unionByName(t(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.lit("page").alias("kind")))
 
 
@@ -299,14 +301,8 @@ def token_counts(spark, sf):
     return d.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.size(F.array_distinct("w")).cast("long").alias("n_terms"))
 
 
-@query(f"SELECT doc_id, {FOLDED.format('text')} AS folded FROM documents WHERE lang <> 'en'")
-def fold_diacritics(spark, sf):
-    return t(spark, sf, "documents").where("lang <> 'en'").select("doc_id", X.fold(F.col("text")).alias("folded"))
-
-
 @query(f"SELECT doc_id, {FOLDED.format('text')} AS folded FROM documents")
-def fold_diacritics_all(spark, sf):
-    """All documents, English ones and those without a language too."""
+def fold_diacritics(spark, sf):
     return t(spark, sf, "documents").select("doc_id", X.fold(F.col("text")).alias("folded"))
 
 
@@ -344,12 +340,12 @@ def match_must(spark, sf):
     return Q.match_must(d, [["the", "der"], ["that", "und"]], X.analyse(F.col("text"))).select("doc_id")
 
 
-def _bm25_sql(terms: list[str], limit: str) -> str:
+def _bm25_sql(terms: list[str], limit: str, table: str = "documents") -> str:
     tf = ", ".join(f"len(list_filter(w, lambda x: x = '{x}'))::DOUBLE AS tf{i}" for i, x in enumerate(terms))
     df = ", ".join(f"count(*) FILTER (tf{i} > 0)::DOUBLE AS df{i}" for i in range(len(terms)))
     part = " + ".join(f"ln(1 + (N - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} * ({Q.K1} + 1) / (tf{i} + {Q.K1} * (1 - {Q.B} + {Q.B} * len / a))" for i in range(len(terms)))
     any_ = " OR ".join(f"tf{i} > 0" for i in range(len(terms)))
-    return f"""(WITH w AS (SELECT doc_id, {TOKENS} AS w FROM documents), f AS (SELECT doc_id, len(w)::DOUBLE AS len, {tf} FROM w),
+    return f"""(WITH w AS (SELECT doc_id, {TOKENS} AS w FROM {table}), f AS (SELECT doc_id, len(w)::DOUBLE AS len, {tf} FROM w),
     s AS (SELECT count(*)::DOUBLE AS N, avg(len) AS a, {df} FROM f) SELECT doc_id, round({part}, 6) AS score FROM f, s WHERE {any_} ORDER BY score DESC, doc_id {limit})"""
 
 
@@ -438,3 +434,151 @@ def nested_round_trip(spark, sf):
 def pages_joined(spark, sf):
     g = t(spark, sf, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("p"))
     return g.select("conv_id", D.join_pages(F.col("p")).alias("text"), D.is_scan(F.col("p")).alias("scan"))
+
+
+# ---- the ingest's own operators on these tables --------------------------------------------------------------------
+KIND = {"PROMO": "Paragraf", "SMALL": "Odstavec_Dc", "MEDIUM": "Pozemek"}
+
+
+@query(f"""WITH p AS (SELECT *, ((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey AS pos, l_linenumber % 3 AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber < 7),
+    c AS (SELECT *, CASE WHEN lag(l_orderkey) OVER w = l_orderkey AND lag(n) OVER w = n THEN 0 ELSE 1 END AS new FROM p WINDOW w AS (ORDER BY pos)),
+    g AS (SELECT *, sum(new) OVER (ORDER BY pos) AS run FROM c),
+    x AS (SELECT g.*, p_type, CASE WHEN p_size % 5 > 0 AND length(trim(p_name)) >= 5 THEN trim(p_name) WHEN l_suppkey % 2 = 0 THEN 'supplier ' || l_suppkey END AS t, CASE WHEN l_linestatus = 'O' THEN '' ELSE 'e/' || l_partkey END AS eli,
+        CASE WHEN l_returnflag = 'R' THEN '' ELSE '§ ' || l_linenumber END AS c FROM g JOIN part ON l_partkey = p_partkey WHERE p_type IN {KINDS}),
+    k AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY pos) AS k FROM x WHERE t IS NOT NULL)
+    SELECT l_orderkey || '::f/' || min(pos) AS id, extract(year FROM any_value(o_orderdate))::INT AS rok, string_agg(t, ' ' ORDER BY CASE WHEN {FRONT} THEN 0 ELSE 1 END, CASE WHEN {FRONT} THEN -k ELSE k END) AS text,
+    coalesce(arg_min(eli, pos) FILTER (eli <> ''), arg_max(eli, pos)) AS eli, coalesce(nullif(coalesce(arg_min(c, pos) FILTER (eli <> ''), arg_max(c, pos)), ''), '§ ' || any_value(n)) AS citace,
+    coalesce(arg_min(l_partkey, pos) FILTER (eli <> ''), arg_max(l_partkey, pos)) AS fragment_id, count(*)::INT AS fragments FROM k GROUP BY l_orderkey, run""")
+def ingest_paragraphs(spark, sf):
+    """The ingest's own plan: orders as laws, line items as placements in order, parts as contents; places come back, so runs count."""
+    none, zero = F.lit(None).cast("string"), F.lit(0)
+    laws = t(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("iri"), F.col("o_orderkey").cast("string").alias("id_zakona"), none.alias("akt_citace"), none.alias("akt_nazev"), (F.col("o_orderkey") + 1).alias("dokument_id"), F.year("o_orderdate").alias("rok"),
+        F.to_date("o_orderdate").alias("datum_od"), F.lit(None).cast("date").alias("datum_do"), F.lit(False).alias("je_zrusen"), none.alias("sbirka"), zero.alias("file_ord"), F.col("o_orderkey").alias("item_pos"))
+    pos = ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")) * 100000 + F.col("l_suppkey")
+    place = F.when(F.col("l_linenumber") < 7, F.concat(F.lit("/1/2/"), F.col("l_linenumber") % 3)).otherwise("/1/3/")
+    placements = t(spark, sf, "lineitem").select(
+        F.concat(F.lit("f/"), pos).alias("iri"), F.when(F.col("l_returnflag") == "R", "").otherwise(F.concat(F.lit("§ "), "l_linenumber")).alias("citace"), F.when(F.col("l_suppkey") % 2 == 0, F.concat(F.lit("supplier "), "l_suppkey")).alias("citace_text"),
+        F.when(F.col("l_linestatus") == "O", "").otherwise(F.concat(F.lit("e/"), "l_partkey")).alias("eli"), place.alias("hierarchie"), (F.col("l_orderkey") + 1).alias("dokument_id"), F.col("l_partkey").alias("fragment_id"), zero.alias("file_ord"), pos.alias("item_pos"))
+    typ = F.coalesce(*[F.when(F.col("p_type") == k, v) for k, v in KIND.items()], F.lit("Nadpis_nad"))
+    contents = t(spark, sf, "part").select(F.col("p_partkey").alias("fragment_id"), typ.alias("typ"), F.when(F.col("p_size") % 5 == 0, " ab ").otherwise(F.col("p_name")).alias("text"), zero.alias("file_ord"), F.col("p_partkey").alias("item_pos"))
+    laws = clean_laws(laws)
+    d = assemble(place_fragments(placements, laws), contents, laws)
+    return d.select(F.col("_id").alias("id"), "rok", "text", "eli", "citace", "fragment_id", F.size("iris").alias("fragments"))
+
+
+@query("""WITH c AS (SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 5 > 0) SELECT o_orderkey, c_custkey AS base_id, 'f' || c_custkey AS soubor_id FROM orders JOIN c ON o_custkey = c_custkey WHERE c_acctbal > 0""")
+def hits_resolved(spark, sf):
+    """Search hits joined to base ids and downloads; replies with errors, or in another state than OK, drop the hit."""
+    c = t(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    bad = F.when(F.col("c_custkey") % 5 == 0, F.array(F.struct(F.lit("404").alias("kod"), F.lit("missing").alias("popis"))))
+    lookups = c.select(F.concat(F.lit("/u/"), "c_custkey").alias("staleUrl"), F.col("c_custkey").alias("dokumentBaseId"), bad.alias("chyby"))
+    downloads = c.select(F.col("c_custkey").alias("dokumentBaseId"), F.concat(F.lit("f"), "c_custkey").alias("id"), F.when(F.col("c_acctbal") > 0, "OK").otherwise("FAIL").alias("stavPozadavku"), F.array().cast("array<struct<kod: string, popis: string>>").alias("chyby"))
+    hits = t(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("/u/"), "o_custkey").alias("staleUrl"))
+    return D.resolve_hits(hits, lookups, downloads).select("o_orderkey", F.col("dokumentBaseId").alias("base_id"), "soubor_id")
+
+
+@query("""SELECT conv_id, row_number() OVER w::INT AS verze, turn AS dokument_id, lead(turn) OVER w IS NULL AS posledni FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
+def versions_listed(spark, sf):
+    v = F.transform(F.array_sort(F.collect_list("turn")), lambda x: F.struct(x.alias("znění-dokument-id")))
+    d = t(spark, sf, "conversations").groupBy(F.col("conv_id").alias("akt-citace")).agg(v.alias("právní-akt-znění"))
+    return D.versions(d).withColumnRenamed("citace", "conv_id")
+
+
+@query("""WITH RECURSIVE u AS (SELECT p_partkey AS node, p_partkey // 10 AS up, 1 AS distance FROM part WHERE p_partkey >= 10 UNION ALL SELECT node, up // 10, distance + 1 FROM u WHERE up >= 10)
+    SELECT node, up AS ancestor, distance::BIGINT AS distance FROM u WHERE up IN (SELECT p_partkey FROM part)""")
+def path_ancestors(spark, sf):
+    """The digits of a key are its path."""
+    key = F.col("p_partkey").cast("string")
+    d = t(spark, sf, "part").select(F.col("p_partkey").alias("node"), F.concat(F.lit("/"), F.array_join(F.transform(F.sequence(F.lit(1), F.length(key)), lambda i: F.substring(key, F.lit(1), i)), "/"), F.lit("/")).alias("path"))
+    return R.ancestors(d, "path", "node").where("ancestor > 0")
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i, count(*) OVER () AS n FROM documents")
+def progress_index(spark, sf):
+    return R.progress(t(spark, sf, "documents").select("doc_id"), ["doc_id"])
+
+
+@query("SELECT doc_id, substring(text, 1, 60) AS head, n_chars / 1024.0::DOUBLE AS kb, length(regexp_replace(text, '[^a-z]', '', 'g'))::DOUBLE / nullif(length(text), 0) AS share FROM documents")
+def report_values(spark, sf):
+    c = F.col("text")
+    return t(spark, sf, "documents").select("doc_id", X.shorten(c).alias("head"), X.kilobytes(F.col("n_chars")).alias("kb"), X.share(F.length(F.regexp_replace(c, "[^a-z]", "")), F.length(c)).alias("share"))
+
+
+@query("""SELECT count(*) AS celkem, count(*) FILTER (o_orderstatus = 'O') AS hotovo, count(*) FILTER (o_orderstatus = 'F') AS skenu, count(*) FILTER (o_orderstatus = 'P') AS chyb,
+    coalesce(round(count(*) FILTER (o_orderstatus = 'O')::DOUBLE / nullif(count(*), 0), 4), 0) AS podil FROM orders""")
+def report_totals(spark, sf):
+    phase = F.when(F.col("o_orderstatus") == "O", "done").when(F.col("o_orderstatus") == "F", "scan").otherwise("error")
+    return P.totals(t(spark, sf, "orders").select(phase.alias("phase")))
+
+
+@query("SELECT p_partkey, p_name AS name, p_brand || ' ' || p_type AS kinds, p_size::VARCHAR AS size, '' AS none FROM part")
+def linked_values(spark, sf):
+    """Values of nodes by local name: plain, a list with an ``@value``, a number, none."""
+    node = F.concat(F.lit('{"x:name": "'), "p_name", F.lit('", "x:kinds": ["'), "p_brand", F.lit('", {"@value": "'), "p_type", F.lit('", "@language": "cs"}], "y:size": '), "p_size", F.lit("}"))
+    d = t(spark, sf, "part").select("p_partkey", node.alias("json"))
+    return d.select("p_partkey", *[L.text(F.col("json"), n).alias(n) for n in ("name", "kinds", "size", "none")])
+
+
+@query("SELECT 'n/' || n_nationkey AS s, 'r/' || n_regionkey AS m, r_name AS o FROM nation JOIN region ON n_regionkey = r_regionkey")
+def triples_followed(spark, sf):
+    n = t(spark, sf, "nation").select(F.format_string("<n/%d> <x:part-of> <r/%d> .", "n_nationkey", "n_regionkey").alias("value"))
+    r = t(spark, sf, "region").select(F.format_string('<r/%d> <x:label> "%s"@en .', "r_regionkey", "r_name").alias("value"))
+    return L.follow(L.triples(n.unionByName(r)), "x:part-of", "x:label")
+
+
+@query(r"""WITH l AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '§ ' || o_custkey WHEN 1 THEN chr(9) || '§' || o_custkey || '. ' WHEN 2 THEN '§ ' || o_custkey || 'a' WHEN 3 THEN 'text § 1'
+    WHEN 4 THEN chr(160) || '§' || chr(160) || o_custkey || chr(8195) || chr(31) ELSE '' END AS line FROM orders),
+    s AS (SELECT o_orderkey, regexp_replace(line, '^[\s\x1c-\x1f\x{a0}\x{2003}]+|[\s\x1c-\x1f\x{a0}\x{2003}]+$', '', 'g') AS stripped FROM l)
+    SELECT o_orderkey, stripped, nullif(regexp_extract(stripped, '^§[\s\x{a0}]*(\d+)\s*[,.;]?\s*$', 1), '') AS number FROM s""")
+def heading_lines(spark, sf):
+    k, own = F.col("o_orderkey") % 6, F.col("o_custkey").cast("string")
+    line = F.when(k == 0, F.concat(F.lit("§ "), own)).when(k == 1, F.concat(F.lit("\t§"), own, F.lit(". "))).when(k == 2, F.concat(F.lit("§ "), own, F.lit("a"))).when(k == 3, "text § 1")
+    line = line.when(k == 4, F.concat(F.lit("\u00a0§\u00a0"), own, F.lit("\u2003\x1f"))).otherwise("")
+    return t(spark, sf, "orders").select("o_orderkey", X.strip(line).alias("stripped"), X.heading_number(line).alias("number"))
+
+
+@query(r"""WITH f AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'other.pdf' ELSE 'Sb_' || extract(year FROM o_orderdate) || '_' || o_custkey || '_x.pdf' END AS f,
+    CASE WHEN o_orderkey % 3 = 0 THEN 'a_b_c' WHEN o_orderkey % 3 = 1 THEN extract(year FROM o_orderdate) || '_' || o_custkey ELSE 'plain' END AS i FROM orders)
+    SELECT o_orderkey, regexp_extract(f, 'Sb_(\d{4})_(\d+)_', 1) AS file_year, regexp_extract(f, 'Sb_(\d{4})_(\d+)_', 2) AS file_number,
+    CASE WHEN i LIKE '19%' OR i LIKE '20%' THEN split_part(i, '_', 1)::INT ELSE 0 END AS id_year, CASE WHEN i LIKE '19%' OR i LIKE '20%' THEN split_part(i, '_', 2) ELSE '0' END AS id_number,
+    array_to_string(regexp_extract_all('viz 12/1995 Sb. a 3/96 Sb. i ' || f || o_custkey || '/' || extract(year FROM o_orderdate) || ' Sb.', '\d+/\d{4}\s+Sb\.'), '|') AS citations FROM f JOIN orders USING (o_orderkey)""")
+def name_parts(spark, sf):
+    k, y, c = F.col("o_orderkey"), F.year("o_orderdate"), F.col("o_custkey")
+    f = F.when(k % 4 == 0, "other.pdf").otherwise(F.concat(F.lit("Sb_"), y, F.lit("_"), c, F.lit("_x.pdf")))
+    year, number = X.law_id_parts(F.when(k % 3 == 0, "a_b_c").when(k % 3 == 1, X.law_id(y, c)).otherwise("plain"))
+    cited = X.citations(F.concat(F.lit("viz 12/1995 Sb. a 3/96 Sb. i "), f, X.citation_of(c, y)))
+    return t(spark, sf, "orders").select("o_orderkey", X.file_year(f).alias("file_year"), X.file_number(f).alias("file_number"), year.alias("id_year"), number.alias("id_number"), F.array_join(cited, "|").alias("citations"))
+
+
+@query("SELECT page_id, url_encode(url || ' ž*~+') AS encoded, replace(replace(url_encode(url || ' ž*~+'), '%2F', '/'), '%3A', ':') AS path FROM pages")
+def encoded_addresses(spark, sf):
+    u = F.concat("url", F.lit(" ž*~+"))
+    return t(spark, sf, "pages").select("page_id", X.encode_all(u).alias("encoded"), X.encode_path(u).alias("path"))
+
+
+@query("SELECT * FROM " + _bm25_sql(["the", "license", "und"], "LIMIT 10 OFFSET 10"))
+def search_second_page(spark, sf):
+    return Q.search_page(t(spark, sf, "documents"), ["the", "license", "und"], "doc_id", number=1)
+
+
+JOINED = "(SELECT doc_id, text, embedding FROM documents JOIN embeddings ON doc_id = vec_id)"
+
+
+@query(f"""WITH w AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM (SELECT * FROM {_bm25_sql(["the", "license", "und"], "LIMIT 100", JOINED)})),
+    v AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM (SELECT e.doc_id, {COS} AS score FROM {JOINED} e, (SELECT embedding FROM embeddings WHERE vec_id = 7) q ORDER BY score DESC, e.doc_id LIMIT 100))
+    SELECT coalesce(w.doc_id, v.doc_id) AS doc_id, round(coalesce(1.0 / (60 + w.r), 0)::DOUBLE + coalesce(1.0 / (60 + v.r), 0)::DOUBLE, 8) AS score FROM w FULL JOIN v ON w.doc_id = v.doc_id ORDER BY score DESC, doc_id LIMIT 10""")
+def hybrid_words_vectors(spark, sf):
+    """Words and vectors of the same documents, fused."""
+    d = t(spark, sf, "documents").join(t(spark, sf, "embeddings"), F.col("doc_id") == F.col("vec_id"))
+    return Q.hybrid(d, ["the", "license", "und"], _vector(spark, sf, 7), 10, "doc_id", vector="embedding")
+
+
+INT8 = "(SELECT vec_id, list_transform(embedding, lambda x: round(127 * x::DOUBLE / list_max(list_transform(embedding, lambda y: abs(y::DOUBLE))))) AS embedding FROM embeddings)"
+
+
+@query(_many_sql(10).replace("embeddings e, embeddings q", f"{INT8} e, {INT8} q"))
+def knn_int8_all(spark, sf):
+    """Every 100th vector against all, both as int8."""
+    e = t(spark, sf, "embeddings").select("vec_id", Q.quantise(F.col("embedding")).alias("embedding"))
+    return Q.knn_many(e, e.where("vec_id % 100 = 0"), 10, "vec_id")

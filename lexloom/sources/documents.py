@@ -29,16 +29,39 @@ def docx_text(content: bytes) -> str | None:
     return "\n".join(lines)
 
 
-def pdf_pages(content: bytes) -> list[str] | None:
-    """Pages of a PDF by whichever public reader is installed; None without one or on failure."""
-    try:
-        import pypdf
-    except ImportError:
-        return None
-    try:
-        return [p.extract_text() or "" for p in pypdf.PdfReader(io.BytesIO(content)).pages]
-    except Exception:  # a broken file is data, not an error of the job
-        return None
+def _plumbed(content: bytes) -> list[str]:
+    import pdfplumber
+
+    with pdfplumber.open(io.BytesIO(content)) as pdf:
+        return [p.extract_text() or "" for p in pdf.pages]
+
+
+def _pypdf(content: bytes) -> list[str]:
+    import pypdf
+
+    return [p.extract_text() or "" for p in pypdf.PdfReader(io.BytesIO(content)).pages]
+
+
+def first_reader(*readers: Callable[[bytes], list[str] | None]) -> Callable[[bytes], list[str] | None]:
+    """The pages of the first reader that gives any text; None if all fail."""
+
+    def read(content: bytes) -> list[str] | None:
+        got = None
+        for r in readers:
+            try:
+                pages = r(content)
+            except Exception:  # a broken file, or a library that is not installed, leaves it to the next reader
+                continue
+            got = pages if got is None else got
+            if pages and any(p and p.strip() for p in pages):
+                return pages
+        return got
+
+    return read
+
+
+#: Pages of a PDF by whichever public readers are installed.
+pdf_pages = first_reader(_plumbed, _pypdf)
 
 
 def extract(content: Column, reader: Callable[[bytes], str | None] = docx_text) -> Column:
@@ -81,6 +104,25 @@ def acts(rows: DataFrame, limit: int = 0, min_year: int = 0) -> DataFrame:
     return d.limit(limit) if limit else d
 
 
+def versions(rows: DataFrame) -> DataFrame:
+    """Every version of each act with its place from 1, and whether it is the last one."""
+    d = rows.select(F.col("akt-citace").alias("citace"), F.posexplode("právní-akt-znění").alias("n", "v"), F.size("právní-akt-znění").alias("of"))
+    return d.select("citace", (F.col("n") + 1).alias("verze"), F.col("v")["znění-dokument-id"].alias("dokument_id"), (F.col("n") + 1 == F.col("of")).alias("posledni"))
+
+
+def resolve_hits(hits: DataFrame, lookups: DataFrame, downloads: DataFrame | None = None) -> DataFrame:
+    """Search hits with the base id of their address and, if asked, their download; hits without either, or with errors, go.
+
+    ``lookups`` holds (staleUrl, dokumentBaseId, chyby), ``downloads`` (dokumentBaseId, id, stavPozadavku, chyby).
+    """
+    clean = F.col("chyby").isNull() | (F.size("chyby") == 0)
+    out = hits.join(lookups.where(clean & F.col("dokumentBaseId").isNotNull()).select("staleUrl", "dokumentBaseId").distinct(), "staleUrl")
+    if downloads is None:
+        return out
+    ok = downloads.where(clean & (F.col("stavPozadavku") == "OK") & F.col("id").isNotNull())
+    return out.join(ok.select("dokumentBaseId", F.col("id").alias("soubor_id")).distinct(), "dokumentBaseId")
+
+
 def verified_pdf(replies: DataFrame) -> DataFrame:
     """Download replies without errors and in state OK, with a file name that is never empty."""
     ok = replies.where("(chyby is null or size(chyby) = 0) and stavPozadavku = 'OK'")

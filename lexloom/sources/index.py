@@ -27,6 +27,12 @@ class Index:
         text = self.spark.read.text(f"{self.root}/CURRENT", wholetext=True).first()[0]
         return json.loads(text)
 
+    def check(self) -> None:
+        """Raise unless the index's folder can be written, before any work is done."""
+        probe = self.path(f"{self.root}/.probe.{uuid.uuid4().hex}")
+        self.fs.create(probe).close()
+        self.fs.delete(probe, False)
+
     def read(self) -> DataFrame:
         p = self._pointer()
         return self.spark.read.schema(p["schema"]).parquet(f"{self.root}/{p['version']}")
@@ -66,6 +72,10 @@ class StateLog:
     def __init__(self, spark: SparkSession, path: str, key: str = "id_zakona"):
         self.spark, self.path, self.key = spark, path, key
 
+    def exists(self) -> bool:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
     def append(self, events: DataFrame) -> None:
         events.withColumns({"at": F.current_timestamp(), "seq": F.monotonically_increasing_id()}).write.mode("append").parquet(self.path)
 
