@@ -3,8 +3,10 @@
 Tokens are runs of letters and digits in lower case.  Fixed masks ignore some token positions; every placement of a mask on a test
 item and on a document gives a hash of the tokens that the mask keeps, and equal hashes are joined.  Around each hit the
 item is laid over the document at that offset; a leak is an item window of ``WINDOW`` tokens with at most ``MISSES``
-substituted ones.  The two masks together hit every such window (see the tests).  Items with fewer tokens than a window, but
-``SHORT`` at least, must occur as a whole (masks of their full lengths); shorter ones are too common to mean anything.
+substituted ones.  The two masks together hit every such window (see the tests).  Items with fewer tokens than a window must lie in the document
+as a whole, with one substituted token at most from ``NEAR`` tokens on (a mask that keeps half of the item hits all of these) and with none
+below (a mask of the item's length).  ``find_leaks`` searches items of every length; ``drop_leaks`` keeps documents that hold no more than an
+item of fewer than ``least`` tokens, as clean texts hold those by chance.
 
 Cases: null texts on either side have no tokens; rows with null ids are reported under null; repeated rows and items give one row each pair
 of ids; empty tables give no rows; other columns are not read.
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import store
 
-WINDOW, MISSES, SHORT = 13, 2, 8
+WINDOW, MISSES, NEAR = 13, 2, 8
 MASKS = ("11101011", "11001111")
 #: Rows of seeds, or of documents with hits, that may be broadcast after a count; more of them are joined by shuffle.
 SMALL = 500_000
@@ -56,20 +58,26 @@ def _masks(short: list[int]) -> dict[int, tuple[int, ...]]:
     return spaced | {1000 + n: tuple(range(n)) for n in short}
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """A row for each document and item with a leak: ids, n_item_tokens, n_equal (most equal tokens at one offset)."""
+def kept_tokens(n: Column) -> Column:
+    """Tokens that the mask of an item shorter than a window keeps: one substituted token leaves a run of half the item."""
+    return F.when(n < NEAR, n).otherwise(F.floor(n / 2).cast("int"))
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 1) -> DataFrame:
+    """A row for each document and item of at least ``least`` tokens with a leak: ids, n_item_tokens, n_equal (most equal tokens at one offset)."""
     t = items.select(F.col(item_id).alias("item"), F.transform(tokens(F.col(item_text)), lambda x: F.xxhash64(x)).alias("iw"))
-    t = store(t.where(F.size("iw") >= SHORT).distinct(), "items")
-    # At most WINDOW - SHORT lengths.
-    short = sorted(r[0] for r in t.where(F.size("iw") < WINDOW).select(F.size("iw")).distinct().collect())
+    t = store(t.where(F.size("iw") >= max(1, least)).distinct(), "items")
+    # Fewer lengths than a window has tokens.
+    short = sorted(r[0] for r in t.where(F.size("iw") < WINDOW).select(kept_tokens(F.size("iw"))).distinct().collect())
     masks = _masks(short)
     last = F.array(*[F.lit(keep[-1]) for keep in masks.values()])
     seed = _placed(t.withColumn("m", F.size("iw")), "iw", masks, "item", "m")
+    own = F.when(F.col("m") >= WINDOW, F.col("mask") < len(MASKS)).otherwise((F.col("mask") >= len(MASKS)) & (F.get(last, F.col("mask")) + 1 == kept_tokens(F.col("m"))))
     # A repeated stretch of one item hits several offsets; all of them are kept.
-    seed = store(seed.where(F.col("place") + F.get(last, F.col("mask")) < F.col("m")).select("h", "item", F.col("place").alias("p")).distinct(), "seeds")
+    seed = store(seed.where(own & (F.col("place") + F.get(last, F.col("mask")) < F.col("m"))).select("h", "item", F.col("place").alias("p")).distinct(), "seeds")
 
     d = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t"))
-    w = d.select("doc", "th", F.transform(tokens(F.col("t")), lambda x: F.xxhash64(x)).alias("w")).where(F.size("w") >= SHORT)
+    w = d.select("doc", "th", F.transform(tokens(F.col("t")), lambda x: F.xxhash64(x)).alias("w")).where(F.size("w") > 0)
     at = _placed(w, "w", masks, "doc", "th").select("doc", "th", "place", "h")
     hits = at.join(_small(seed), "h").select("doc", "th", "item", (F.col("place") - F.col("p")).alias("shift")).distinct()
     hits = store(hits, "hits")
@@ -83,7 +91,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
     hits = hits.withColumn("equal", F.transform("iw", lambda x, p: F.when(F.get("w", F.col("shift") + p) == x, 1).otherwise(0)))
     hits = hits.withColumn("inside", F.transform("iw", lambda x, p: (F.col("shift") + p >= 0) & (F.col("shift") + p < F.size("w"))))
     hits = hits.select("doc", "item", "equal", "inside", F.size("iw").alias("n"))
-    whole = (F.col("n") < WINDOW) & (F.aggregate("equal", F.lit(0), lambda a, x: a + x) == F.col("n"))
+    spared = F.when(F.col("n") >= NEAR, 1).otherwise(0)
+    whole = (F.col("n") < WINDOW) & (F.aggregate("equal", F.lit(0), lambda a, x: a + x) >= F.col("n") - spared) & F.forall("inside", lambda x: x)
     room = F.sequence(F.lit(1), F.greatest(F.col("n") - (WINDOW - 1), F.lit(1)))
     fits = lambda p: F.forall(F.slice("inside", p, WINDOW), lambda x: x)
     enough = lambda p: F.aggregate(F.slice("equal", p, WINDOW), F.lit(0), lambda a, x: a + x) >= WINDOW - MISSES
@@ -93,9 +102,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
     return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_id), "n_item_tokens", "n_equal")
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that leak an item."""
-    bad = store(find_leaks(docs, items, id_col, text).select(F.col(id_col).alias("leaking")).distinct(), "leaks")
+def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", least: int = NEAR) -> DataFrame:
+    """``docs`` without the documents that leak an item of at least ``least`` tokens."""
+    bad = store(find_leaks(docs, items, id_col, text, least=least).select(F.col(id_col).alias("leaking")).distinct(), "leaks")
     return docs.join(bad, docs[id_col].eqNullSafe(bad["leaking"]), "left_anti")
 
 
@@ -104,16 +113,17 @@ def op6(spark, sf_dir: str) -> DataFrame:
     return find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-# With at most 2 of 13 tokens substituted, one of three separate runs of 4 tokens is whole.
+# With at most 2 of 13, or 1 of 8, tokens substituted, a run of 4 tokens is whole; items of fewer tokens are runs themselves.
 SQL = rf"""
 WITH d AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM documents),
 t AS MATERIALIZED (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS iw FROM benchmark),
-dg AS (SELECT doc_id, i, array_to_string(w[i:i+3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d WHERE len(w) >= 4)),
-tg AS (SELECT item_id, i, array_to_string(iw[i:i+3], ' ') AS g FROM (SELECT item_id, iw, unnest(range(1, len(iw) - 2)) AS i FROM t WHERE len(iw) >= {SHORT})),
-h AS (SELECT DISTINCT doc_id, item_id, dg.i - tg.i AS shift FROM dg JOIN tg USING (g)),
+k AS (SELECT DISTINCT least(4, len(iw)) AS k FROM t WHERE len(iw) > 0),
+dg AS (SELECT doc_id, i, k, array_to_string(w[i:i+k-1], ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d JOIN k ON len(w) >= k)),
+tg AS (SELECT item_id, i, k, array_to_string(iw[i:i+k-1], ' ') AS g FROM (SELECT item_id, iw, k, unnest(range(1, len(iw) - k + 2)) AS i FROM t JOIN k ON k = least(4, len(iw)))),
+h AS (SELECT DISTINCT doc_id, item_id, dg.i - tg.i AS shift FROM dg JOIN tg USING (g, k)),
 e AS (SELECT doc_id, item_id, shift, len(iw) AS n, len(w) AS m, list_transform(range(1, len(iw) + 1), lambda p: CASE WHEN p + shift >= 1 AND w[p + shift] = iw[p] THEN 1 ELSE 0 END) AS eq
       FROM h JOIN d USING (doc_id) JOIN t USING (item_id)),
-f AS (SELECT * FROM e WHERE (n < {WINDOW} AND list_sum(eq) = n)
+f AS (SELECT * FROM e WHERE (n < {WINDOW} AND shift >= 0 AND shift + n <= m AND list_sum(eq) >= n - CASE WHEN n >= {NEAR} THEN 1 ELSE 0 END)
       OR (n >= {WINDOW} AND len(list_filter(range(1, n - {WINDOW - 2}), lambda p: p + shift >= 1 AND p + shift + {WINDOW - 1} <= m AND list_sum(eq[p:p+{WINDOW - 1}]) >= {WINDOW - MISSES})) > 0))
 SELECT doc_id, item_id, max(n)::BIGINT AS n_item_tokens, max(list_sum(eq))::BIGINT AS n_equal FROM f GROUP BY doc_id, item_id
 """

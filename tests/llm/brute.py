@@ -107,19 +107,19 @@ def phrases(rows, window=35):
     return out
 
 
-def leaks(rows, items, window=13, misses=2, short=8):
+def leaks(rows, items, window=13, misses=2, near=8, least=1):
     tok = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     out = {}
     for i, t in rows:
         w = tok(t)
         for j, u in items:
             x = tok(u)
-            if len(x) < short:
+            if len(x) < least:
                 continue
             for shift in range(-len(x) + 1, len(w)):
                 eq = [0 <= p + shift < len(w) and w[p + shift] == x[p] for p in range(len(x))]
                 if len(x) < window:
-                    ok = all(eq)
+                    ok = shift >= 0 and shift + len(x) <= len(w) and sum(eq) >= len(x) - (len(x) >= near)
                 else:
                     ok = sum(eq) >= window - misses and any(p + shift >= 0 and p + shift + window <= len(w) and sum(eq[p : p + window]) >= window - misses for p in range(len(x) - window + 1))
                 if ok:

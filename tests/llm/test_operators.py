@@ -169,10 +169,49 @@ def test_leaks(spark, docs, rows, none, monkeypatch, small):
     assert got == Counter(w for w in want if w[0] is not None)
     assert decontaminate.find_leaks(none, items).count() == 0
     assert decontaminate.find_leaks(docs, items.limit(0)).count() == 0
-    bad = {w[0] for w in brute.leaks(pairs(rows), _items(rows))}
+    bad = {w[0] for w in brute.leaks(pairs(rows), _items(rows), least=decontaminate.NEAR)}
     assert bag(decontaminate.drop_leaks(docs, items), "doc_id") == Counter((r[0],) for r in rows if r[0] not in bad)
 
 
+@pytest.fixture(scope="module")
+def short_items():
+    """Items of 1 to 14 tokens with 0 to 3 substituted ones, in documents that cut some of them off at either end."""
+    r = random.Random(11)
+    items, rows, word = [], [], lambda k: f"w{k}"
+    for n in range(1, 15):
+        for gone in range(4):
+            item = [word(r.randrange(10**6)) for _ in range(n)]
+            items.append((len(items), " ".join(item)))
+            held = [("gone" if p in set(r.sample(range(n), min(gone, n))) else x) for p, x in enumerate(item)]
+            rows.append((len(rows), " ".join([word(r.randrange(10**6)) for _ in range(r.randrange(3))] + held + ["end"])))
+            rows.append((len(rows), " ".join(held[1:] + ["end"])))
+            rows.append((len(rows), " ".join(["start"] + held[:-1])))
+    items += [(1000, "end"), (1001, "end"), (1002, "start start start start start start start start start"), (None, "gone")]
+    return items, rows + [(900, "start " * 9), (901, "start " * 8 + "x start"), (902, None), (903, ""), (None, "end")]
+
+
+def test_short_items(spark, short_items):
+    items, rows = short_items
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = bag(decontaminate.find_leaks(docs, table), "doc_id", "item_id", "n_item_tokens", "n_equal")
+    want = brute.leaks(rows, items)
+    assert got == Counter(want) and {n for _, _, n, _ in want} == set(range(1, 15))
+    assert any(n - e == 1 for _, _, n, e in want if 8 <= n < 13)
+    kept = {w[0] for w in brute.leaks(rows, items, least=8)}
+    assert bag(decontaminate.drop_leaks(docs, table), "doc_id") == Counter((i,) for i, _ in rows if i not in kept)
+
+
+def test_short_items_sql(short_items):
+    import duckdb
+    import pandas as pd
+
+    items, rows = ([x for x in table if x[0] is not None] for table in short_items)
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    assert Counter(con.sql(decontaminate.SQL).fetchall()) == Counter(brute.leaks(rows, items))
+
+
 def test_masks_hit_every_window():
     from itertools import combinations
 
