@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL: opN_<name> for each operator N."""
 
-from . import decontaminate, jaccard, langid, licenses, mixing, phrases, pseudonyms, quality, suffix_dedup, token_store
+from . import bpe, decontaminate, jaccard, langid, licenses, mixing, phrases, pseudonyms, quality, suffix_dedup, token_store
 
 QUERIES = {
     "op1_line_quality": quality.op1,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_pseudonyms": pseudonyms.op8,
     "op9_mix_sources": mixing.op9,
     "op10_token_output": token_store.op10,
+    "op11_prefix_bpe": bpe.op11,
 }
 
 ORACLES: dict[str, str] = {
