@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL: opN_<name> for each operator N."""
 
-from . import ball_kmeans, bpe, decontaminate, jaccard, langid, licenses, mixing, phrases, pseudonyms, quality, suffix_dedup, token_store
+from . import ball_kmeans, bpe, collocations, decontaminate, jaccard, langid, licenses, mixing, phrases, pseudonyms, quality, suffix_dedup, token_store
 
 QUERIES = {
     "op1_line_quality": quality.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_mix_sources": mixing.op9,
     "op10_token_output": token_store.op10,
     "op11_prefix_bpe": bpe.op11,
+    "op12_pair_naming": collocations.op12,
     "op13_ball_kmeans": ball_kmeans.op13,
 }
 
@@ -25,5 +26,6 @@ ORACLES: dict[str, str] = {
     "op3_suffix_dedup": suffix_dedup.SQL,
     "op5_phrase_dedup": phrases.SQL,
     "op6_spaced_seeds": decontaminate.SQL,
+    "op12_pair_naming": collocations.SQL,
     "op13_ball_kmeans": ball_kmeans.SQL,
 }
