@@ -16,7 +16,10 @@ from ..operators.paragraphs import assemble, clean_laws, place_fragments, split_
 from ..sources import documents as D
 from ..sources import linked as L
 from ..sources import reports as P
-from ..sources.shared import key_runs_parallel
+from ..sources.index import Index
+from ..sources.postings import Postings
+from ..sources.shared import folder, key_runs_parallel, step
+from ..sources.vectors import VectorIndex
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -562,6 +565,37 @@ def search_second_page(spark, sf):
     return Q.search_page(t(spark, sf, "documents"), ["the", "license", "und"], "doc_id", number=1)
 
 
+def _keyword_sql(table: str, k: int, terms: int = 8) -> str:
+    """Every 100th document, asked for by its strongest words: (q, doc_id, score, rank)."""
+    idf = "ln(1 + (n - df + 0.5) / (df + 0.5))"
+    return f"""WITH d AS MATERIALIZED (SELECT doc_id, {TOKENS} AS w FROM {table} WHERE doc_id IS NOT NULL), s AS (SELECT count(*)::DOUBLE AS n, avg(len(w)) AS a FROM d),
+    f AS MATERIALIZED (SELECT doc_id, t, any_value(l) AS l, count(*)::DOUBLE AS tf FROM (SELECT doc_id, len(w)::DOUBLE AS l, unnest(w) AS t FROM d) GROUP BY doc_id, t),
+    df AS MATERIALIZED (SELECT t, count(*)::DOUBLE AS df FROM f GROUP BY t),
+    q AS (SELECT doc_id AS q, t FROM (SELECT doc_id, t, row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * {idf}, 6) DESC, t) AS r FROM f JOIN df USING (t), s WHERE doc_id % 100 = 0) WHERE r <= {terms}),
+    b AS (SELECT q, doc_id, round(sum({idf} * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / a))), 6) AS score FROM q JOIN f USING (t) JOIN df USING (t), s GROUP BY q, doc_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM b) SELECT * FROM r WHERE rank <= {k}"""
+
+
+def _postings(spark, docs: DataFrame) -> Postings:
+    """An index of documents by id, and its postings."""
+    index = Index(spark, f"{folder(spark)}-index", ["doc_id"])
+    index.write(docs.select("doc_id", "text").where("doc_id is not null"), order=["text"])
+    p = Postings(index, f"{index.root}-postings", "doc_id")
+    p.refresh()
+    return p
+
+
+def _by_keywords(p: Postings, k: int, terms: int = 8) -> DataFrame:
+    asked = p.index.read().where("doc_id % 100 = 0").select(F.col("doc_id").alias("q"), X.analyse(F.col("text")).alias("tokens"))
+    return p.search(step(p.keywords(asked, terms)), k)
+
+
+@query(_keyword_sql("documents", 10))
+def bm25_all(spark, sf):
+    """Every 100th document's 8 strongest words (count times idf, over its whole text) against all documents, from postings."""
+    return _by_keywords(_postings(spark, t(spark, sf, "documents")), 10)
+
+
 JOINED = "(SELECT doc_id, text, embedding FROM documents JOIN embeddings ON doc_id = vec_id)"
 
 
@@ -574,6 +608,31 @@ def hybrid_words_vectors(spark, sf):
     return Q.hybrid(d, ["the", "license", "und"], _vector(spark, sf, 7), 10, "doc_id", vector="embedding")
 
 
+@query(f"""WITH w AS ({_keyword_sql(JOINED, 50)}), v AS (SELECT q, vec_id AS doc_id, rank FROM ({_many_sql(50, where="q.vec_id IN (SELECT doc_id FROM documents) AND e.vec_id IN (SELECT doc_id FROM documents)")})),
+    f AS (SELECT coalesce(w.q, v.q) AS q, coalesce(w.doc_id, v.doc_id) AS doc_id, round(coalesce(1.0 / (60 + w.rank), 0)::DOUBLE + coalesce(1.0 / (60 + v.rank), 0)::DOUBLE, 8) AS score FROM w FULL JOIN v ON w.q = v.q AND w.doc_id = v.doc_id)
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM f) WHERE rank <= 10""")
+def hybrid_words_vectors_all(spark, sf):
+    """Every 100th document that has a vector, by its strongest words from postings and by its vector, fused."""
+    e = t(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    d = t(spark, sf, "documents").select("doc_id", "text")
+    both = d.join(e.select("doc_id"), "doc_id", "left_semi")
+    e = e.join(d.select("doc_id"), "doc_id", "left_semi")
+    vectors = Q.knn_many(e, e.where("doc_id % 100 = 0"), 50, "doc_id")
+    return Q.fuse_many(_by_keywords(_postings(spark, both), 50), vectors, "doc_id", 10)
+
+
+@query()
+def ann_cells_all(spark, sf):
+    """Every 100th vector among the rows of its nearest cells, as many cells as hold 95 % of a sample's exact neighbours; ``knn_topk_all`` is exact."""
+    e = t(spark, sf, "embeddings").where("vec_id is not null").select("vec_id", "embedding")
+    index = Index(spark, f"{folder(spark)}-vectors", ["vec_id"])
+    index.write(e, order=["embedding"])
+    v = VectorIndex(index, f"{index.root}-cells", "vec_id")
+    v.fit()
+    asked = e.where("vec_id % 100 = 0")
+    return v.search(asked, 10, v.tune(asked))
+
+
 INT8 = "(SELECT vec_id, list_transform(embedding, lambda x: round(127 * x::DOUBLE / list_max(list_transform(embedding, lambda y: abs(y::DOUBLE))))) AS embedding FROM embeddings)"
 
 

@@ -46,6 +46,6 @@ def with_vectors(docs: DataFrame, make=hashing_encoder) -> DataFrame:
 
 def ingest(spark: SparkSession, inputs: list[str], index: str, max_laws: int = 0, make=hashing_encoder) -> dict:
     """Upsert the paragraph documents into the index; counts come from the data."""
-    Index(spark, index, ["_id"], "rok").upsert(with_vectors(paragraphs(spark, inputs, max_laws).drop("run_id", "iris"), make))
+    Index(spark, index, ["_id"], "rok").upsert(with_vectors(paragraphs(spark, inputs, max_laws).drop("run_id", "iris"), make), order=["fragment_id", "text"])
     r = Index(spark, index, ["_id"], "rok").read().agg(F.count("*").alias("documents"), F.count_distinct("law_iri").alias("laws")).first()
     return r.asDict()

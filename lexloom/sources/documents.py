@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Callable
 from xml.etree import ElementTree
@@ -89,7 +90,17 @@ def join_pages(pages: Column) -> Column:
     return F.array_join(F.filter(pages, lambda p: X.strip(F.coalesce(p, F.lit(""))) != ""), "\n\n")
 
 
-def read_files(spark, path: str, glob: str = "*.docx") -> DataFrame:
+def list_files(spark, path: str, glob: str = "*.docx") -> DataFrame:
+    """Paths, times and sizes of files; contents are not opened."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "modificationTime", "length")
+
+
+def load_path(path: str) -> str:
+    """A listed path as one to load: signs of glob patterns stand for themselves."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def read_files(spark, path: str | list[str], glob: str = "*.docx") -> DataFrame:
     """Files with their SHA-256."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).withColumn("sha256", F.sha2("content", 256))
 

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.relational import last_wins
 from ..sources.index import Index
 
 
@@ -15,8 +14,7 @@ def stream_upserts(spark: SparkSession, landing: str, schema: str, index: str, c
     """Run all files that have landed since the checkpoint, then stop; returns the finished query."""
 
     def batch(df: DataFrame, _: int) -> None:
-        rows = last_wins(prepare(df) if prepare else df, keys, order)
-        Index(df.sparkSession, index, keys).upsert(rows)
+        Index(df.sparkSession, index, keys).upsert(prepare(df) if prepare else df, order=order)
 
     q = spark.readStream.schema(schema).parquet(landing).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()

@@ -4,6 +4,7 @@ import gzip
 import http.server
 import io
 import json
+import os
 import threading
 import zipfile
 
@@ -214,3 +215,40 @@ def test_quarantine(spark, tmp_path):
 def test_usage_errors():
     with pytest.raises(SystemExit):
         cli.main(["ingest"])
+
+
+def test_done_files_are_not_opened_and_groups_are_kept(spark, tmp_path, monkeypatch):
+    """A run that fails keeps the groups before; the next one opens the rest only; an act's newer file replaces its paragraphs."""
+    land, index, state = tmp_path / "land", str(tmp_path / "i"), str(tmp_path / "s")
+    land.mkdir()
+    for k in range(4):
+        docx(land / f"Sb_2001_{k}_x.docx", ["§ 1", f"text {k}", "§ 2", "more"])
+    (land / "Sb_2001_1_x.docx").rename(land / "Sb_2001_1_{x}.docx")  # a name with signs of a pattern
+    opened, real = [], G.D.read_files
+
+    def read(spark, paths, glob):
+        opened.append(sorted(p.rsplit("/", 1)[1].split("_")[2] for p in paths))
+        if opened[-1] == ["2"] and len(opened) < 4:
+            raise OSError("lost")
+        return real(spark, paths, glob)
+
+    monkeypatch.setattr(G.D, "read_files", read)
+    with pytest.raises(OSError):
+        G.ingest_files(spark, str(land), index, state, group=1)
+    assert opened == [["0"], ["1"], ["2"]] and Index(spark, index).read().count() == 4
+    assert G.ingest_files(spark, str(land), index, state) == {"done": 2} and opened[3:] == [["2", "3"]]
+    assert G.ingest_files(spark, str(land), index, state) == {} and len(opened) == 4
+    docx(land / "Sb_2001_0_y.docx", ["§ 1", "another text"])
+    assert G.ingest_files(spark, str(land), index, state) == {"done": 1}
+    assert [r.text for r in Index(spark, index).read().where("id_zakona = '2001_0'").collect()] == ["another text"]
+    assert Index(spark, index).read().count() == 7
+
+
+def test_the_newest_file_of_an_act(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    for at, name in ((50, "z"), (90, "a"), (70, "m")):
+        docx(land / f"Sb_2001_1_{name}.docx", ["§ 1", f"text {name}"])
+        os.utime(land / f"Sb_2001_1_{name}.docx", (at, at))
+    assert G.ingest_files(spark, str(land), str(tmp_path / "i"), str(tmp_path / "s")) == {"done": 3}
+    assert [r.text for r in Index(spark, str(tmp_path / "i")).read().collect()] == ["text a"]
