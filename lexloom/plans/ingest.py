@@ -33,7 +33,7 @@ def contents_of(rows: DataFrame) -> DataFrame:
 
 def paragraphs(spark: SparkSession, inputs: list[str], max_laws: int = 0) -> DataFrame:
     """Paragraph documents of the files found under ``inputs``; ``max_laws`` limits laws, and 10 and 100 times that the others."""
-    files = route(find_files(inputs))
+    files = route(find_files(inputs, spark))
     laws = clean_laws(laws_of(read_envelope(spark, files["001"], S.LAWS, S.LAW_TYPE, max_laws)))
     contents = contents_of(read_envelope(spark, files["004"], S.CONTENTS, S.CONTENT_TYPE, 10 * max_laws))
     placed = place_fragments(placements_of(read_envelope(spark, files["003"], S.PLACEMENTS, S.PLACEMENT_TYPE, 100 * max_laws)), laws)
