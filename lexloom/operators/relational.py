@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import numbered_parallel
+from ..sources.shared import numbered_parallel, step
 
 
 def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
@@ -100,6 +100,29 @@ def ancestors(df: DataFrame, path: str, ident: str) -> DataFrame:
     return up.join(at, "_p").select(ident, "ancestor", "distance")
 
 
+def pointer_closure(df: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, ancestor, distance) by parent pointers, whatever the depth: each round doubles the distances that are known.
+
+    Round k joins every node's 2^k-th ancestor with what is known of that one, so depth d takes log2(d) rounds.  Null parents and those that are no node
+    end a path.  A node on a cycle is its own ancestor; every ancestor stands once, with its least distance.  Repeated rows count once; of several parents
+    of a node the least counts.
+    """
+    link = df.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("node")).agg(F.min(parent).alias("up"))
+    nodes = link.select(F.col("node").alias("up"))
+    jump = step(link.join(nodes, "up", "left_semi").select("node", "up"))
+    known = step(jump.select("node", F.col("up").alias("ancestor"), F.lit(1).cast("long").alias("distance")))
+    far, total = 1, known.count()
+    while True:
+        over = known.select(F.col("node").alias("up"), "ancestor", (F.col("distance") + far).alias("distance"))
+        both = known.unionByName(jump.join(over, "up").select("node", "ancestor", "distance"))
+        known = step(both.groupBy("node", "ancestor").agg(F.min("distance").alias("distance")))
+        was, total = total, known.count()
+        if total == was:
+            return known.select(F.col("node").alias(node), "ancestor", "distance")
+        jump = step(jump.join(jump.select(F.col("node").alias("up"), F.col("up").alias("_n")), "up").select("node", F.col("_n").alias("up")))
+        far *= 2
+
+
 def ordered_distinct(df: DataFrame, value: str, order: str) -> DataFrame:
     """Distinct values with the place of their first occurrence."""
     return df.groupBy(value).agg(F.min(order).alias("first_pos"))

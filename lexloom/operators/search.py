@@ -145,6 +145,33 @@ def hybrid(df: DataFrame, terms: list[str], query: Column, k: int, ident: str, t
     return fuse(bm25(df, terms, ident, text, candidates), knn(df, query, candidates, ident, vector), ident, k)
 
 
+def deletions(term: Column, distance: int = 2, prefix: int = 8) -> Column:
+    """The first ``prefix`` characters of a term with up to ``distance`` of them left out.
+
+    Two terms at most that many edits apart share one of these, whatever their lengths: each loses the characters that the other has not.
+    """
+    one = lambda s: F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.lit(prefix))))
+    empty = F.array().cast("array<string>")
+    out = [F.array(F.substring(term, 1, prefix))]
+    for _ in range(distance):
+        out.append(F.array_distinct(F.flatten(F.transform(out[-1], lambda s: F.when(F.length(s) > 0, one(s)).otherwise(empty)))))
+    return F.array_distinct(F.concat(*out))
+
+
+def suggestion_keys(terms: DataFrame, distance: int = 2, prefix: int = 8) -> DataFrame:
+    """The index of (term, weight): a row for each of a term's deletions; store it and ask it with ``suggest``."""
+    return terms.where(F.col("term").isNotNull()).select("term", "weight", F.explode(deletions(F.col("term"), distance, prefix)).alias("key"))
+
+
+def suggest(keys: DataFrame, queries: DataFrame, k: int, distance: int = 2, prefix: int = 8) -> DataFrame:
+    """For rows (q, word): the ``k`` terms at most ``distance`` edits away, nearest first, then by weight and term: (q, term, edits, rank)."""
+    asked = queries.where(F.col("word").isNotNull()).select("q", "word", F.explode(deletions(F.col("word"), distance, prefix)).alias("key"))
+    found = keys.join(asked, "key").select("q", "word", "term", "weight").distinct()
+    found = found.withColumn("edits", F.levenshtein("word", "term", distance)).where("edits >= 0")
+    w = Window.partitionBy("q", "word").orderBy("edits", F.desc("weight"), "term")
+    return found.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select("q", "word", "term", "edits", "rank")
+
+
 def quantise(vector: Column) -> Column:
     """int8 by the vector's own largest magnitude; zero vectors stay zero."""
     m = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))

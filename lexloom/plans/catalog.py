@@ -497,6 +497,18 @@ def path_ancestors(spark, sf):
     return R.ancestors(d, "path", "node").where("ancestor > 0")
 
 
+POINTER = """CASE WHEN p_partkey % 211 = 0 THEN NULL WHEN p_partkey % 101 = 0 THEN -p_partkey WHEN p_partkey % 89 = 0 THEN p_partkey + 5 ELSE p_partkey - 1 END"""
+
+
+@query(f"""WITH RECURSIVE p AS (SELECT p_partkey AS node, {POINTER} AS up FROM part),
+    u AS (SELECT node, up AS ancestor, 1 AS distance, [up] AS seen FROM p WHERE up IN (SELECT node FROM p)
+        UNION ALL SELECT u.node, p.up, distance + 1, list_append(seen, p.up) FROM u JOIN p ON p.node = u.ancestor WHERE p.up IN (SELECT node FROM p) AND NOT list_contains(seen, p.up))
+    SELECT node, ancestor, distance::BIGINT AS distance FROM u""")
+def pointer_ancestors(spark, sf):
+    """Parent pointers with long chains, cycles of six, orphans and roots."""
+    return R.pointer_closure(t(spark, sf, "part").select(F.col("p_partkey").alias("node"), F.expr(POINTER).alias("up")), "node", "up")
+
+
 @query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i, count(*) OVER () AS n FROM documents")
 def progress_index(spark, sf):
     return R.progress(t(spark, sf, "documents").select("doc_id"), ["doc_id"])
@@ -596,6 +608,19 @@ def bm25_all(spark, sf):
     return _by_keywords(_postings(spark, t(spark, sf, "documents")), 10)
 
 
+@query(f"""WITH d AS MATERIALIZED (SELECT doc_id, {TOKENS} AS w FROM documents WHERE doc_id IS NOT NULL), t AS MATERIALIZED (SELECT term, count(*) AS weight FROM (SELECT DISTINCT doc_id, unnest(w) AS term FROM d) GROUP BY term),
+    q AS (SELECT doc_id AS q, x[:1] || x[3:] AS word FROM (SELECT doc_id, min_by(x, (-length(x), x)) AS x FROM (SELECT doc_id, unnest(w) AS x FROM d WHERE doc_id % 100 = 0) WHERE length(x) <= 30 GROUP BY doc_id))
+    SELECT * FROM (SELECT q, word, term, levenshtein(word, term)::INT AS edits, row_number() OVER (PARTITION BY q, word ORDER BY levenshtein(word, term), weight DESC, term) AS rank
+        FROM q JOIN t ON abs(length(word) - length(term)) <= 2 AND levenshtein(word, term) <= 2) WHERE rank <= 5""")
+def suggest_all(spark, sf):
+    """The longest word (of 30 letters at most) of every 100th document, without its second letter: the nearest of all terms of the postings."""
+    p = _postings(spark, t(spark, sf, "documents"))
+    x = F.explode(X.analyse(F.col("text")))
+    word = p.index.read().where("doc_id % 100 = 0").select(F.col("doc_id").alias("q"), x.alias("x")).where(F.length("x") <= 30).groupBy("q").agg(F.min_by("x", F.struct(-F.length("x"), "x")).alias("x"))
+    asked = step(word.select("q", F.concat(F.substring("x", 1, 1), F.expr("substring(x, 3)")).alias("word")))
+    return Q.suggest(Q.suggestion_keys(p.terms().withColumnRenamed("df", "weight")), asked, 5)
+
+
 JOINED = "(SELECT doc_id, text, embedding FROM documents JOIN embeddings ON doc_id = vec_id)"
 
 

@@ -66,3 +66,50 @@ def test_split_long(spark, text):
     got = one(spark, lambda c: X.split_long(c, 10), text)
     assert all(len(p) <= 10 for p in got)
     assert "".join(got).replace("\n", "") == text.replace("\n", "")
+
+
+def test_pointer_closure(spark):
+    """Depth over 100, a cycle and a node that leads into it, a node that is its own parent, an orphan, repeated rows and several parents."""
+    from lexloom.operators.relational import pointer_closure
+
+    rows = [(k, k - 1) for k in range(1, 301)] + [(0, None), (1000, 1001), (1001, 1002), (1002, 1000), (1003, 1000), (1004, 1004), (1005, 77777), (1006, 5), (1006, 3), (5, 4), (None, 1)]
+    got = {(r.node, r.ancestor): r.distance for r in pointer_closure(spark.createDataFrame(rows, "node int, up int"), "node", "up").collect()}
+    up: dict = {}
+    for n, p in rows:
+        if n is not None and p is not None:
+            up[n] = min(p, up.get(n, p))
+    want = {}
+    for n, _ in rows:
+        at, d = up.get(n), 1
+        while at is not None and (at in up or at == 0) and (n, at) not in want:
+            want[n, at] = d
+            at, d = up.get(at), d + 1
+    want = {k: d for k, d in want.items() if k[0] is not None}
+    assert got == want and got[300, 0] == 300 and got[1004, 1004] == 1 and got[1003, 1002] == 3
+    assert pointer_closure(spark.createDataFrame([(1, None)], "node int, up int"), "node", "up").count() == 0
+
+
+def test_suggestions_find_every_term_within_two_edits(spark):
+    import random
+
+    from lexloom.operators import search as Q
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    r = random.Random(1)
+    word = lambda n: "".join(r.choice("abč") for _ in range(n))
+    terms = sorted({word(r.randint(1, 12)) for _ in range(300)} | {"x" * 500 + "ab", "ab" + "x" * 500})
+    asked = [word(r.randint(1, 12)) for _ in range(25)] + ["", "x" * 500, "b" + "x" * 501]
+    keys = Q.suggestion_keys(spark.createDataFrame([(t, len(t) % 3) for t in terms] + [(None, 1)], "term string, weight int"))
+    got = {(x.q, x.term, x.edits, x["rank"]) for x in Q.suggest(keys, spark.createDataFrame([*enumerate(asked), (99, None)], "q int, word string"), 1000).collect()}
+    want = set()
+    for q, w in enumerate(asked):
+        near = sorted((edits(w, t), -(len(t) % 3), t) for t in terms if abs(len(w) - len(t)) <= 2)
+        want |= {(q, t, e, n) for n, (e, _, t) in enumerate([x for x in near if x[0] <= 2], 1)}
+    assert got == want
