@@ -178,14 +178,19 @@ def _merge(rows: DataFrame, keys: list[str], order: Column, partial: bool) -> Da
 
 
 class Derived:
-    """A table made of each bucket of an index, under a folder of its own; only changed buckets are made again."""
+    """A table made of each bucket of an index, under a folder of its own; only changed buckets are made again.
+
+    A bucket may be dealt to up to ``PARTS`` parts, which are numbered through: part p of bucket b is ``b * PARTS + p``.
+    """
+
+    PARTS = 4096
 
     def __init__(self, index: Index, root: str):
         self.index, self.spark, self.root = index, index.spark, root.rstrip("/")
         self.kept = Index(index.spark, root)  # for its manifests
 
     def _made(self, rows: DataFrame, parts: int) -> DataFrame:
-        """Rows of the table, with an int column ``bucket``, from rows of the index with their ``_bucket``."""
+        """Rows of the table, with an int column ``bucket`` (numbered through), from rows of the index with their ``_bucket``."""
         raise NotImplementedError
 
     def refresh(self, again: bool = False) -> list[str]:
@@ -197,7 +202,7 @@ class Derived:
         if not changed and not gone and was["version"]:
             return []
         out, folder = self._made(self.index.read(m["version"], changed, "_bucket"), max(1, len(changed))), f"v-{uuid.uuid4().hex}"
-        out.withColumn("_b", F.col("bucket")).write.partitionBy("_b").parquet(f"{self.root}/{folder}")
+        out.withColumn("_b", F.expr(f"bucket div {self.PARTS}")).write.partitionBy("_b").parquet(f"{self.root}/{folder}")
         made = {s.getPath().getName()[3:] for s in self.kept.fs.listStatus(self.kept.path(f"{self.root}/{folder}"))}
         folders = {b: f for b, f in was["folders"].items() if b not in changed and b not in gone} | {b: [folder] for b in changed if b in made}
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)

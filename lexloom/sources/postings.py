@@ -26,8 +26,8 @@ from ..functions import text as X
 from ..operators.search import B, K1
 from .index import Derived, Index
 
-#: Entries of a block; query terms that one pass over the postings takes along.
-BLOCK, TERMS = 128, 100_000
+#: Entries of a block; query terms that one pass over the postings takes along; stored bytes of a part that one task builds, and rows it gives out at once.
+BLOCK, TERMS, PART_BYTES, CHUNK = 128, 100_000, 8 << 20, 5000
 _ROWS = "kind int, bucket int, term string, n int, first int, last int, max_tf int, min_len int, min_tf int, max_len int, ords binary, tfs binary, lens binary"
 _POSTING, _DOC, _SIZE = 0, 1, 2
 
@@ -51,50 +51,52 @@ def _build(schema: StructType):
     names = [f.name for f in schema]
 
     def rows(bucket: int, idents: list, docs: list[np.ndarray], words: list[str]):
+        """Rows as dicts, a row for each document and block, in the order in which they are kept."""
         lens = np.array([len(d) for d in docs], np.int64)
         got = [np.unique(d, return_counts=True) for d in docs]
-        term = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.int64)
-        tf = np.concatenate([g[1] for g in got]) if got else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(len(docs)), [len(g[0]) for g in got])
-        order = np.argsort(term, kind="stable")
+        term = np.concatenate([g[0] for g in got])
+        tf = np.concatenate([g[1] for g in got]).astype(np.int32)
+        doc = np.repeat(np.arange(len(docs), dtype=np.int32), [len(g[0]) for g in got])
+        del got
+        place = np.empty(len(words), np.int32)
+        place[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+        order = np.argsort(place[term] if len(words) else term, kind="stable")
         term, tf, doc = term[order], tf[order], doc[order]
         start = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
-        out = {c: [] for c in names}
-
-        def add(**x):
-            for c in names:
-                out[c].append(x.get(c))
-
-        for i, ident in enumerate(idents):
-            add(kind=_DOC, bucket=bucket, first=i, n=int(lens[i]), ident=ident)
-        add(kind=_SIZE, bucket=bucket, n=len(docs), ords=int(lens.sum()).to_bytes(8, "little"))
-        for a, b in zip(start, [*start[1:], len(term)], strict=True):
+        for a, b in zip(start.tolist(), [*start[1:].tolist(), len(term)], strict=True):
             for c in range(a, b, BLOCK):
                 at = slice(c, min(b, c + BLOCK))
                 o, f, ln = doc[at], tf[at], lens[doc[at]]
-                add(kind=_POSTING, bucket=bucket, term=words[term[a]], n=len(o), first=int(o[0]), last=int(o[-1]), max_tf=int(f.max()), min_len=int(ln.min()), min_tf=int(f.min()), max_len=int(ln.max()), ords=_narrow(np.diff(o, prepend=o[0])), tfs=_narrow(f), lens=_narrow(ln))
-        return out
+                yield {"kind": _POSTING, "bucket": bucket, "term": words[term[a]], "n": len(o), "first": int(o[0]), "last": int(o[-1]), "max_tf": int(f.max()), "min_len": int(ln.min()), "min_tf": int(f.min()), "max_len": int(ln.max()), "ords": _narrow(np.diff(o, prepend=o[0])), "tfs": _narrow(f), "lens": _narrow(ln)}
+        for i, ident in enumerate(idents):
+            yield {"kind": _DOC, "bucket": bucket, "first": i, "n": int(lens[i]), "ident": ident}
+        yield {"kind": _SIZE, "bucket": bucket, "n": len(docs), "ords": int(lens.sum()).to_bytes(8, "little")}
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
         have, idents, docs, table = None, [], [], None
-        flush = lambda: pa.RecordBatch.from_pydict(rows(have, idents, docs, list(table)), arrow)
+
+        def flush():
+            made = rows(have, idents, docs, list(table))
+            while part := list(itertools.islice(made, CHUNK)):
+                yield pa.RecordBatch.from_pydict({c: [r.get(c) for r in part] for c in names}, arrow)
+
         for b in batches:
             for bucket, ident, tokens in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 if bucket != have:
                     if have is not None:
-                        yield flush()
+                        yield from flush()
                     have, idents, docs, table, count = bucket, [], [], {}, itertools.count()
                 words = tokens.as_py() or []
                 for w in words:
                     if w not in table:
                         table[w] = next(count)
                 idents.append(ident)
-                docs.append(np.fromiter((table[w] for w in words), np.int64, len(words)))
+                docs.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
         if have is not None:
-            yield flush()
+            yield from flush()
 
     return run
 
@@ -192,10 +194,13 @@ class Postings(Derived):
         self.ident, self.text = ident, text
 
     def _made(self, rows: DataFrame, parts: int) -> DataFrame:
+        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        deal = max(1, min(self.PARTS, -(-size // (parts * PART_BYTES)))) if size < 1 << 60 else 1
+        rows = rows.withColumn("_bucket", (F.col("_bucket") * self.PARTS + F.pmod(F.xxhash64(F.lit(1), self.ident), F.lit(deal))).cast("int"))
         schema = StructType([*StructType.fromDDL(_ROWS), StructField("ident", rows.schema[self.ident].dataType)])
         tokens = rows.where(F.col(self.ident).isNotNull()).select("_bucket", self.ident, X.analyse(F.col(self.text)).alias("tokens"))
-        out = tokens.repartition(parts, "_bucket").sortWithinPartitions("_bucket", self.ident).mapInArrow(_build(schema), schema)
-        return out.sortWithinPartitions("bucket", "kind", "term", "first")
+        out = tokens.repartition(parts * deal, "_bucket").sortWithinPartitions("_bucket", self.ident).mapInArrow(_build(schema), schema)
+        return out  # by bucket, then by term
 
     def rows(self, kind: int) -> DataFrame:
         return self.table().where(f"kind = {kind}")
@@ -241,8 +246,7 @@ class Postings(Derived):
                 part[r.q] = ([*weights, (r.term, r.w)], max(low, r.w * (r.sure or 0.0)))
             mine = self.spark.createDataFrame([(t,) for t in sorted({t for w, _ in part.values() for t, _ in w})], StructType([StructField("term", StringType())]))
             used = blocks.join(mine, "term", "left_semi").drop("kind", "ident")
-            parts = max(1, min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), len(self.kept.manifest()["folders"])))
-            got = used.repartition(parts, "bucket").sortWithinPartitions("bucket", "term", "first").mapInArrow(_search(part, k, avg, digits), "q long, bucket int, ord int, score double, read int")
+            got = used.repartition("bucket").sortWithinPartitions("bucket", "term", "first").mapInArrow(_search(part, k, avg, digits), "q long, bucket int, ord int, score double, read int")
             out = got if out is None else out.unionByName(got)
         if work:
             return out.groupBy("q").agg(F.sum("read").alias("blocks"))

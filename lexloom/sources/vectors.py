@@ -111,7 +111,7 @@ class VectorIndex(Derived):
             for key in list(have):
                 yield full(key)
 
-        rows = rows.where(F.col(self.ident).isNotNull() & F.col(self.vector).isNotNull()).select("_bucket", self.ident, F.transform(self.vector, lambda x: x.cast("double")).alias("v"))
+        rows = rows.where(F.col(self.ident).isNotNull() & F.col(self.vector).isNotNull()).select((F.col("_bucket") * self.PARTS).alias("_bucket"), self.ident, F.transform(self.vector, lambda x: x.cast("double")).alias("v"))
         each = rows.mapInArrow(assign, "bucket int, cell int, id long, code binary, scale float")
         return each.repartition(parts, "bucket").sortWithinPartitions("bucket", "cell", "id").mapInArrow(block, _BLOCKS)
 
