@@ -14,8 +14,6 @@ id; null ids are not found.
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -46,31 +44,53 @@ def _impact(tf, length, avg):
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / avg))
 
 
+class _Numbers(dict):
+    """Numbers its keys as they first come."""
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        return n
+
+
 def _build(schema: StructType):
     """(bucket, ident, tokens) sorted by bucket and ident to the rows of each bucket."""
     names = [f.name for f in schema]
 
     def rows(bucket: int, idents: list, docs: list[np.ndarray], words: list[str]):
-        """Rows as dicts, a row for each document and block, in the order in which they are kept."""
+        """Columns of up to ``CHUNK`` rows at a time: the blocks by term, the documents, their number."""
         lens = np.array([len(d) for d in docs], np.int64)
         got = [np.unique(d, return_counts=True) for d in docs]
-        term = np.concatenate([g[0] for g in got])
+        place = np.empty(len(words), np.int64)
+        place[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+        words = sorted(words)
+        term = place[np.concatenate([g[0] for g in got])]
         tf = np.concatenate([g[1] for g in got]).astype(np.int32)
         doc = np.repeat(np.arange(len(docs), dtype=np.int32), [len(g[0]) for g in got])
         del got
-        place = np.empty(len(words), np.int32)
-        place[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
-        order = np.argsort(place[term] if len(words) else term, kind="stable")
+        order = np.argsort(term, kind="stable")
         term, tf, doc = term[order], tf[order], doc[order]
-        start = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
-        for a, b in zip(start.tolist(), [*start[1:].tolist(), len(term)], strict=True):
-            for c in range(a, b, BLOCK):
-                at = slice(c, min(b, c + BLOCK))
-                o, f, ln = doc[at], tf[at], lens[doc[at]]
-                yield {"kind": _POSTING, "bucket": bucket, "term": words[term[a]], "n": len(o), "first": int(o[0]), "last": int(o[-1]), "max_tf": int(f.max()), "min_len": int(ln.min()), "min_tf": int(f.min()), "max_len": int(ln.max()), "ords": _narrow(np.diff(o, prepend=o[0])), "tfs": _narrow(f), "lens": _narrow(ln)}
-        for i, ident in enumerate(idents):
-            yield {"kind": _DOC, "bucket": bucket, "first": i, "n": int(lens[i]), "ident": ident}
-        yield {"kind": _SIZE, "bucket": bucket, "n": len(docs), "ords": int(lens.sum()).to_bytes(8, "little")}
+        new = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
+        size = np.diff(np.r_[new, len(term)])
+        times = -(-size // BLOCK)  # blocks of each term
+        start = np.repeat(new, times) + BLOCK * (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
+        end = np.minimum(start + BLOCK, np.repeat(new + size, times))
+        length = lens[doc]
+        gap = np.diff(doc, prepend=0)
+        gap[start] = 0
+        parts = [_narrow(x) for x in (gap, tf, length)]  # one width for the whole part
+        for a in range(0, len(start), CHUNK):
+            s, e = start[a : a + CHUNK], end[a : a + CHUNK]
+            of = slice(s[0], e[-1])
+            best = lambda f, x, s=s, of=of: f.reduceat(x[of], s - s[0])
+            cut = lambda b, s=s, e=e: [b[:1] + b[1 + b[0] * x : 1 + b[0] * y] for x, y in zip(s.tolist(), e.tolist(), strict=True)]
+            yield {
+                "kind": [_POSTING] * len(s), "bucket": [bucket] * len(s), "term": [words[i] for i in term[s].tolist()], "n": e - s, "first": doc[s], "last": doc[e - 1], "max_tf": best(np.maximum, tf), "min_len": best(np.minimum, length),
+                "min_tf": best(np.minimum, tf), "max_len": best(np.maximum, length), "ords": cut(parts[0]), "tfs": cut(parts[1]), "lens": cut(parts[2]),
+            }
+        for a in range(0, len(idents), CHUNK):
+            own = idents[a : a + CHUNK]
+            yield {"kind": [_DOC] * len(own), "bucket": [bucket] * len(own), "first": np.arange(a, a + len(own)), "n": lens[a : a + len(own)], "ident": own}
+        yield {"kind": [_SIZE], "bucket": [bucket], "n": [len(docs)], "ords": [int(lens.sum()).to_bytes(8, "little")]}
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -79,20 +99,17 @@ def _build(schema: StructType):
         have, idents, docs, table = None, [], [], None
 
         def flush():
-            made = rows(have, idents, docs, list(table))
-            while part := list(itertools.islice(made, CHUNK)):
-                yield pa.RecordBatch.from_pydict({c: [r.get(c) for r in part] for c in names}, arrow)
+            for part in rows(have, idents, docs, list(table)):
+                n = len(part["kind"])
+                yield pa.RecordBatch.from_arrays([pa.array(part[c], arrow.field(c).type) if c in part else pa.nulls(n, arrow.field(c).type) for c in names], schema=arrow)
 
         for b in batches:
             for bucket, ident, tokens in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 if bucket != have:
                     if have is not None:
                         yield from flush()
-                    have, idents, docs, table, count = bucket, [], [], {}, itertools.count()
+                    have, idents, docs, table = bucket, [], [], _Numbers()
                 words = tokens.as_py() or []
-                for w in words:
-                    if w not in table:
-                        table[w] = next(count)
                 idents.append(ident)
                 docs.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
         if have is not None:
@@ -198,8 +215,8 @@ class Postings(Derived):
         deal = max(1, min(self.PARTS, -(-size // (parts * PART_BYTES)))) if size < 1 << 60 else 1
         rows = rows.withColumn("_bucket", (F.col("_bucket") * self.PARTS + F.pmod(F.xxhash64(F.lit(1), self.ident), F.lit(deal))).cast("int"))
         schema = StructType([*StructType.fromDDL(_ROWS), StructField("ident", rows.schema[self.ident].dataType)])
-        tokens = rows.where(F.col(self.ident).isNotNull()).select("_bucket", self.ident, X.analyse(F.col(self.text)).alias("tokens"))
-        out = tokens.repartition(parts * deal, "_bucket").sortWithinPartitions("_bucket", self.ident).mapInArrow(_build(schema), schema)
+        dealt = rows.where(F.col(self.ident).isNotNull()).select("_bucket", self.ident, self.text).repartition(parts * deal, "_bucket").sortWithinPartitions("_bucket", self.ident)
+        out = dealt.select("_bucket", self.ident, X.analyse(F.col(self.text)).alias("tokens")).mapInArrow(_build(schema), schema)
         return out  # by bucket, then by term
 
     def rows(self, kind: int) -> DataFrame:
@@ -252,7 +269,9 @@ class Postings(Derived):
             return out.groupBy("q").agg(F.sum("read").alias("blocks"))
         ids = self.rows(_DOC).select("bucket", F.col("first").alias("ord"), F.col("ident").alias(self.ident))
         w = Window.partitionBy("q").orderBy(F.desc("score"), self.ident)
-        found = out.where("ord is not null").join(ids, ["bucket", "ord"])
+        # each bucket has sent its own k: only those that are among the k best, ties included, get their ids
+        top = F.rank().over(Window.partitionBy("q").orderBy(F.desc("score")))
+        found = out.where("ord is not null").withColumn("_r", top).where(F.col("_r") <= k).drop("_r").join(ids, ["bucket", "ord"])
         return found.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select("q", self.ident, "score", "rank")
 
 
