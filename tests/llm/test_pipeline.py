@@ -67,7 +67,7 @@ def test_oracle(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     a, b = catalog.QUERIES[name](spark, SF).toPandas(), con.sql(catalog.ORACLES[name]).df()
     cols = sorted(b.columns)
