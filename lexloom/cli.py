@@ -16,6 +16,7 @@ from .functions import text as X
 from .operators import search as Q
 from .plans import files, ingest
 from .sources import linked, reports
+from .sources.encoded import Encoded
 from .sources.envelope import find_files, route
 from .sources.index import Index, StateLog
 
@@ -28,6 +29,8 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("inputs", nargs="+", help="files, or folders of *.json*")
         c.add_argument("--index", required=True)
         c.add_argument("--n", type=int, default=most, help="laws at most (0: all)")
+        c.add_argument("--work", help="folder for the steps; a run that is started again with it goes on where it was")
+        c.add_argument("--vectors", help="folder for vectors by content, so equal texts are encoded once (with --work)")
         c.add_argument("--dry-run", action="store_true", help="count, but write no index")
     c = sub.add_parser("files", help="landed PDF and DOCX files into the index")
     c.add_argument("folder")
@@ -62,7 +65,10 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             print(json.dumps(docs.agg(F.count("*").alias("documents"), F.count_distinct("law_iri").alias("laws")).first().asDict()))
         else:
             Index(spark, a.index).check()
-            print(json.dumps(ingest.ingest(spark, a.inputs, a.index, a.n)))
+            if a.work:
+                print(json.dumps(ingest.ingest_resumable(spark, a.inputs, a.index, a.work, a.n, vectors=Encoded(spark, a.vectors) if a.vectors else None)))
+            else:
+                print(json.dumps(ingest.ingest(spark, a.inputs, a.index, a.n)))
     elif a.command == "files":
         Index(spark, a.index).check()
         print(json.dumps(files.ingest_files(spark, a.folder, a.index, a.state, a.glob)))

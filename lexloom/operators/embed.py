@@ -18,11 +18,13 @@ def hashing_encoder(dims: int = DIMS) -> Callable[[list[str]], np.ndarray]:
 
     def encode(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), dims), np.float32)
-        for row, text in zip(out, texts, strict=True):
-            for w in (text or "").lower().split():
-                for feature in (w, w[:3] + "_"):
-                    h = crc32(feature.encode())
-                    row[h % dims] += 1 if h >> 31 else -1
+        words = [(text or "").lower().split() for text in texts]
+        number = {w: k for k, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}  # each word of the batch is hashed once
+        hashes = np.array([crc32(f.encode("utf-8", "surrogatepass")) for w in number for f in (w, w[:3] + "_")], np.int64).reshape(-1, 2)
+        at = np.fromiter((number[w] for ws in words for w in ws), np.int64)
+        rows = np.repeat(np.arange(len(texts)), [len(ws) for ws in words])
+        for h in hashes[at].T:
+            np.add.at(out, (rows, h % dims), np.where(h >> 31, 1, -1).astype(np.float32))
         n = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(n == 0, 1, n)
 

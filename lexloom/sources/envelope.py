@@ -18,7 +18,7 @@ import itertools
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -362,11 +362,11 @@ def split_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     return items.select("file_ord", (F.col("before") + n - 1).cast("long").alias("item_pos"), F.regexp_replace("text", r"^[ \t\r\n]+|[ \t\r\n]+$", "").alias("raw"))
 
 
-def read_envelope(spark: SparkSession, paths: list[str], schema: str, item_type: str | None = None, max_items: int = 0) -> DataFrame:
-    """Typed rows of the files in order, with (file_ord, item_pos); ``max_items`` per file counts rows of the type."""
+def read_envelope(spark: SparkSession, paths: list[str], schema: str, item_type: str | None = None, max_items: int = 0, rows: Callable = split_rows) -> DataFrame:
+    """Typed rows of the files in order, with (file_ord, item_pos); ``max_items`` per file counts rows of the type; ``rows`` gives the elements."""
     from ..operators.relational import limit_per
 
-    out = split_rows(spark, paths).select("file_ord", "item_pos", F.from_json("raw", schema).alias("r")).select("file_ord", "item_pos", "r.*")
+    out = rows(spark, paths).select("file_ord", "item_pos", F.from_json("raw", schema).alias("r")).select("file_ord", "item_pos", "r.*")
     if item_type:
         out = out.where(F.col("typ") == item_type)
     return limit_per(out, ["file_ord"], ["item_pos"], max_items)

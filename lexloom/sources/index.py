@@ -242,11 +242,6 @@ class StateLog:
         return self.state().groupBy("phase").agg(F.count("*").alias("n"))
 
 
-def new_files(files: DataFrame, done: DataFrame) -> DataFrame:
-    """Files not done yet, by path and content hash."""
-    return files.join(done, ["path", "sha256"], "left_anti")
-
-
 def quarantine(df: DataFrame, good, path: str) -> DataFrame:
     """Write rows that fail a condition as JSON lines; return the others."""
     df.where(~F.coalesce(good, F.lit(False))).write.mode("overwrite").json(path)
