@@ -542,6 +542,52 @@ def triples_followed(spark, sf):
     return L.follow(L.triples(n.unionByName(r)), "x:part-of", "x:label")
 
 
+def _links(spark, sf: str, table: str, ident: str, prefix: str, **edges: str) -> DataFrame:
+    """Triples of a table: an edge a column, whose value is an expression."""
+    each = F.array(*[F.struct(F.lit("x:" + p.replace("_", "-")).alias("p"), F.expr(e).cast("string").alias("o")) for p, e in edges.items()])
+    return t(spark, sf, table).select(F.concat(F.lit(prefix), F.expr(ident)).alias("s"), F.inline(each))
+
+
+@query("""SELECT concat('o', o_orderkey) AS o, concat('c', c_custkey) AS c, concat('n', n_nationkey) AS n, concat('r', r_regionkey) AS r, r_name AS name
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE o_orderstatus = 'F'""")
+def graph_chain(spark, sf):
+    """Five edges, one of them to a constant."""
+    g = _links(spark, sf, "orders", "o_orderkey", "o", by="concat('c', o_custkey)", status="o_orderstatus").unionByName(_links(spark, sf, "customer", "c_custkey", "c", lives_in="concat('n', c_nationkey)"))
+    g = g.unionByName(_links(spark, sf, "nation", "n_nationkey", "n", part_of="concat('r', n_regionkey)")).unionByName(_links(spark, sf, "region", "r_regionkey", "r", label="r_name"))
+    return L.match(g, [("?o", "x:by", "?c"), ("?c", "x:lives-in", "?n"), ("?n", "x:part-of", "?r"), ("?r", "x:label", "?name"), ("?o", "x:status", "F")])
+
+
+@query("""SELECT concat('l', l_orderkey, '-', l_linenumber) AS l, concat('o', o_orderkey) AS o, concat('c', c_custkey) AS c, concat('s', s_suppkey) AS s, concat('n', c_nationkey) AS n
+    FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem) JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    JOIN supplier ON l_suppkey = s_suppkey AND s_nationkey = c_nationkey""")
+def graph_cycle(spark, sf):
+    """Five edges that close a cycle: items whose supplier and customer live in the same nation."""
+    g = _links(spark, sf, "lineitem", "concat(l_orderkey, '-', l_linenumber)", "l", of="concat('o', l_orderkey)", from_="concat('s', l_suppkey)").unionByName(_links(spark, sf, "orders", "o_orderkey", "o", by="concat('c', o_custkey)"))
+    g = g.unionByName(_links(spark, sf, "customer", "c_custkey", "c", lives_in="concat('n', c_nationkey)")).unionByName(_links(spark, sf, "supplier", "s_suppkey", "s", sits_in="concat('n', s_nationkey)"))
+    return L.match(g, [("?l", "x:of", "?o"), ("?l", "x:from-", "?s"), ("?o", "x:by", "?c"), ("?c", "x:lives-in", "?n"), ("?s", "x:sits-in", "?n")])
+
+
+GRAPH_EDGES = """WITH RECURSIVE edges AS (SELECT concat('p', p_partkey) AS s, concat('p', p_partkey // 2) AS o FROM part UNION SELECT concat('p', p_partkey), concat('p', p_partkey // 3 + 1) FROM part),
+    big AS (SELECT concat('p', p_partkey) AS b FROM part WHERE p_size >= 40)"""
+
+
+@query(GRAPH_EDGES + """, walk AS (SELECT s AS a, o AS b FROM edges UNION SELECT a, o FROM walk JOIN edges ON walk.b = edges.s) SELECT a, b FROM walk JOIN big USING (b)""")
+def graph_paths(spark, sf):
+    """Paths of one edge or more, with several parents and cycles, to the large parts."""
+    return L.match(_part_links(spark, sf), [("?a", "x:under+", "?b"), ("?b", "x:large", "true")])
+
+
+@query(GRAPH_EDGES + """, nodes AS (SELECT s AS n FROM edges UNION SELECT o FROM edges), walk AS (SELECT b AS a, b FROM big UNION SELECT a, o FROM walk JOIN edges ON walk.b = edges.s) SELECT a, b FROM walk""")
+def graph_paths_from(spark, sf):
+    """Paths of any length, none too, from the large parts."""
+    return L.match(_part_links(spark, sf), [("?a", "x:under*", "?b"), ("?a", "x:large", "true")])
+
+
+def _part_links(spark, sf: str) -> DataFrame:
+    parts = _links(spark, sf, "part", "p_partkey", "p", under="concat('p', p_partkey div 2)", large="p_size >= 40")
+    return parts.unionByName(_links(spark, sf, "part", "p_partkey", "p", under="concat('p', p_partkey div 3 + 1)"))
+
+
 @query(r"""WITH l AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '§ ' || o_custkey WHEN 1 THEN chr(9) || '§' || o_custkey || '. ' WHEN 2 THEN '§ ' || o_custkey || 'a' WHEN 3 THEN 'text § 1'
     WHEN 4 THEN chr(160) || '§' || chr(160) || o_custkey || chr(8195) || chr(31) ELSE '' END AS line FROM orders),
     s AS (SELECT o_orderkey, regexp_replace(line, '^[\s\x1c-\x1f\x{a0}\x{2003}]+|[\s\x1c-\x1f\x{a0}\x{2003}]+$', '', 'g') AS stripped FROM l)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .shared import step
 
 JSON_LD, N_TRIPLES = "application/ld+json", "text/plain"
 #: What a node may be asked for; PDF, EPUB and plain JSON are refused by the service, and plain text is N-Triples.
@@ -75,3 +78,101 @@ def follow(triples_: DataFrame, first: str, second: str) -> DataFrame:
     a = triples_.where(F.col("p") == first).select("s", F.col("o").alias("m"))
     b = triples_.where(F.col("p") == second).select(F.col("s").alias("m"), "o")
     return a.join(b, "m").select("s", "m", "o")
+
+
+def reach(edges: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """(s, o): every node o at the end of a path of one edge or more from s; ``seeds`` (s): from these only.
+
+    Each round joins only the pairs found in the last one with the edges, and keeps those that are new, so cycles end and the number of rounds is
+    the longest of the shortest paths.  Repeated edges count once, edges with a null never.
+    """
+    e = step(edges.where("s is not null and o is not null").select("s", "o").distinct())
+    fresh = known = step(e if seeds is None else e.join(seeds.select("s").distinct(), "s", "left_semi"))
+    steps = e.select(F.col("s").alias("o"), F.col("o").alias("_next"))
+    parts = [known]
+    while fresh.limit(1).count():
+        fresh = step(fresh.join(steps, "o").select("s", F.col("_next").alias("o")).distinct().join(known, ["s", "o"], "left_anti"))
+        parts.append(fresh)
+        known = reduce(DataFrame.unionByName, parts)
+    return known
+
+
+def match(triples_: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
+    """Solutions of a graph pattern: one column for each variable (``?x`` gives ``x``), a row for each solution, repeats kept.
+
+    A pattern is (subject, predicate, object); each may be a variable but a predicate of a path.  A variable that stands twice must be equal;
+    what starts otherwise is a constant.  ``p+`` and ``p*`` follow p once or more, or also not at all (over nodes that stand in any triple), each pair
+    of ends once; a path begins at the values that the patterns joined before allow.  The patterns are joined on what they share, beginning
+    with the predicate of the fewest triples; patterns without a shared variable would be a cross join and are refused, as are
+    patterns without any.  Repeated triples count once.
+    """
+    if not any(x.startswith("?") for pattern in patterns for x in pattern):
+        raise ValueError("no variables")
+    for _, p, _ in patterns:
+        if p.startswith("?") and p[-1] in "+*":
+            raise ValueError(f"a path needs a predicate: {p}")
+    base = triples_.where("s is not null and p is not null and o is not null").select("s", "p", "o").distinct()
+    named = {p.rstrip("+*") for _, p, _ in patterns if not p.startswith("?")}
+    # a row for each predicate of the patterns
+    counts = {r.p: r.n for r in base.where(F.col("p").isin(*named)).groupBy("p").agg(F.count("*").alias("n")).collect()} if named else {}
+
+    def size(pattern) -> tuple:
+        s, p, o = pattern
+        constants = sum(not x.startswith("?") for x in (s, o))
+        return p[-1] in "+*", -constants, float("inf") if p.startswith("?") else counts.get(p.rstrip("+*"), 0)
+
+    def variables(pattern) -> set[str]:
+        return {x for x in pattern if x.startswith("?")}
+
+    left = sorted((x for x in patterns if variables(x)), key=size)
+    out, bound = None, set()
+    while left:
+        now = next((x for x in left if out is None or variables(x) & bound), None)
+        if now is None:
+            raise ValueError(f"no variable is shared with {left[0]}")
+        left.remove(now)
+        rows = _solutions(base, now, out, bound)
+        out = rows if out is None else out.join(rows, sorted(x[1:] for x in variables(now) & bound))
+        bound |= variables(now)
+    for pattern in patterns:  # without variables: all solutions or none
+        if not variables(pattern) and not _solutions(base, pattern, None, set()).limit(1).count():
+            out = out.where(F.lit(False))
+    return out.select(*sorted(x[1:] for x in bound))
+
+
+def _solutions(base: DataFrame, pattern: tuple[str, str, str], out: DataFrame | None, bound: set[str]) -> DataFrame:
+    s, p, o = pattern
+    if p[-1] in "+*":
+        rows = _paths(base, pattern, out, bound)
+    else:
+        rows = base
+    columns: dict[str, Column] = {}
+    for name, term in zip(rows.columns, (s, p, o) if len(rows.columns) == 3 else (s, o), strict=True):
+        if not term.startswith("?"):
+            rows = rows.where(F.col(name) == term)
+        elif term in columns:
+            rows = rows.where(F.col(name) == columns[term])
+        else:
+            columns[term] = F.col(name)
+    return rows.select(*[c.alias(v[1:]) for v, c in columns.items()])
+
+
+def _paths(base: DataFrame, pattern: tuple[str, str, str], out: DataFrame | None, bound: set[str]) -> DataFrame:
+    """(s, o) of a path, from the end that is known: a constant, or a variable that is bound."""
+    s, p, o = pattern
+    edges = base.where(F.col("p") == p[:-1]).select("s", "o")
+    known = lambda x: x in bound or not x.startswith("?")
+    turned = known(o) and not known(s)
+    end = o if turned else s
+    if not known(end):
+        seeds = None
+    elif end.startswith("?"):
+        seeds = step(out.select(F.col(end[1:]).alias("s")).distinct())
+    else:
+        seeds = base.sparkSession.createDataFrame([(end,)], "s string")
+    rows = reach(edges.select(F.col("o").alias("s"), F.col("s").alias("o")) if turned else edges, seeds)
+    if p[-1] == "*":
+        nodes = base.select("s").union(base.select("o")).distinct()
+        here = nodes if seeds is None else nodes.join(seeds, "s", "left_semi")
+        rows = rows.union(here.select("s", F.col("s").alias("o"))).distinct()
+    return rows.select(F.col("o").alias("s"), F.col("s").alias("o")) if turned else rows
