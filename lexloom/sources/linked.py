@@ -102,8 +102,8 @@ def match(triples_: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFram
 
     A pattern is (subject, predicate, object); each may be a variable but a predicate of a path.  A variable that stands twice must be equal;
     what starts otherwise is a constant.  ``p+`` and ``p*`` follow p once or more, or also not at all (over nodes that stand in any triple), each pair
-    of ends once; a path begins at the values that the patterns joined before allow.  The patterns are joined on what they share, beginning
-    with the predicate of the fewest triples; patterns without a shared variable would be a cross join and are refused, as are
+    of ends once; a path begins at the values that the patterns joined before allow.  The patterns are joined on what they share: the
+    one of the fewest triples first, then always the one that adds the fewest to each solution, by counts of its predicate.  Patterns without a shared variable would be a cross join and are refused, as are
     patterns without any.  Repeated triples count once.
     """
     if not any(x.startswith("?") for pattern in patterns for x in pattern):
@@ -111,25 +111,33 @@ def match(triples_: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFram
     for _, p, _ in patterns:
         if p.startswith("?") and p[-1] in "+*":
             raise ValueError(f"a path needs a predicate: {p}")
-    base = triples_.where("s is not null and p is not null and o is not null").select("s", "p", "o").distinct()
     named = {p.rstrip("+*") for _, p, _ in patterns if not p.startswith("?")}
-    # a row for each predicate of the patterns
-    counts = {r.p: r.n for r in base.where(F.col("p").isin(*named)).groupBy("p").agg(F.count("*").alias("n")).collect()} if named else {}
-
-    def size(pattern) -> tuple:
+    every = any(p.startswith("?") or p.endswith("*") for _, p, _ in patterns)
+    asked = triples_.where("s is not null and p is not null and o is not null").where(F.lit(every) | F.col("p").isin(*named))
+    # each pattern reads it again; sorted, so the row groups of other predicates are skipped
+    base = step(asked.select("s", "p", "o").distinct().sortWithinPartitions("p"))
+    sizes = base.where(F.col("p").isin(*named)).groupBy("p").agg(F.count("*").alias("n"), F.approx_count_distinct("s").alias("s"), F.approx_count_distinct("o").alias("o"))
+    counts = {r.p: (r.n, max(r.s, 1), max(r.o, 1)) for r in sizes.collect()} if named else {}  # a row for each predicate of the patterns
+
+    def matches(pattern, bound: set[str]) -> tuple[bool, float]:
+        """How many triples of the pattern one solution found so far meets, on average; paths come last."""
         s, p, o = pattern
-        constants = sum(not x.startswith("?") for x in (s, o))
-        return p[-1] in "+*", -constants, float("inf") if p.startswith("?") else counts.get(p.rstrip("+*"), 0)
+        n, subjects, objects = (float("inf"), 1, 1) if p.startswith("?") else counts.get(p.rstrip("+*"), (0, 1, 1))
+        for term, distinct in ((s, subjects), (o, objects)):
+            if term in bound or not term.startswith("?"):
+                n /= distinct
+        return p[-1] in "+*", n
 
     def variables(pattern) -> set[str]:
         return {x for x in pattern if x.startswith("?")}
 
-    left = sorted((x for x in patterns if variables(x)), key=size)
+    left = [x for x in patterns if variables(x)]
     out, bound = None, set()
     while left:
-        now = next((x for x in left if out is None or variables(x) & bound), None)
-        if now is None:
+        usable = [x for x in left if out is None or variables(x) & bound]
+        if not usable:
             raise ValueError(f"no variable is shared with {left[0]}")
+        now = min(usable, key=lambda x: matches(x, bound))
         left.remove(now)
         rows = _solutions(base, now, out, bound)
         out = rows if out is None else out.join(rows, sorted(x[1:] for x in variables(now) & bound))
