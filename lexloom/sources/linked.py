@@ -102,8 +102,8 @@ def match(triples_: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFram
 
     A pattern is (subject, predicate, object); each may be a variable but a predicate of a path.  A variable that stands twice must be equal;
     what starts otherwise is a constant.  ``p+`` and ``p*`` follow p once or more, or also not at all (over nodes that stand in any triple), each pair
-    of ends once; a path begins at the values that the patterns joined before allow.  The patterns are joined on what they share: the
-    one of the fewest triples first, then always the one that adds the fewest to each solution, by counts of its predicate.  Patterns without a shared variable would be a cross join and are refused, as are
+    of ends once; a path begins at the values that the patterns joined before allow.  The patterns are joined on what they share, each
+    time the one that adds the fewest triples to a solution by counts of its predicate, from the start that makes the fewest rows.  Patterns without a shared variable would be a cross join and are refused, as are
     patterns without any.  Repeated triples count once.
     """
     if not any(x.startswith("?") for pattern in patterns for x in pattern):
@@ -131,14 +131,28 @@ def match(triples_: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFram
     def variables(pattern) -> set[str]:
         return {x for x in pattern if x.startswith("?")}
 
-    left = [x for x in patterns if variables(x)]
+    def order(first) -> tuple:
+        """Cost (paths begun without a known end, rows on the way) and order of the patterns from this one, each time the one that adds least."""
+        left, got, bound = [x for x in patterns if variables(x)], [], set()
+        rows, total, blind = 1.0, 0.0, 0
+        now = first
+        while True:
+            left.remove(now)
+            path, n = matches(now, bound)
+            blind += path and not any(x in bound or not x.startswith("?") for x in (now[0], now[2]))
+            rows *= n
+            total += rows
+            got.append(now)
+            bound |= variables(now)
+            if not left:
+                return blind, total, got
+            usable = [x for x in left if variables(x) & bound]
+            if not usable:
+                raise ValueError(f"no variable is shared with {left[0]}")
+            now = min(usable, key=lambda x: matches(x, bound))
+
     out, bound = None, set()
-    while left:
-        usable = [x for x in left if out is None or variables(x) & bound]
-        if not usable:
-            raise ValueError(f"no variable is shared with {left[0]}")
-        now = min(usable, key=lambda x: matches(x, bound))
-        left.remove(now)
+    for now in min((order(x) for x in patterns if variables(x)), key=lambda x: x[:2])[2]:
         rows = _solutions(base, now, out, bound)
         out = rows if out is None else out.join(rows, sorted(x[1:] for x in variables(now) & bound))
         bound |= variables(now)
