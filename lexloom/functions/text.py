@@ -135,6 +135,31 @@ def strip_markup(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]+>", "")
 
 
+#: Tags with quoted attributes, comments, and whole elements that hold no text; ``<`` before anything else is text.
+_MARKUP = r"""(?is)<!--.*?-->|<(script|style)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?</\1\s*>|<[a-z/!?](?:[^>"']++|"[^"]*"|'[^']*')*+>|<[a-z/!?][^>]*>"""
+#: The named entities of XML, and some common ones of HTML.
+ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©", "middot": "·", "sect": "§"}
+
+
+def markup_text(text: Column) -> Column:
+    """The text of marked-up text: comments, scripts, styles and tags go (``>`` may stand in attributes), entities are decoded once.
+
+    Unknown names and numbers that are no character stay as they are written; null gives null.
+    """
+    part = r"(?s)&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]+);|[^&]+|&"
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def decoded(x: Column) -> Column:
+        hexed, plain = F.regexp_extract(x, "^&#[xX]([0-9a-fA-F]+);$", 1), F.regexp_extract(x, "^&#([0-9]+);$", 1)
+        code = F.when(hexed != "", F.conv(hexed, 16, 10).cast("long")).otherwise(plain.try_cast("long"))
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.coalesce(char, F.try_element_at(names, F.regexp_extract(x, "^&([a-zA-Z]+);$", 1)), x)
+
+    parts = F.regexp_extract_all(F.regexp_replace(text, _MARKUP, ""), F.lit(part), F.lit(0))
+    return F.array_join(F.transform(parts, lambda x: F.when(x.startswith("&"), decoded(x)).otherwise(x)), "")
+
+
 def text_or(text: Column, fallback: Column, least: int = 5) -> Column:
     """The text if it is long enough after stripping, else the fallback under the same rule, else null."""
     ok = lambda c: F.when(F.length(strip(c)) >= least, c)

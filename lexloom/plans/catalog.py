@@ -298,6 +298,13 @@ def markup_stripped(spark, sf):
     return t(spark, sf, "pages").select("page_id", F.length(X.strip_markup(F.col("html"))).cast("long").alias("chars"))
 
 
+@query(r"""SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html,
+    '<!--.*?-->|<script\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>.*?</script\s*>|<style\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>.*?</style\s*>', '', 'gis'),
+    '<[a-z/!?](?:[^>"'']|"[^"]*"|''[^'']*'')*>', '', 'gis'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&nbsp;', chr(160)), '&copy;', chr(169)), '&middot;', chr(183)), '&sect;', chr(167)), '&amp;', '&') AS text FROM pages""")
+def markup_decoded(spark, sf):
+    return t(spark, sf, "pages").select("page_id", X.markup_text(F.col("html")).alias("text"))
+
+
 @query(f"SELECT doc_id, len(w) AS n_tokens, len(list_distinct(w)) AS n_terms FROM (SELECT doc_id, {TOKENS} AS w FROM documents)")
 def token_counts(spark, sf):
     d = t(spark, sf, "documents").select("doc_id", X.analyse(F.col("text")).alias("w"))

@@ -113,3 +113,15 @@ def test_suggestions_find_every_term_within_two_edits(spark):
         near = sorted((edits(w, t), -(len(t) % 3), t) for t in terms if abs(len(w) - len(t)) <= 2)
         want |= {(q, t, e, n) for n, (e, _, t) in enumerate([x for x in near if x[0] <= 2], 1)}
     assert got == want
+
+
+def test_markup_text(spark):
+    from lexloom.functions import text as X
+
+    cases = [
+        ("<p>a</p>", "a"), ('<a title="x > y" b=\'>\'>t</a>', "t"), ("a<!-- <b> > -->b", "ab"), ("<SCRIPT type='a>b'>if (a < b) {}</script >x<style>p{}</style>", "x"),
+        ("1 < 2 & 3 > 2", "1 < 2 & 3 > 2"), ("&amp;lt; &lt;b&gt; &quot;&apos;&nbsp;|", "&lt; <b> \"'\u00a0|"), ("&#167; &#xA7; &#X1F600; &#0; &#xD800; &#x110000; &none; &", "§ § \U0001f600 &#0; &#xD800; &#x110000; &none; &"),
+        ('<a title="open>t', "t"), ("", ""), (None, None), ("<br/>a\n<br>b", "a\nb"), ("x" * 100_000 + "<p " + "a='b' " * 500 + ">y", "x" * 100_000 + "y"),
+    ]
+    got = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "k int, t string").select("k", X.markup_text(F.col("t")).alias("t")).collect()
+    assert {r.k: r.t for r in got} == {k: c[1] for k, c in enumerate(cases)}
