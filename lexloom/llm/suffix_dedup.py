@@ -1,10 +1,10 @@
 """Suffix-array dedup: remove bytes that repeat a passage of an earlier document.
 
-Snippets that may recur (see ``repeats``) are dealt to shards of at most ``SHARD`` bytes.  Each shard gets a suffix array by
-Larsson-Sadakane refinement (sort by the first bytes, then by ranks at doubled distance, unsettled groups only) and common
-prefixes by Kasai's method, run in many lanes of the text at once; suffixes with a common prefix of the window's length form a
+Snippets that may recur (see ``repeats``) are dealt to shards of at most ``SHARD`` bytes, anchors whole where they fit.  Each shard
+gets a suffix array by Larsson-Sadakane refinement (sort by the first bytes, then by ranks at doubled distance, unsettled groups
+only), which ends at the window's length: suffixes that are still of one rank then share a window and form a
 class, whose least document id decides.  Where an anchor's snippets span several shards, their sorted class
-tables are merged by binary search.
+tables are merged by binary search.  ``common_prefixes`` (Kasai's method, in many lanes of the text at once) serves whole suffix arrays.
 
 Cases: null text is empty; null ids come after all others; rows of one id never count against each other; of equal texts the
 least id stays; documents shorter than the window lose nothing; an empty table gives no rows; other columns are not read.
@@ -31,6 +31,11 @@ LANE = 256
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Order of all suffixes of at most SHARD bytes of UTF-8 (no byte is 255); a suffix comes before its continuations."""
+    return refined(text)[0]
+
+
+def refined(text: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Order of all suffixes by their first ``depth`` bytes (at least 5; None: whole), and where in it another prefix begins."""
     n = len(text)
     t = np.zeros(n + 8, _U)
     t[:n] = text
@@ -47,21 +52,24 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     rank[n] = -1
     rank[sa] = np.maximum.accumulate(np.where(start, np.arange(n), 0))
     h = 5
-    while True:
-        size = np.diff(np.r_[np.flatnonzero(start), n])
-        open_ = np.flatnonzero(np.repeat(size, size) > 1)
+    while depth is None or h < depth:
+        single = start & np.r_[start[1:], True]
+        open_ = np.flatnonzero(~single)
         if not len(open_):
-            return sa
+            break
         pos = sa[open_]
-        after = rank[np.minimum(pos + h, n)] + 1
+        by = h if depth is None else min(h, depth - h)  # the ranks of ``by`` bytes on cover h + by bytes
+        after = rank[np.minimum(pos + by, n)] + 1
         packed = (rank[pos].astype(_U) << _U(42)) | (after.astype(_U) << _U(20)) | pos.astype(_U)
         packed.sort()
         pos = (packed & _U(SHARD - 1)).astype(np.int64)
         sa[open_] = pos
         top = packed >> _U(20)
-        start[open_[1:]] |= top[1:] != top[:-1]
-        rank[pos] = np.maximum.accumulate(np.where(start, np.arange(n), 0))[open_]
-        h *= 2
+        new = np.r_[True, top[1:] != top[:-1]]
+        start[open_[new]] = True
+        rank[pos] = np.maximum.accumulate(np.where(new, open_, 0))
+        h += by
+    return sa, start
 
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
@@ -101,11 +109,10 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
 
 def window_classes(text: np.ndarray, starts: np.ndarray, ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of equal windows at ``starts`` (ascending): class of each start, a start of each class in suffix order, least ids."""
-    sa = suffix_array(text)
-    lcp = common_prefixes(text, sa, window)
+    sa, start = refined(text, window)
     mark = np.full(len(text), -1, np.int64)
     mark[starts] = np.arange(len(starts))
-    klass = np.cumsum(lcp < window) - 1
+    klass = np.cumsum(start)
     on = mark[sa] >= 0
     which, member = klass[on], mark[sa[on]]
     a, b = runs(which)
@@ -127,6 +134,9 @@ def least_ids(s: Snippets, window: int = WINDOW, shard: int = SHARD) -> tuple[np
     ends = s.g_start + s.g_size
     while a < len(s.g_start):
         b = max(a + 1, int(np.searchsorted(ends, s.g_start[a] + shard, side="right")))
+        if b < len(ends) and s.anchor[b] == s.anchor[b - 1]:  # an anchor is cut only if it is larger than a shard
+            first_of = b - 1 - int(np.argmax(s.anchor[a:b][::-1] != s.anchor[b]))
+            b = first_of + 1 if s.anchor[a] != s.anchor[b] else b
         bounds.append((a, b))
         a = b
     chain: list = []  # shards linked by an anchor that continues from one to the next
