@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DIMS = 768
+#: Rows whose vectors a task holds at once.
+ROWS = 512
 
 
 def hashing_encoder(dims: int = DIMS) -> Callable[[list[str]], np.ndarray]:
@@ -36,10 +38,15 @@ def embed(text: Column, make: Callable[[], Callable] = hashing_encoder, batch: i
 
     @F.pandas_udf("array<float>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = make()
-        for s in parts:
-            texts = s.fillna("").tolist()
-            rows = [r for i in range(0, len(texts), batch) for r in encode(texts[i : i + batch])]
-            yield pd.Series(rows, index=s.index, dtype=object)
+        yield from encoded(parts, make(), batch)
 
     return run(text)
+
+
+def encoded(parts: Iterator[pd.Series], encode: Callable, batch: int) -> Iterator[pd.Series]:
+    """Vectors of texts, ``ROWS`` at a time: they are given out before the next are made."""
+    for s in parts:
+        for a in range(0, len(s), ROWS):
+            part = s.iloc[a : a + ROWS]
+            texts = part.fillna("").tolist()
+            yield pd.Series([r for i in range(0, len(texts), batch) for r in encode(texts[i : i + batch])], index=part.index, dtype=object)
