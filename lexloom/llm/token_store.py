@@ -15,7 +15,6 @@ shards as they need, and a lookup finds the first; an empty table gives no shard
 from __future__ import annotations
 
 import bisect
-import io
 import json
 import re
 import sys
@@ -35,6 +34,8 @@ MAGIC = b"LXTOK002"
 #: A block of a hash level: the number of bits set before it, and 512 bits.
 BLOCK = np.dtype([("rank", "<u8"), ("bits", "u1", 64)])
 END_ID = 2
+#: Rows whose texts a task turns into strings at once.
+ROWS = 256
 SLOT = np.dtype([("print", "<u4"), ("at", "<u4")])
 _U = np.uint64
 
@@ -90,6 +91,11 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 # ---- shard files ---------------------------------------------------------------------------------------------------
 def shard_bytes(ids: np.ndarray, known: np.ndarray, payloads: list[bytes], width: int) -> bytes:
+    return b"".join(shard_parts(ids, known, payloads, width))
+
+
+def shard_parts(ids: np.ndarray, known: np.ndarray, payloads: list[bytes], width: int):
+    """A shard file's parts in order; the payloads are not copied."""
     n = len(payloads)
     offsets = np.zeros(n + 1, "<u8")
     offsets[1:] = np.cumsum([len(p) // width for p in payloads], dtype=np.int64)
@@ -99,10 +105,9 @@ def shard_bytes(ids: np.ndarray, known: np.ndarray, payloads: list[bytes], width
     slot = np.zeros(len(first), SLOT)
     slot["print"][slots], slot["at"][slots] = fingerprints(keys), first
     head = json.dumps({"n_docs": n, "n_tokens": int(offsets[-1]), "width": width, "n_keys": len(first), "levels": [len(x) * 512 for x in levels]}).encode()
-    out = io.BytesIO()
-    for part in (MAGIC, np.uint32(len(head)).astype("<u4").tobytes(), head, ids.astype("<i8").tobytes(), known.astype(np.uint8).tobytes(), offsets.tobytes(), slot.tobytes(), *(x.tobytes() for x in levels), *payloads):
-        out.write(part)
-    return out.getvalue()
+    yield from (MAGIC, np.uint32(len(head)).astype("<u4").tobytes(), head, ids.astype("<i8").tobytes(), known.astype(np.uint8).tobytes(), offsets.tobytes(), slot.tobytes())
+    yield from (x.tobytes() for x in levels)
+    yield from payloads
 
 
 class Shard:
@@ -205,7 +210,7 @@ def open_shard(path: str) -> Shard:
 class _Table(dict):
     """A bounded table of computed values: when it is full, it becomes the older generation of an empty one."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __init__(self, make):
         self.make, self.old = make, {}
@@ -314,7 +319,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = END_ID
             k = b.column(0)
             known.append(np.asarray(k.is_valid()))
             ids.append(np.asarray(k.fill_null(0)))
-            payloads += [enc.encode(t) + end if t else end for t in b.column(1).to_pylist()]
+            for a in range(0, len(b), ROWS):  # so few texts stand beside their batch as strings
+                payloads += [enc.encode(t) + end if t else end for t in b.column(1).slice(a, ROWS).to_pylist()]
         if not payloads:
             return
         fs, root = pafs.FileSystem.from_uri(out)
@@ -322,9 +328,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = END_ID
         name = f"{root}/tokens-{shard:06d}.bin"
         tmp = f"{name}.{uuid.uuid4().hex}.tmp"  # a repeated or speculative attempt never shows half a file
         ids, known = np.concatenate(ids), np.concatenate(known)
-        data = shard_bytes(ids, known, payloads, enc.width)
         with fs.open_output_stream(tmp) as f:
-            f.write(data)
+            for part in shard_parts(ids, known, payloads, enc.width):
+                f.write(part)
         fs.move(tmp, name)
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [f"{out}/tokens-{shard:06d}.bin"], "n_docs": [len(payloads)], "n_tokens": [sum(map(len, payloads)) // enc.width], **{c: pa.array([int(ids[i]) if known[i] else None], pa.int64()) for c, i in (("least", int(known.argmax())), ("greatest", -1))}})
 
