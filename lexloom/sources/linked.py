@@ -87,14 +87,18 @@ def reach(edges: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     the longest of the shortest paths.  Repeated edges count once, edges with a null never.
     """
     e = step(edges.where("s is not null and o is not null").select("s", "o").distinct())
-    fresh = known = step(e if seeds is None else e.join(seeds.select("s").distinct(), "s", "left_semi"))
-    steps = e.select(F.col("s").alias("o"), F.col("o").alias("_next"))
+    # nodes travel as numbers: every round sorts and shuffles pairs
+    nodes = step(e.select("s").union(e.select("o")).distinct().select(F.col("s").alias("node"), F.monotonically_increasing_id().alias("n")))
+    end = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"_{c}"))
+    e = step(e.join(end("s"), "s").join(end("o"), "o").select("_s", "_o"))
+    fresh = known = e if seeds is None else step(e.join(end("s").join(seeds.select("s").distinct(), "s", "left_semi"), "_s", "left_semi"))
+    steps = e.select(F.col("_s").alias("_o"), F.col("_o").alias("_next"))
     parts = [known]
     while fresh.limit(1).count():
-        fresh = step(fresh.join(steps, "o").select("s", F.col("_next").alias("o")).distinct().join(known, ["s", "o"], "left_anti"))
+        fresh = step(fresh.join(steps, "_o").select("_s", F.col("_next").alias("_o")).distinct().join(known, ["_s", "_o"], "left_anti"))
         parts.append(fresh)
         known = reduce(DataFrame.unionByName, parts)
-    return known
+    return known.join(end("s"), "_s").join(end("o"), "_o").select("s", "o")
 
 
 def match(triples_: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
@@ -196,5 +200,5 @@ def _paths(base: DataFrame, pattern: tuple[str, str, str], out: DataFrame | None
     if p[-1] == "*":
         nodes = base.select("s").union(base.select("o")).distinct()
         here = nodes if seeds is None else nodes.join(seeds, "s", "left_semi")
-        rows = rows.union(here.select("s", F.col("s").alias("o"))).distinct()
+        rows = rows.where("s <> o").union(here.select("s", F.col("s").alias("o")))  # pairs of other nodes stand once
     return rows.select(F.col("o").alias("s"), F.col("s").alias("o")) if turned else rows
