@@ -209,9 +209,10 @@ class Derived:
         self.kept._commit({"version": was["version"] + 1, "of": m["folders"], "folders": folders, "schema": schema})
         return changed
 
-    def table(self) -> DataFrame:
+    def table(self, buckets: list[str] | None = None) -> DataFrame:
+        """The rows made, of some buckets or of all."""
         m = self.kept.manifest()
-        paths = [f"{self.root}/{f[0]}/_b={b}" for b, f in m["folders"].items()]
+        paths = [f"{self.root}/{f[0]}/_b={b}" for b, f in m["folders"].items() if buckets is None or b in buckets]
         return self.spark.read.schema(m["schema"]).parquet(*paths) if paths else self.spark.createDataFrame([], m["schema"])
 
 

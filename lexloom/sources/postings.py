@@ -5,8 +5,9 @@ A bucket of the index has postings of its own: an ordinal for each document (by
 entry scores at least, whatever the averages of the whole corpus are; so blocks stay valid while other buckets change.  ``refresh`` builds the buckets
 anew whose folders in the index have changed, and no other.
 
-A search reads the blocks of its terms, never the texts.  Bounds of blocks give each query a score that k documents reach for certain; in a bucket,
-terms are taken from the strongest on, and documents and blocks that cannot reach the score any more are not decoded.  Results are exact.
+A search reads the blocks of its terms, never the texts.  Bounds of blocks give each query a score that k documents reach for certain, and the first
+buckets searched a higher one.  A task decodes a part's blocks once for all queries; a query whose terms cannot reach its score in the part ends there, and in the others
+terms are taken from the strongest on, and documents that cannot reach the score any more are left.  A task gives out k documents a query.  Results are exact.
 
 Cases: null and empty texts are documents of no length; terms that no document holds give nothing, queries without terms no row; ties go to the least
 id; null ids are not found.
@@ -14,61 +15,101 @@ id; null ids are not found.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions import text as X
 from ..operators.search import B, K1
 from .index import Derived, Index
+from .shared import step
 
-#: Entries of a block; query terms that one pass over the postings takes along; stored bytes of a part that one task builds, and rows it gives out at once.
-BLOCK, TERMS, PART_BYTES, CHUNK = 128, 100_000, 8 << 20, 5000
+#: Entries of a block; query terms that one pass over the postings takes along; stored bytes of a part that one task builds, and rows it gives out at once; documents beyond
+#: which a share of the buckets is searched first; what sums of doubles in another order may differ by.
+BLOCK, TERMS, PART_BYTES, CHUNK, AHEAD, _ROUND = 128, 400_000, 8 << 20, 5000, 20_000, 1e-9
 _ROWS = "kind int, bucket int, term string, n int, first int, last int, max_tf int, min_len int, min_tf int, max_len int, ords binary, tfs binary, lens binary"
 _POSTING, _DOC, _SIZE = 0, 1, 2
 
 
-def _narrow(a: np.ndarray) -> bytes:
-    """Numbers from 0 in as few bytes each as the largest needs, after that width."""
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """Numbers from 0 in as few bytes each as the largest needs."""
     width = 1 if not len(a) or a.max() < 256 else 2 if a.max() < 65536 else 4
-    return bytes([width]) + a.astype(f"<u{width}").tobytes()
+    return a.astype(f"<u{width}")
+
 
+def _cut(a: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Binary values: the numbers of each of some adjacent blocks, after their width."""
+    raw = a[start[0] : end[-1]].view(np.uint8)
+    at = (start - start[0]) * a.itemsize
+    offsets = (np.r_[at, len(raw)] + np.arange(len(start) + 1)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.insert(raw, at, a.itemsize))])
 
-def _wide(b: bytes) -> np.ndarray:
-    return np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64)
+
+def _joined(c: pa.Array) -> np.ndarray:
+    """The numbers of all blocks of a part, which have one width."""
+    c = c.cast(pa.binary())
+    if not len(c):
+        return np.zeros(0, np.int64)
+    at = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]
+    raw = np.frombuffer(c.buffers()[2], np.uint8)[at[0] : at[-1]]
+    return np.delete(raw, at[:-1] - at[0]).view(f"<u{raw[0]}").astype(np.int64)
 
 
 def _impact(tf, length, avg):
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / avg))
 
 
-class _Numbers(dict):
-    """Numbers its keys as they first come."""
-
-    def __missing__(self, key: str) -> int:
-        n = self[key] = len(self)
-        return n
+def _by_part(batches, read):
+    """(part, what ``read`` makes of each of its batches) from batches sorted by their column 0."""
+    have, held = None, []
+    for b in batches:
+        if not len(b):
+            continue
+        own = b.column(0).to_numpy()
+        cuts = np.r_[0, np.flatnonzero(own[1:] != own[:-1]) + 1, len(own)].tolist()
+        for x, y in pairwise(cuts):
+            if held and own[x] != have:
+                yield have, held
+                held = []
+            have = int(own[x])
+            held.append(read(b.slice(x, y - x)))
+    if held:
+        yield have, held
 
 
 def _build(schema: StructType):
     """(bucket, ident, tokens) sorted by bucket and ident to the rows of each bucket."""
-    names = [f.name for f in schema]
 
-    def rows(bucket: int, idents: list, docs: list[np.ndarray], words: list[str]):
+    def read(b: pa.RecordBatch):
+        """Ids, numbers of tokens, and the tokens as numbers of distinct words."""
+        tokens = b.column(2)
+        size = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy().astype(np.int64)
+        return pa.concat_arrays([b.column(1)]), size, tokens.flatten().dictionary_encode()
+
+    def rows(bucket: int, held: list):
         """Columns of up to ``CHUNK`` rows at a time: the blocks by term, the documents, their number."""
-        lens = np.array([len(d) for d in docs], np.int64)
-        got = [np.unique(d, return_counts=True) for d in docs]
-        place = np.empty(len(words), np.int64)
-        place[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
-        words = sorted(words)
-        term = place[np.concatenate([g[0] for g in got])]
-        tf = np.concatenate([g[1] for g in got]).astype(np.int32)
-        doc = np.repeat(np.arange(len(docs), dtype=np.int32), [len(g[0]) for g in got])
-        del got
-        order = np.argsort(term, kind="stable")
-        term, tf, doc = term[order], tf[order], doc[order]
+        idents = pa.concat_arrays([x[0] for x in held])
+        lens = np.concatenate([x[1] for x in held])
+        tokens = pa.chunked_array([x[2] for x in held]).unify_dictionaries().combine_chunks()
+        tokens = tokens.chunk(0) if isinstance(tokens, pa.ChunkedArray) else tokens
+        held.clear()
+        order = pc.sort_indices(tokens.dictionary).to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        words = tokens.dictionary.take(pa.array(order))
+        key = place[tokens.indices.to_numpy()] * len(lens) + np.repeat(np.arange(len(lens)), lens)
+        del tokens
+        key.sort()
+        at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        tf = np.diff(np.r_[at, len(key)])
+        term, doc = np.divmod(key[at], max(1, len(lens)))
+        del key, at
         new = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
         size = np.diff(np.r_[new, len(term)])
         times = -(-size // BLOCK)  # blocks of each term
@@ -82,123 +123,144 @@ def _build(schema: StructType):
             s, e = start[a : a + CHUNK], end[a : a + CHUNK]
             of = slice(s[0], e[-1])
             best = lambda f, x, s=s, of=of: f.reduceat(x[of], s - s[0])
-            cut = lambda b, s=s, e=e: [b[:1] + b[1 + b[0] * x : 1 + b[0] * y] for x, y in zip(s.tolist(), e.tolist(), strict=True)]
+            ords, tfs, sizes = (_cut(x, s, e) for x in parts)
             yield {
-                "kind": [_POSTING] * len(s), "bucket": [bucket] * len(s), "term": [words[i] for i in term[s].tolist()], "n": e - s, "first": doc[s], "last": doc[e - 1], "max_tf": best(np.maximum, tf), "min_len": best(np.minimum, length),
-                "min_tf": best(np.minimum, tf), "max_len": best(np.maximum, length), "ords": cut(parts[0]), "tfs": cut(parts[1]), "lens": cut(parts[2]),
+                "kind": np.full(len(s), _POSTING), "bucket": np.full(len(s), bucket), "term": words.take(pa.array(term[s])), "n": e - s, "first": doc[s], "last": doc[e - 1], "max_tf": best(np.maximum, tf), "min_len": best(np.minimum, length),
+                "min_tf": best(np.minimum, tf), "max_len": best(np.maximum, length), "ords": ords, "tfs": tfs, "lens": sizes,
             }
         for a in range(0, len(idents), CHUNK):
             own = idents[a : a + CHUNK]
-            yield {"kind": [_DOC] * len(own), "bucket": [bucket] * len(own), "first": np.arange(a, a + len(own)), "n": lens[a : a + len(own)], "ident": own}
-        yield {"kind": [_SIZE], "bucket": [bucket], "n": [len(docs)], "ords": [int(lens.sum()).to_bytes(8, "little")]}
+            yield {"kind": np.full(len(own), _DOC), "bucket": np.full(len(own), bucket), "first": np.arange(a, a + len(own)), "n": lens[a : a + len(own)], "ident": own}
+        yield {"kind": [_SIZE], "bucket": [bucket], "n": [len(lens)], "ords": [int(lens.sum()).to_bytes(8, "little")]}
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        have, idents, docs, table = None, [], [], None
-
-        def flush():
-            for part in rows(have, idents, docs, list(table)):
+        for bucket, held in _by_part(batches, read):
+            for part in rows(bucket, held):
                 n = len(part["kind"])
-                yield pa.RecordBatch.from_arrays([pa.array(part[c], arrow.field(c).type) if c in part else pa.nulls(n, arrow.field(c).type) for c in names], schema=arrow)
-
-        for b in batches:
-            for bucket, ident, tokens in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                if bucket != have:
-                    if have is not None:
-                        yield from flush()
-                    have, idents, docs, table = bucket, [], [], _Numbers()
-                words = tokens.as_py() or []
-                idents.append(ident)
-                docs.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
-        if have is not None:
-            yield from flush()
+                columns = [part[f.name] if f.name in part else pa.nulls(n, f.type) for f in arrow]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     return run
 
 
-class _Term:
-    """A query term in a bucket: its blocks' bounds, decoded as needed."""
-
-    def __init__(self, rows: list, avg: float):
-        self.rows = rows
-        self.first, self.last = (np.array([r[c] for r in rows], np.int64) for c in ("first", "last"))
-        self.top = _impact(np.array([r["max_tf"] for r in rows], float), np.array([r["min_len"] for r in rows], float), avg)
-        self.most, self.avg, self.got = float(self.top.max()), avg, {}
-
-    def block(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        if i not in self.got:
-            r = self.rows[i]
-            self.got[i] = (r["first"] + np.cumsum(_wide(r["ords"])), _impact(_wide(r["tfs"]), _wide(r["lens"]), self.avg))
-        return self.got[i]
-
-
-def _search(queries: dict, k: int, avg: float, digits: int):
-    """Blocks sorted by bucket to each bucket's best documents of each query; ``queries``: weighted terms, and a score that k documents reach."""
-    slack = 10.0**-digits
-
-    def best(terms: dict[str, _Term], sizes: int, weights: list[tuple[str, float]], sure: float):
-        own = sorted(((t, w, w * terms[t].most) for t, w in weights if t in terms), key=lambda x: -x[2])
-        rest = np.cumsum([x[2] for x in own][::-1])[::-1] if own else np.zeros(0)
-        score, seen, read = np.zeros(sizes), np.zeros(sizes, bool), 0
-        for j, (t, w, most) in enumerate(own):
-            term, after = terms[t], rest[j] - most
-            # a document first met here scores at most what this term and those after it give
-            fresh = rest[j] >= sure - slack
-            floor = sure - slack - after
-            open_ = seen & (score + rest[j] >= sure - slack)
-            if not fresh and not open_.any():
-                break
-            held = np.concatenate([[0], np.cumsum(open_)])
-            for i in range(len(term.rows)):
-                new = fresh and w * term.top[i] >= floor
-                if not new and held[term.last[i] + 1] == held[term.first[i]]:
+class _Asked:
+    """Queries of a pass as arrays: query i has the terms ``term[at[i]:at[i + 1]]`` (numbers of ``terms``) with their weights, and k documents reach ``sure[i]``."""
+
+    def __init__(self, rows: pa.Table):
+        """From rows (q, term, w, sure)."""
+        rows = rows.sort_by([("q", "ascending"), ("term", "ascending")]).combine_chunks()
+        q = rows["q"].to_numpy()
+        terms = pa.concat_arrays(rows["term"].chunks).dictionary_encode() if len(rows) else pa.array([], pa.string()).dictionary_encode()
+        first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, np.int64)
+        self.q, self.at, self.term, self.weight = q[first], np.r_[first, len(q)], terms.indices.to_numpy().copy(), rows["w"].to_numpy().copy()
+        self.terms = terms.dictionary
+        sure = pc.fill_null(rows["sure"], 0.0).to_numpy() * self.weight
+        self.sure = np.maximum.reduceat(sure, first) if len(q) else np.zeros(0)
+
+    def table(self) -> pa.Table:
+        """(term, t): the terms with their numbers."""
+        return pa.table({"term": self.terms, "t": np.arange(len(self.terms), dtype=np.int32)})
+
+    def reach(self, rows: pa.Table) -> None:
+        """Take scores (q, sure) that k documents are known to reach."""
+        at = np.searchsorted(self.q, rows["q"].to_numpy())
+        self.sure[at] = np.maximum(self.sure[at], rows["sure"].to_numpy())
+
+
+class _Part:
+    """The blocks of a part's asked terms, decoded together: for slot i, entries ``of[i]:of[i + 1]`` and blocks ``block[i]:block[i + 1]``."""
+
+    def __init__(self, rows: pa.Table, terms: int, avg: float):
+        kind = rows["kind"].to_numpy()
+        post = rows.slice(0, int(np.searchsorted(kind, _DOC)))
+        self.ident = rows.slice(len(post))["ident"].combine_chunks()
+        post = post.combine_chunks()
+        one = lambda c: pa.concat_arrays(post[c].chunks)
+        self.slot = np.full(terms, -1)
+        if not len(post):
+            return
+        t, n, first = (one(c).to_numpy().astype(np.int64) for c in ("t", "n", "first"))
+        self.start = np.r_[0, np.cumsum(n)]
+        new = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+        self.block, self.of = np.r_[new, len(t)], self.start[np.r_[new, len(t)]]
+        ords = np.cumsum(_joined(one("ords")))
+        self.ords = ords + np.repeat(first - ords[self.start[:-1]], n)
+        self.part = _impact(_joined(one("tfs")), _joined(one("lens")), avg)
+        self.most = np.maximum.reduceat(self.part, self.of[:-1])
+        self.slot[t[new]] = np.arange(len(new))
+
+    def best(self, terms: list[tuple[int, float]], low: float) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ordinals and scores of the documents that reach ``low``, and the number of blocks that gave something."""
+        own = sorted(((i, w, w * self.most[i]) for i, w in terms), key=lambda x: -x[2])
+        rest, score, read = sum(x[2] for x in own), np.zeros(len(self.ident)), 0
+        for i, w, most in own:
+            ords, part = self.ords[self.of[i] : self.of[i + 1]], self.part[self.of[i] : self.of[i + 1]]
+            after = rest - most
+            if low <= after:
+                score[ords] += w * part
+                read += self.block[i + 1] - self.block[i]
+            else:
+                # a document first met here scores at most what this term and those after it give
+                take = w * part >= low - after - _ROUND if rest >= low - _ROUND else np.zeros(len(ords), bool)
+                known = np.flatnonzero((score > 0) & (score + rest >= low - _ROUND))
+                if not len(known) and not take.any():
+                    rest = after
                     continue
-                ords, part = term.block(i)
-                read += 1
-                if new:
-                    score[ords] += w * part
-                    seen[ords] = True
-                else:
-                    ok = open_[ords]
-                    score[ords[ok]] += w * part[ok]
-        at = np.flatnonzero(seen)
-        value = np.floor(score[at] * 10**digits + 0.5) / 10**digits
-        keep = np.lexsort((at, -value))[:k]
-        return at[keep], value[keep], read
+                at = np.minimum(np.searchsorted(ords, known), len(ords) - 1)
+                take[at[ords[at] == known]] = True
+                score[ords[take]] += w * part[take]
+                starts = self.start[self.block[i] : self.block[i + 1]] - self.of[i]
+                read += np.count_nonzero(np.logical_or.reduceat(take, starts))
+            rest = after
+        at = np.flatnonzero((score > 0) & (score >= low))
+        value = score[at]
+        return at, value, int(read)
+
+
+def _search(asked: _Asked, k: int, avg: float, digits: int, schema: StructType, work: bool):
+    """(bucket, kind, t, ...) sorted by part, kind, term and block to the best documents of each query among a task's parts, or to the number of blocks read."""
+    slack, scale = 10.0**-digits, 10**digits
 
     def run(batches):
-        have, rows, reached = None, [], {}
-
-        def bucket_results():
-            terms: dict[str, list] = {}
-            size = 0
-            for r in rows:
-                size = max(size, r["last"] + 1)
-                terms.setdefault(r["term"], []).append(r)
-            ready = {t: _Term(x, avg) for t, x in terms.items()}
-            out = {c: [] for c in ("q", "bucket", "ord", "score", "read")}
-            for q, (weights, sure) in queries.items():
-                ords, values, read = best(ready, size, weights, max(sure, reached.get(q, [0.0])[0] if len(reached.get(q, [])) == k else 0.0))
-                reached[q] = sorted([*reached.get(q, []), *values.tolist()])[-k:]
-                for o, v in zip(ords.tolist(), values.tolist(), strict=True):
-                    for c, x in zip(out, (q, have, o, v, 0), strict=True):
-                        out[c].append(x)
-                if read:
-                    for c, x in zip(out, (q, have, None, None, read), strict=True):
-                        out[c].append(x)
-            return pa.RecordBatch.from_pydict(out, pa.schema([("q", pa.int64()), ("bucket", pa.int32()), ("ord", pa.int32()), ("score", pa.float64()), ("read", pa.int32())]))
-
-        for b in batches:
-            for r in b.to_pylist():
-                if r["bucket"] != have:
-                    if have is not None:
-                        yield bucket_results()
-                    have, rows = r["bucket"], []
-                rows.append(r)
-        if have is not None:
-            yield bucket_results()
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        sure, best, read = asked.sure.copy(), {}, np.zeros(len(asked.q), np.int64)
+        for _, held in _by_part(batches, lambda b: b):
+            part = _Part(pa.Table.from_batches(held), len(asked.terms), avg)
+            slot = part.slot[asked.term]
+            if not (slot >= 0).any():
+                continue
+            # what a query's terms can give at most here; most queries end with this
+            most = np.add.reduceat(np.where(slot >= 0, asked.weight * part.most[slot], 0.0), asked.at[:-1])
+            for i in np.flatnonzero((most > 0) & (most >= sure - slack - _ROUND)).tolist():
+                x, y = asked.at[i], asked.at[i + 1]
+                terms = [(s, w) for s, w in zip(slot[x:y].tolist(), asked.weight[x:y].tolist(), strict=True) if s >= 0]
+                at, value, n = part.best(terms, sure[i] - slack)
+                read[i] += n
+                if not len(at):
+                    continue
+                value = np.floor(value * scale + 0.5) / scale
+                if len(at) > k:
+                    kept = np.flatnonzero(value >= np.partition(value, len(value) - k)[len(value) - k])
+                    kept = kept[np.lexsort((at[kept], -value[kept]))[:k]]
+                    at, value = at[kept], value[kept]
+                got = [(-v, o) for v, o in zip(value.tolist(), part.ident.take(pa.array(at)).to_pylist(), strict=True)]
+                best[i] = sorted([*best.get(i, []), *got])[:k]
+                if len(best[i]) == k:
+                    sure[i] = max(sure[i], -best[i][-1][0])
+        arrow = to_arrow_schema(schema)
+        if work:
+            i = np.flatnonzero(read)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((asked.q[i], [None] * len(i), [None] * len(i), read[i]), arrow, strict=True)], schema=arrow)
+            return
+        found = list(best)
+        for a in range(0, len(found), CHUNK):
+            flat = [(asked.q[i], o, -v, 0) for i in found[a : a + CHUNK] for v, o in best[i] if -v >= sure[i] - slack]
+            if flat:
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*flat, strict=True), arrow, strict=True)], schema=arrow)
 
     return run
 
@@ -222,13 +284,15 @@ class Postings(Derived):
     def rows(self, kind: int) -> DataFrame:
         return self.table().where(f"kind = {kind}")
 
+    def _sizes(self) -> tuple[int, int, int]:
+        """Number of documents, of all their tokens, and of parts."""
+        doc = F.col("kind") == _DOC
+        r = self.table().where(f"kind <> {_POSTING}").agg(F.count_if(doc), F.sum(F.when(doc, F.col("n").cast("long"))), F.count_if(~doc)).first()
+        return r[0], r[1] or 0, r[2]
+
     def sizes(self) -> tuple[int, int]:
-        """Number of documents, and of all their tokens: a row for each bucket."""
-        got = self.rows(_SIZE).select("n", "ords").toLocalIterator()
-        n = total = 0
-        for r in got:
-            n, total = n + r.n, total + int.from_bytes(r.ords, "little")
-        return n, total
+        """Number of documents, and of all their tokens."""
+        return self._sizes()[:2]
 
     def terms(self) -> DataFrame:
         """(term, df) of all terms, from the blocks' bounds alone."""
@@ -245,34 +309,44 @@ class Postings(Derived):
     def search(self, queries: DataFrame, k: int = 10, digits: int = 6, work: bool = False) -> DataFrame:
         """BM25 top-k of each query: (q, ident, score, rank) from rows (q, term); a term that stands there twice counts twice.
 
-        The bounded batch of a pass (``TERMS`` rows) is sent to all tasks; more queries take more passes.  ``work``: (q, decoded blocks) instead.
+        The bounded batch of a pass (``TERMS`` rows) is sent to all tasks; more queries take more passes.  A corpus of more than ``AHEAD`` documents is
+        searched in an eighth of its buckets first: the scores that k documents reach there rule out most of the others.  ``work``: (q, blocks that
+        gave a score) instead.
         """
-        docs, total = self.sizes()
+        docs, total, parts = self._sizes()
         avg = total / docs if total else 1.0
         each = queries.select(F.col("q").cast("long").alias("q"), "term").groupBy("q", "term").agg(F.count("*").alias("times"))
         blocks = self.rows(_POSTING)
         sure = F.max(F.when(F.col("n") >= k, _impact(F.col("min_tf"), F.col("max_len"), avg)))
         known = blocks.select("term", "n", "min_tf", "max_len").join(each.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"), sure.alias("sure"))
-        asked = each.join(known, "term").select("q", "term", (F.col("times") * idf(F.col("df"), docs)).alias("w"), "sure")
+        asked = step(each.join(known, "term").select("q", "term", (F.col("times") * idf(F.col("df"), docs)).alias("w"), "sure"))
         passes = max(1, -(-asked.count() // TERMS))
-        out = None
+        schema = StructType([StructField("q", LongType()), StructField(self.ident, self.table().schema["ident"].dataType), *StructType.fromDDL("score double, read int")])
+        tasks = max(1, min(parts, int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
+        buckets = sorted(self.kept.manifest()["folders"])
+        ahead = buckets[: len(buckets) // 8] if docs > AHEAD else []
+        out = []
         for p in range(passes):
-            part: dict[int, tuple[list, float]] = {}
-            for r in asked.where(F.pmod(F.xxhash64("q"), F.lit(passes)) == p).orderBy("q", "term").toLocalIterator():
-                weights, low = part.get(r.q, ([], 0.0))
-                part[r.q] = ([*weights, (r.term, r.w)], max(low, r.w * (r.sure or 0.0)))
-            mine = self.spark.createDataFrame([(t,) for t in sorted({t for w, _ in part.values() for t, _ in w})], StructType([StructField("term", StringType())]))
-            used = blocks.join(mine, "term", "left_semi").drop("kind", "ident")
-            got = used.repartition("bucket").sortWithinPartitions("bucket", "term", "first").mapInArrow(_search(part, k, avg, digits), "q long, bucket int, ord int, score double, read int")
-            out = got if out is None else out.unionByName(got)
+            mine = _Asked(asked.where(F.pmod(F.xxhash64("q"), F.lit(passes)) == p).toArrow())
+            terms = self.spark.createDataFrame(mine.table())
+
+            def found(of: list[str], mine=mine, terms=terms) -> DataFrame:
+                rows, columns = self.table(of), ["bucket", "kind", "t", "n", "first", "ords", "tfs", "lens", "ident"]
+                used = rows.where(f"kind = {_POSTING}").join(terms, "term").select(columns)
+                used = used.unionByName(rows.where(f"kind = {_DOC}").withColumn("t", F.lit(None).cast("int")).select(columns))
+                return used.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind", "t", "first").mapInArrow(_search(mine, k, avg, digits, schema, work), schema)
+
+            if ahead and not work:
+                first = step(found(ahead))
+                r = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))
+                mine.reach(first.withColumn("_r", r).where(F.col("_r") == k).select("q", F.col("score").alias("sure")).toArrow())
+                out.append(first)
+            out.append(found([b for b in buckets if work or b not in ahead]))
+        out = reduce(DataFrame.unionByName, out)
         if work:
             return out.groupBy("q").agg(F.sum("read").alias("blocks"))
-        ids = self.rows(_DOC).select("bucket", F.col("first").alias("ord"), F.col("ident").alias(self.ident))
         w = Window.partitionBy("q").orderBy(F.desc("score"), self.ident)
-        # each bucket has sent its own k: only those that are among the k best, ties included, get their ids
-        top = F.rank().over(Window.partitionBy("q").orderBy(F.desc("score")))
-        found = out.where("ord is not null").withColumn("_r", top).where(F.col("_r") <= k).drop("_r").join(ids, ["bucket", "ord"])
-        return found.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select("q", self.ident, "score", "rank")
+        return out.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select("q", self.ident, "score", "rank")
 
 
 def idf(df: Column, docs: int) -> Column:
