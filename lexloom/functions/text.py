@@ -117,6 +117,11 @@ def analyse(text: Column) -> Column:
     return F.filter(F.split(fold(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
 
+def analysed(text: Column) -> Column:
+    """The analyser's tokens joined by a space, without making them an array."""
+    return F.trim(F.regexp_replace(fold(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+
+
 def shorten(text: Column, limit: int = 60) -> Column:
     """The first ``limit`` code points, for reports."""
     return F.substring(text, 1, limit)

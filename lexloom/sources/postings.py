@@ -30,9 +30,9 @@ from ..operators.search import B, K1
 from .index import Derived, Index
 from .shared import step
 
-#: Entries of a block; query terms that one pass over the postings takes along; stored bytes of a part that one task builds, and rows it gives out at once; documents beyond
+#: Entries of a block; query terms that one pass over the postings takes along; stored bytes of a part that one task builds, rows it gives out and documents it numbers the words of at once; documents beyond
 #: which a share of the buckets is searched first; what sums of doubles in another order may differ by.
-BLOCK, TERMS, PART_BYTES, CHUNK, AHEAD, _ROUND = 128, 400_000, 8 << 20, 5000, 20_000, 1e-9
+BLOCK, TERMS, PART_BYTES, CHUNK, ROWS, AHEAD, _ROUND = 128, 400_000, 8 << 20, 5000, 500, 20_000, 1e-9
 _ROWS = "kind int, bucket int, term string, n int, first int, last int, max_tf int, min_len int, min_tf int, max_len int, ords binary, tfs binary, lens binary"
 _POSTING, _DOC, _SIZE = 0, 1, 2
 
@@ -84,41 +84,50 @@ def _by_part(batches, read):
 
 
 def _build(schema: StructType):
-    """(bucket, ident, tokens) sorted by bucket and ident to the rows of each bucket."""
+    """(bucket, ident, tokens joined by spaces, or null without any) sorted by bucket and ident to the rows of each bucket."""
 
     def read(b: pa.RecordBatch):
         """Ids, numbers of tokens, and the tokens as numbers of distinct words."""
-        tokens = b.column(2)
-        size = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy().astype(np.int64)
-        return pa.concat_arrays([b.column(1)]), size, tokens.flatten().dictionary_encode()
+        sizes, tokens = [], []
+        for i in range(0, len(b), ROWS):
+            some = pc.split_pattern(b.column(2).slice(i, ROWS), " ")
+            sizes.append(pc.fill_null(pc.list_value_length(some), 0).to_numpy().astype(np.int64))
+            tokens.append(some.flatten().dictionary_encode())
+        return pa.concat_arrays([b.column(1)]), np.concatenate(sizes), tokens
 
     def rows(bucket: int, held: list):
         """Columns of up to ``CHUNK`` rows at a time: the blocks by term, the documents, their number."""
         idents = pa.concat_arrays([x[0] for x in held])
         lens = np.concatenate([x[1] for x in held])
-        tokens = pa.chunked_array([x[2] for x in held]).unify_dictionaries().combine_chunks()
+        tokens = pa.chunked_array([c for x in held for c in x[2]]).unify_dictionaries().combine_chunks()
         tokens = tokens.chunk(0) if isinstance(tokens, pa.ChunkedArray) else tokens
         held.clear()
+        pa.default_memory_pool().release_unused()
         order = pc.sort_indices(tokens.dictionary).to_numpy()
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         words = tokens.dictionary.take(pa.array(order))
-        key = place[tokens.indices.to_numpy()] * len(lens) + np.repeat(np.arange(len(lens)), lens)
-        del tokens
+        key = place[tokens.indices.to_numpy()]
+        del tokens, order, place
+        key *= max(1, len(lens))
+        key += np.repeat(np.arange(len(lens), dtype=np.int32), lens)
         key.sort()
         at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        tf = np.diff(np.r_[at, len(key)])
-        term, doc = np.divmod(key[at], max(1, len(lens)))
-        del key, at
+        tf = np.diff(at, append=len(key)).astype(np.int32)
+        key = key[at]
+        del at
+        term, doc = ((f(key, max(1, len(lens)))).astype(np.int32) for f in (np.floor_divide, np.remainder))
+        del key
         new = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
         size = np.diff(np.r_[new, len(term)])
         times = -(-size // BLOCK)  # blocks of each term
         start = np.repeat(new, times) + BLOCK * (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
         end = np.minimum(start + BLOCK, np.repeat(new + size, times))
-        length = lens[doc]
+        length = lens.astype(np.int32)[doc]
         gap = np.diff(doc, prepend=0)
         gap[start] = 0
         parts = [_narrow(x) for x in (gap, tf, length)]  # one width for the whole part
+        del gap
         for a in range(0, len(start), CHUNK):
             s, e = start[a : a + CHUNK], end[a : a + CHUNK]
             of = slice(s[0], e[-1])
@@ -278,7 +287,7 @@ class Postings(Derived):
         rows = rows.withColumn("_bucket", (F.col("_bucket") * self.PARTS + F.pmod(F.xxhash64(F.lit(1), self.ident), F.lit(deal))).cast("int"))
         schema = StructType([*StructType.fromDDL(_ROWS), StructField("ident", rows.schema[self.ident].dataType)])
         dealt = rows.where(F.col(self.ident).isNotNull()).select("_bucket", self.ident, self.text).repartition(parts * deal, "_bucket").sortWithinPartitions("_bucket", self.ident)
-        out = dealt.select("_bucket", self.ident, X.analyse(F.col(self.text)).alias("tokens")).mapInArrow(_build(schema), schema)
+        out = dealt.select("_bucket", self.ident, F.nullif(X.analysed(F.col(self.text)), F.lit("")).alias("tokens")).mapInArrow(_build(schema), schema)
         return out  # by bucket, then by term
 
     def rows(self, kind: int) -> DataFrame:
