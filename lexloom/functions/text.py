@@ -108,8 +108,9 @@ def base_name(path: Column) -> Column:
 
 
 def fold(text: Column) -> Column:
-    """Lower case without diacritics."""
-    return F.translate(F.lower(text), FOLD_FROM, FOLD_TO)
+    """Lower case without diacritics, letter by letter: a final sigma is as any other, a dotted capital I is an i."""
+    context = F.contains(text, F.lit("İ")) | F.contains(text, F.lit("Σ"))
+    return F.translate(F.lower(F.when(context, F.translate(text, "İΣ", "iσ")).otherwise(text)), FOLD_FROM, FOLD_TO)
 
 
 def analyse(text: Column) -> Column:
